@@ -38,15 +38,20 @@ def feature_columns() -> list[Column]:
     ]
 
 
-def row_problem() -> Column:
-    """Why a raw row cannot be turned into features; NULL when it can."""
-    missing = F.array_compact(F.array(*[F.when(is_missing(c), F.lit(c)) for c in RAW_COLUMNS]))
-    return (
-        F.when(any_missing(), F.concat(F.lit("missing:"), F.array_join(missing, ",")))
-        .when(F.col("Amount") == -1, F.lit("infinite:log_amount"))
-        .otherwise(F.lit(None).cast("string"))
-    )
-
-
 def any_missing() -> Column:
     return reduce(lambda a, b: a | b, [is_missing(c) for c in RAW_COLUMNS])
+
+
+def unusable() -> Column:
+    """True for a raw row that cannot be turned into features; never NULL."""
+    return any_missing() | (F.col("Amount") == -1)
+
+
+def row_problem() -> Column:
+    """What is wrong with an unusable row; NULL for a usable one."""
+    absent = F.filter(
+        F.array(*[F.when(is_missing(c), F.lit(c)) for c in RAW_COLUMNS]), lambda c: c.isNotNull()
+    )
+    return F.when(
+        any_missing(), F.concat(F.lit("missing:"), F.array_join(absent, ","))
+    ).when(F.col("Amount") == -1, F.lit("infinite:log_amount"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.functions.draws import normal
@@ -22,16 +22,24 @@ REFERENCE_ROWS = 227845
 REFERENCE_SAMPLE = 5000
 
 
-def _both_sides(ref: DataFrame, cur: DataFrame, keys: Sequence[str], cols: list[str]) -> DataFrame:
-    """Both tables in one, with weight a for reference rows and b for current rows."""
+def both_sides(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """Two tables as one: a = 1 on reference rows, b = 1 on current rows."""
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    return ref.select(*keys, *cols, one.alias("a"), zero.alias("b")).unionByName(
-        cur.select(*keys, *cols, zero.alias("a"), one.alias("b"))
+    cols = [c for c in ref.columns if c in cur.columns]
+    return ref.select(*cols, one.alias("a"), zero.alias("b")).unionByName(
+        cur.select(*cols, zero.alias("a"), one.alias("b"))
+    )
+
+
+def mark_sides(df: DataFrame, is_reference: Column) -> DataFrame:
+    """One table whose rows belong to either side; it is then scanned once, not twice."""
+    return df.withColumn("a", F.when(is_reference, 1).otherwise(0).cast("long")).withColumn(
+        "b", 1 - F.col("a")
     )
 
 
 def distances(
-    ref: DataFrame, cur: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES
+    sides: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES
 ) -> DataFrame:
     """(keys..., feature, n_ref, n_cur, ks, wasserstein) from the two running shares.
 
@@ -39,12 +47,10 @@ def distances(
     ordered, and ordered inside value buckets.
     """
     keys = list(keys)
-    require_columns(ref, cols)
-    require_columns(cur, cols)
-    both = _both_sides(ref, cur, keys, cols)
-    edges = find_splits(both, cols).edges
+    require_columns(sides, cols)
+    edges = find_splits(sides, cols).edges
     groups = (
-        melt(both, cols, keep=[*keys, "a", "b"], edges=edges)
+        melt(sides, cols, keep=[*keys, "a", "b"], edges=edges)
         .groupBy(*keys, "feature", BUCKET, "value")
         .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     )
@@ -64,16 +70,13 @@ def distances(
     )
 
 
-def moments(
-    ref: DataFrame, cur: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES
-) -> DataFrame:
+def moments(sides: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES) -> DataFrame:
     """Mean and population standard deviation of each feature on both sides."""
     keys = list(keys)
-    both = _both_sides(ref, cur, keys, cols)
     r = F.when(F.col("a") == 1, F.col("value"))
     c = F.when(F.col("b") == 1, F.col("value"))
     return (
-        melt(both, cols, keep=[*keys, "a", "b"])
+        melt(sides, cols, keep=[*keys, "a", "b"])
         .groupBy(*keys, "feature")
         .agg(
             F.avg(r).alias("ref_mean"),
@@ -90,17 +93,14 @@ def with_pvalue(table: DataFrame, p_value: float = P_VALUE) -> DataFrame:
 
 
 def drift_report(
-    ref: DataFrame,
-    cur: DataFrame,
+    sides: DataFrame,
     keys: Sequence[str] = (),
     cols: list[str] = FEATURES,
     p_value: float = P_VALUE,
 ) -> DataFrame:
     """All per-feature drift numbers; one row per (keys, feature)."""
     by = [*keys, "feature"]
-    return with_pvalue(distances(ref, cur, keys, cols), p_value).join(
-        moments(ref, cur, keys, cols), by
-    )
+    return with_pvalue(distances(sides, keys, cols), p_value).join(moments(sides, keys, cols), by)
 
 
 def drift_decision(
@@ -187,4 +187,4 @@ def drift_by_window(
     """
     windows = [r[0] for r in rows.select(window_start).distinct().orderBy(window_start).collect()]
     repeated = ref.withColumn(window_start, F.explode(F.array(*[F.lit(w) for w in windows])))
-    return drift_report(repeated, rows, [window_start], cols, p_value)
+    return drift_report(both_sides(repeated, rows), [window_start], cols, p_value)

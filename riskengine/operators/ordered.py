@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from riskengine.functions.values import is_missing, plain
 
 BUCKET = "bucket"
-SKETCH_ACCURACY = 10000
+# Sketch points per bucket: the rank error of an edge is a small part of a bucket.
+SKETCH_POINTS = 20
 # Largest sort-and-limit handed to one task; longer prefixes go through rank selection.
 SMALL_LIMIT = 100_000
 
@@ -49,7 +50,7 @@ def find_splits(df: DataFrame, cols: list[str], n_buckets: int | None = None) ->
     aggs = []
     for i, c in enumerate(cols):
         valid = F.when(~is_missing(F.col(c).cast("double")), plain(c))
-        aggs.append(F.percentile_approx(valid, probs, SKETCH_ACCURACY).alias(f"q{i}"))
+        aggs.append(F.percentile_approx(valid, probs, max(1000, SKETCH_POINTS * n_buckets)).alias(f"q{i}"))
         aggs.append(F.count(valid).alias(f"n{i}"))
     row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
     edges = {}
@@ -105,6 +106,9 @@ def running_totals(
     row), `<s>_all` (whole key) and, on request, `next_value` (the following value of the key).
     """
     part = [*keys, BUCKET]
+    # Stated here, so that both uses below keep the same plan and share one shuffle.
+    for c in part:
+        groups = groups.where(F.col(c).isNotNull())
     per_key = keys or [F.lit(0)]
     order = F.desc if descending else F.asc
     inside = Window.partitionBy(*part).orderBy(order(value))
@@ -260,20 +264,22 @@ def before_rank(
     df: DataFrame,
     rank: int | Callable[[int], int],
     order: tuple[str, ...] = ("Time", "txn_id"),
+    small: int = SMALL_LIMIT,
 ) -> Column:
     """A row predicate that holds for exactly the first `rank` rows in the given order.
 
     `rank` may be a function of the row count. The last order column must be unique. Missing
-    values sort last. The cut is found by rank selection one column at a time, so the result is
-    a plain range filter that reaches the scan.
+    values sort last. The result is a plain range filter. Up to `small` rows the cut row is found
+    by a bounded sort; beyond that by rank selection, one column at a time.
     """
-    if not callable(rank) and rank <= 0:
+    if callable(rank):
+        rank = rank(df.count())
+    if rank <= 0:
         return F.lit(False)
+    if rank <= small:
+        return _up_to_last(df, rank, order)
     col, rest = order[0], order[1:]
     splits = find_splits(df, [col])
-    rank = rank(splits.n_rows) if callable(rank) else rank
-    if rank <= 0:
-        return F.lit(False)
     if rank >= splits.n_rows:
         return F.lit(True)
     key = F.col(col)
@@ -282,7 +288,7 @@ def before_rank(
         tail = is_missing(key.cast("double"))
         if rank == valid or not rest:
             return ~tail
-        return ~tail | before_rank(df.where(tail), rank - valid, rest)
+        return ~tail | before_rank(df.where(tail), rank - valid, rest, small)
     hit = select_ranks(df, [col], lambda _c, _n: [Want(rank, "cut")], splits=splits).first()
     kind = df.schema[col].dataType
     if abs(hit["value"]) >= 2**53 and isinstance(kind, T.LongType):
@@ -294,12 +300,28 @@ def before_rank(
     if left == 0 or not rest:
         return head
     ties = df.where(key == cut)
-    if hit["at"] <= SMALL_LIMIT and len(rest) == 1:
-        last = ties.select(rest[0]).orderBy(rest[0]).limit(left).agg(F.max(rest[0])).first()[0]
-        tied = F.col(rest[0]) <= F.lit(last)
-    else:
-        tied = before_rank(ties, left, rest)
-    return head | (F.coalesce(key == cut, F.lit(False)) & tied)
+    return head | (F.coalesce(key == cut, F.lit(False)) & before_rank(ties, left, rest, small))
+
+
+def _up_to_last(df: DataFrame, rank: int, order: tuple[str, ...]) -> Column:
+    """The predicate "not after the rank-th row", from a sort that keeps `rank` rows."""
+    parts = []
+    for c in order:
+        absent = is_missing(F.col(c).cast("double"))
+        parts += [absent.alias(f"{c}__absent"), F.when(~absent, F.col(c)).alias(c)]
+    keys = df.select(*parts)
+    last = keys.orderBy(*keys.columns).limit(rank).agg(F.max(F.struct(*keys.columns))).first()[0]
+    if last is None:
+        return F.lit(True)
+    upto = F.lit(True)
+    for c in reversed(order):
+        absent = is_missing(F.col(c).cast("double"))
+        if last[f"{c}__absent"]:
+            upto = ~absent | upto
+        else:
+            key, cut = F.col(c), F.lit(last[c])
+            upto = F.coalesce((key < cut) | ((key == cut) & upto), F.lit(False))
+    return upto
 
 
 def hot_key_buckets(

@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskengine.functions.features import feature_columns, hour_of_day, log_amount, row_problem
+from riskengine.functions.features import (
+    feature_columns,
+    hour_of_day,
+    log_amount,
+    row_problem,
+    unusable,
+)
 from riskengine.functions.values import count_where, is_missing
 from riskengine.schema import FEATURES, LABEL, PCA_FEATURES, RAW_COLUMNS, ROW_ID
 
@@ -66,7 +72,7 @@ def compute_features(df: DataFrame, keep: tuple[str, ...] = (), strict: bool = F
     require_columns(df)
     if strict:
         df = df.where(
-            F.when(row_problem().isNull(), F.lit(True)).otherwise(
+            F.when(~unusable(), F.lit(True)).otherwise(
                 F.raise_error(F.concat(F.lit("no features: "), row_problem()))
             )
         )

@@ -178,7 +178,7 @@ _EFFECTS = f"""effects AS (
                stddev_samp(value) FILTER (WHERE Class = 0) AS legit_std
         FROM {_unpivot('txn', RAW_COLUMNS)} GROUP BY feature))"""
 _EFFECT_OUT = "SELECT feature, " + ", ".join(
-    f"ROUND({c}, 9) AS {c}"
+    f"ROUND({c}, 6) AS {c}"
     for c in ("fraud_mean", "legit_mean", "mean_diff", "effect_size", "fraud_std", "legit_std")
 )
 
@@ -541,10 +541,10 @@ ORACLES |= {
     "drift_wasserstein": _with(*_DRIFT)
     + "SELECT feature, ROUND(wasserstein, 9) AS wasserstein FROM dist",
     "drift_moments": _with(*_DRIFT)
-    + """SELECT feature, ROUND(avg(value) FILTER (WHERE a = 1), 9) AS ref_mean,
-  ROUND(avg(value) FILTER (WHERE b = 1), 9) AS cur_mean,
-  ROUND(stddev_pop(value) FILTER (WHERE a = 1), 9) AS ref_std,
-  ROUND(stddev_pop(value) FILTER (WHERE b = 1), 9) AS cur_std FROM sides GROUP BY feature""",
+    + """SELECT feature, ROUND(avg(value) FILTER (WHERE a = 1), 6) AS ref_mean,
+  ROUND(avg(value) FILTER (WHERE b = 1), 6) AS cur_mean,
+  ROUND(stddev_pop(value) FILTER (WHERE a = 1), 6) AS ref_std,
+  ROUND(stddev_pop(value) FILTER (WHERE b = 1), 6) AS cur_std FROM sides GROUP BY feature""",
     "drift_decision": _with(*_MOVED) + f"SELECT {_DECISION_OUT} FROM decided",
     "drift_by_window": _with(*_WINDOWS, _WINDOW_MOMENTS)
     + "SELECT window_start, feature, n_ref, n_cur, "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from riskengine.operators.drift import (
     REFERENCE_SAMPLE,
+    both_sides,
     drift_decision,
     drift_report,
     reference_sample,
@@ -34,7 +35,7 @@ def decide_branch(drift_detected: bool, is_scheduled: bool = False) -> str:
 def check_drift(reference: DataFrame, current: DataFrame, **limits) -> DataFrame:
     """Current rows against a bounded sample of the reference: one decision row."""
     ref = reference_sample(reference, sample_size=REFERENCE_SAMPLE)
-    return drift_decision(drift_report(ref, current), **limits)
+    return drift_decision(drift_report(both_sides(ref, current)), **limits)
 
 
 def run_retraining(

@@ -228,12 +228,12 @@ def sample_n(spark, sf_dir):
 
 
 def top_effects(spark, sf_dir):
-    return _rounded(split.top_effects(profile.class_comparison(transactions(spark, sf_dir))), 9)
+    return _rounded(split.top_effects(profile.class_comparison(transactions(spark, sf_dir))), 6)
 
 
 def weakest_effects(spark, sf_dir):
     effects = profile.class_comparison(transactions(spark, sf_dir))
-    return _rounded(split.top_effects(effects, 5, weakest=True), 9)
+    return _rounded(split.top_effects(effects, 5, weakest=True), 6)
 
 
 # --- aggregation and profiling -------------------------------------------------------------
@@ -252,7 +252,7 @@ def statistical_profile(spark, sf_dir):
 
 
 def class_effect_size(spark, sf_dir):
-    return _rounded(profile.class_comparison(transactions(spark, sf_dir)), 9)
+    return _rounded(profile.class_comparison(transactions(spark, sf_dir)), 6)
 
 
 def amount_outliers(spark, sf_dir):
@@ -425,13 +425,14 @@ def batch_score(spark, sf_dir):
 # --- drift ---------------------------------------------------------------------------------
 
 
-def _ref_cur(spark, sf_dir):
+def _sides(spark, sf_dir):
+    """Train rows as reference, hold-out rows as current."""
     feats = quality.compute_features(transactions(spark, sf_dir), keep=(ROW_ID, "Time"))
-    return split.time_split(feats)
+    return drift.mark_sides(feats, split.in_train(feats))
 
 
 def _distances(spark, sf_dir):
-    return drift.distances(*_ref_cur(spark, sf_dir))
+    return drift.distances(_sides(spark, sf_dir))
 
 
 def drift_ks(spark, sf_dir):
@@ -448,7 +449,7 @@ def drift_wasserstein(spark, sf_dir):
 
 
 def drift_moments(spark, sf_dir):
-    return _rounded(drift.moments(*_ref_cur(spark, sf_dir)), 9)
+    return _rounded(drift.moments(_sides(spark, sf_dir)), 6)
 
 
 def _decision_text(df: DataFrame) -> DataFrame:
@@ -458,9 +459,10 @@ def _decision_text(df: DataFrame) -> DataFrame:
 
 
 def drift_decision(spark, sf_dir):
-    ref, cur = _ref_cur(spark, sf_dir)
-    moved = drift.synthetic_drift(cur)
-    table_ = drift.with_pvalue(drift.distances(ref, moved))
+    feats = quality.compute_features(transactions(spark, sf_dir), keep=(ROW_ID, "Time"))
+    ref, cur = split.time_split(feats)
+    sides = drift.both_sides(ref, drift.synthetic_drift(cur))
+    table_ = drift.with_pvalue(drift.distances(sides))
     return _rounded(_decision_text(drift.drift_decision(table_)), 9)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.functions.features import row_problem
+from riskengine.functions.features import row_problem, unusable
 from riskengine.schema import KEYED_SCHEMA
 
 RAW_TEXT = "bad_message"
@@ -33,16 +33,23 @@ def decode(
     text = F.col("value").cast("string")
     with_raw = T.StructType([*schema.fields, T.StructField(RAW_TEXT, T.StringType())])
     record = F.from_json(text, with_raw, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_TEXT})
-    parsed = messages.select(*keep, text.alias("text__"), record.alias("r"))
+    # A generator, so that filters on the fields do not pull the parser into every one of them.
+    parsed = messages.select(
+        *keep, text.alias("text__"), F.explode(F.array(F.struct(record.alias("v")))).alias("r")
+    )
+    empty = F.col("r.v").isNull()
     return parsed.select(
         *keep,
-        *[f"r.{c}" for c in schema.fieldNames()],
-        F.when(F.col("r").isNull(), F.coalesce("text__", F.lit("")))
-        .otherwise(F.col(f"r.{RAW_TEXT}"))
-        .alias(RAW_TEXT),
+        *[f"r.v.{c}" for c in schema.fieldNames()],
+        F.when(empty, F.coalesce("text__", F.lit(""))).otherwise(F.col(f"r.v.{RAW_TEXT}")).alias(RAW_TEXT),
     )
 
 
+def usable() -> Column:
+    """True for a decoded message that can be scored."""
+    return F.col(RAW_TEXT).isNull() & ~unusable()
+
+
 def problem() -> Column:
     """Why a decoded message cannot be scored; NULL when it can."""
     return F.when(F.col(RAW_TEXT).isNotNull(), F.lit("bad_json")).otherwise(row_problem())
@@ -50,8 +57,7 @@ def problem() -> Column:
 
 def split_messages(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(usable rows, dead letters with their `problem`) of one decoded table or stream."""
-    judged = decoded.withColumn("problem", problem())
     return (
-        judged.where(F.col("problem").isNull()).drop("problem", RAW_TEXT),
-        judged.where(F.col("problem").isNotNull()),
+        decoded.where(usable()).drop(RAW_TEXT),
+        decoded.where(~usable()).withColumn("problem", problem()),
     )
