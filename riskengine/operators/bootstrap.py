@@ -89,14 +89,14 @@ def numbered_rows(cells: DataFrame) -> DataFrame:
         .join(base, BUCKET)
         .withColumn("start", F.col("base") + F.col("upto") - F.col("rows"))
     )
+    step = F.lit(ROWS_PER_PIECE).cast("long")
+    offsets = F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, step)
     pieces = starts.select(
-        "a", "b", "y", "rows", "start",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, F.lit(ROWS_PER_PIECE).cast("long"))).alias("from"),
+        "a", "b", "y", "rows", "start", F.explode(offsets).alias("from")
     ).repartition("start", "from")
     last = F.least(F.col("from") + ROWS_PER_PIECE, F.col("rows")) - 1
-    return pieces.select(
-        (F.col("start") + F.explode(F.sequence(F.col("from"), last))).alias("at"), "a", "b", "y"
-    )
+    numbers = F.sequence(F.col("start") + F.col("from"), F.col("start") + last)
+    return pieces.select(F.explode(numbers).alias("at"), "a", "b", "y")
 
 
 def _weigh_large(draws: DataFrame, cells: DataFrame) -> DataFrame:
