@@ -1,27 +1,35 @@
 """Paired bootstrap comparison of two scores by average precision.
 
 A resample of n rows with replacement only matters through how often each distinct
-(score a, score b, label) cell is drawn. Rows are therefore collapsed to cells first; every draw
+(score a, score b, label) cell is drawn. Rows are therefore collapsed to cells first. Every draw
 is a hash of (seed, attempt, resample, slot), and draws are counted per cell on the map side.
+Where the cells are few but the draws too many to make one by one, the counts of a resample are
+drawn at once from the same (multinomial) distribution.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskengine.functions.draws import hash_int
 from riskengine.functions.values import plain
 from riskengine.operators.curves import curve_areas, score_curve
-from riskengine.operators.ordered import BUCKET, bucketed, default_buckets, find_splits
+from riskengine.operators.ordered import BUCKET, bucketed, bucket_number, find_edges
 from riskengine.schema import LABEL
 from riskengine.session import materialize
 
 # More cells than this are numbered and joined as a distributed table.
 SMALL_CELLS = 50_000
+# More draws than this over few cells are made as counts per resample.
+MAX_SLOTS = 20_000_000_000
 DRAWS_PER_TASK = 4_000_000
+MAX_TASKS = 100_000
 ROWS_PER_PIECE = 10_000
 # The reported percentiles.
 REPORT_PERCENTILES = (2.5, 10, 20, 30, 40, 50, 60, 70, 80, 90, 97.5)
@@ -40,7 +48,7 @@ def _draw(spark, n: int, reps: list[int] | int, seed: int, attempt: int) -> Data
     """(rep, slot -> at): n row numbers in [0, n) for each resample."""
     count = reps if isinstance(reps, int) else len(reps)
     total = count * n
-    tasks = max(spark.sparkContext.defaultParallelism, -(-total // DRAWS_PER_TASK))
+    tasks = max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, -(-total // DRAWS_PER_TASK)))
     slots = spark.range(0, total, 1, tasks)
     which = F.floor(F.col("id") / F.lit(n)).cast("long") if n else F.lit(0)
     rep = which if isinstance(reps, int) else F.array(*[F.lit(r) for r in reps])[which.cast("int")]
@@ -51,33 +59,56 @@ def _draw(spark, n: int, reps: list[int] | int, seed: int, attempt: int) -> Data
     )
 
 
-def _weigh_small(draws: DataFrame, cells: DataFrame) -> DataFrame:
-    """Cells fit on the driver: map row numbers to cells by binary search, count, then attach."""
-    spark = draws.sparkSession
+def _draw_few(
+    cells: DataFrame, n: int, reps: list[int] | int, seed: int, attempt: int, max_slots: int
+) -> DataFrame:
+    """Cells fit on the driver: number them, draw (rep, cell, w), attach the cell values."""
+    spark = cells.sparkSession
     rows = cells.orderBy("a", "b", "y").collect()  # at most SMALL_CELLS rows
-    starts, at = [], 0
-    for r in rows:
-        starts.append(float(at))
-        at += r["rows"]
-    edges = [*starts, float("inf")] if len(starts) > 1 else [*starts, float(at), float("inf")]
+    sizes = [r["rows"] for r in rows]
+    if n * _size(reps) <= max_slots:
+        starts = [float(v) for v in np.cumsum([0, *sizes])]
+        edges = [*starts[:-1], float("inf")] if len(rows) > 1 else [*starts, float("inf")]
+        counted = (
+            bucketed(_draw(spark, n, reps, seed, attempt), {"at": edges})
+            .groupBy("rep", F.col("at__b").cast("int").alias("cell"))
+            .agg(F.count(F.lit(1)).alias("w"))
+        )
+    else:
+        counted = _draw_counts(spark, sizes, n, reps, seed, attempt)
     numbered = spark.createDataFrame(
-        [(i, r["a"], r["b"], r["y"]) for i, r in enumerate(rows)], "cell int, a double, b double, y int"
-    )
-    counted = (
-        bucketed(draws, {"at": edges})
-        .groupBy("rep", F.col("at__b").alias("cell"))
-        .agg(F.count(F.lit(1)).alias("w"))
+        [(i, r["a"], r["b"], r["y"]) for i, r in enumerate(rows)],
+        "cell int, a double, b double, y int",
     )
     return counted.join(F.broadcast(numbered), "cell").select("rep", "a", "b", "y", "w")
 
 
-def numbered_rows(cells: DataFrame) -> DataFrame:
+def _draw_counts(
+    spark, sizes: list[int], n: int, reps: list[int] | int, seed: int, attempt: int
+) -> DataFrame:
+    """(rep, cell, w): the counts of n draws over the cells, one resample after another."""
+    todo = list(range(reps)) if isinstance(reps, int) else reps
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        share = np.array(sizes, dtype=float) / n
+        for batch in batches:
+            for rep in batch["rep"]:
+                w = np.random.default_rng([seed, attempt, int(rep)]).multinomial(n, share)
+                hit = np.flatnonzero(w)
+                yield pd.DataFrame({"rep": rep, "cell": hit.astype("int32"), "w": w[hit]})
+
+    tasks = min(len(todo), 4 * spark.sparkContext.defaultParallelism)
+    ids = spark.createDataFrame([(r,) for r in todo], "rep long").repartition(tasks)
+    return ids.mapInPandas(draw, "rep long, cell int, w long")
+
+
+def numbered_rows(cells: DataFrame, n_cells: int = 0) -> DataFrame:
     """(at, a, b, y): every row of the cell table numbered 0..n-1 without a global sort.
 
     Cells are spread over hash buckets and numbered inside each; bucket totals give the start of
     a bucket. A cell that stands for many rows is cut in pieces before it is unrolled.
     """
-    n_buckets = default_buckets(cells.sparkSession)
+    n_buckets = bucket_number(cells.sparkSession, n_cells)
     spread = cells.withColumn(BUCKET, F.pmod(F.xxhash64("a", "b", "y"), F.lit(n_buckets)))
     inside = Window.partitionBy(BUCKET).orderBy("a", "b", "y")
     earlier = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
@@ -99,27 +130,38 @@ def numbered_rows(cells: DataFrame) -> DataFrame:
     return pieces.select(F.explode(numbers).alias("at"), "a", "b", "y")
 
 
-def _weigh_large(draws: DataFrame, cells: DataFrame) -> DataFrame:
+def _draw_many(
+    cells: DataFrame, n: int, reps: list[int] | int, seed: int, attempt: int, n_cells: int
+) -> DataFrame:
     """Join draw counts to numbered rows on the row number, which the hash spreads evenly."""
-    counted = draws.groupBy("rep", "at").agg(F.count(F.lit(1)).alias("w"))
+    drawn = _draw(cells.sparkSession, n, reps, seed, attempt)
+    counted = drawn.groupBy("rep", "at").agg(F.count(F.lit(1)).alias("w"))
     return (
-        counted.join(numbered_rows(cells), "at")
+        counted.join(numbered_rows(cells, n_cells), "at")
         .groupBy("rep", "a", "b", "y")
         .agg(F.sum("w").alias("w"))
     )
 
 
 def resample_weights(
-    cells: DataFrame, n: int, n_bootstraps: int, seed: int = 42, small_cells: int = SMALL_CELLS
+    cells: DataFrame,
+    n: int,
+    n_bootstraps: int,
+    seed: int = 42,
+    small_cells: int = SMALL_CELLS,
+    max_slots: int = MAX_SLOTS,
 ) -> DataFrame:
     """(rep, a, b, y, w): how often each cell is drawn; resamples without a positive are redrawn."""
-    spark = cells.sparkSession
-    weigh = _weigh_small if cells.count() <= small_cells else _weigh_large
+    n_cells = cells.count()
     todo: list[int] | int = n_bootstraps
     done = []
     attempt = 0
     while todo:
-        drawn = materialize(weigh(_draw(spark, n, todo, seed, attempt), cells), "resample")
+        if n_cells <= small_cells:
+            draws = _draw_few(cells, n, todo, seed, attempt, max_slots)
+        else:
+            draws = _draw_many(cells, n, todo, seed, attempt, n_cells)
+        drawn = materialize(draws, "resample")
         have = drawn.where("y = 1").select("rep").distinct()
         # At most n_bootstraps numbers.
         ok = {r["rep"] for r in have.collect()}
@@ -141,6 +183,7 @@ def bootstrap_samples(
     n_bootstraps: int = 1000,
     seed: int = 42,
     small_cells: int = SMALL_CELLS,
+    max_slots: int = MAX_SLOTS,
 ) -> DataFrame:
     """(iteration, auc_pr_a, auc_pr_b, diff) for each paired resample of all rows."""
     cells = materialize(_cells(df, a, b, label), "cells")
@@ -149,8 +192,8 @@ def bootstrap_samples(
     ).first()
     if not tally["pos"]:
         raise ValueError("no positive row to resample")
-    weights = resample_weights(cells, tally["n"], n_bootstraps, seed, small_cells)
-    edges = find_splits(cells, ["a", "b"]).edges
+    weights = resample_weights(cells, tally["n"], n_bootstraps, seed, small_cells, max_slots)
+    edges = find_edges(cells, ["a", "b"])
 
     def precision(score: str) -> DataFrame:
         curve = score_curve(weights, score, "y", weight="w", keys=["rep"], edges=edges[score])

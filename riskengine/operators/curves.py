@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.values import count_where, is_missing, plain, ratio
 from riskengine.operators.costs import CostMatrix
-from riskengine.operators.ordered import BUCKET, bucketed, find_splits, running_totals
+from riskengine.operators.ordered import BUCKET, bucketed, find_edges, running_totals
 from riskengine.schema import LABEL
 
 # Fixed values.
@@ -30,7 +30,7 @@ def score_curve(
     shuffle carries distinct scores only.
     """
     keys = keys or []
-    edges = edges or find_splits(df, [score]).edges[score]
+    edges = edges or find_edges(df, [score])[score]
     w = F.col(weight) if weight else F.lit(1)
     rows = df.where(~is_missing(score)).select(
         *keys,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.draws import normal
 from riskengine.functions.kstest import ks_pvalue
-from riskengine.operators.ordered import BUCKET, find_splits, melt, running_totals
+from riskengine.operators.ordered import BUCKET, find_edges, melt, running_totals
 from riskengine.operators.quality import require_columns
 from riskengine.operators.split import first_rows, sample_n
 from riskengine.schema import FEATURES, KEY_FEATURES, ROW_ID
@@ -48,7 +48,7 @@ def distances(
     """
     keys = list(keys)
     require_columns(sides, cols)
-    edges = find_splits(sides, cols).edges
+    edges = find_edges(sides, cols)
     groups = (
         melt(sides, cols, keep=[*keys, "a", "b"], edges=edges)
         .groupBy(*keys, "feature", BUCKET, "value")

@@ -29,8 +29,8 @@ def register_versions(
     from the highest of the model, in run id order.
     """
     fresh = (
-        runs.select("model_name", "run_id", "auc_pr")
-        .dropDuplicates(["model_name", "run_id"])
+        runs.groupBy("model_name", "run_id")
+        .agg(F.max("auc_pr").alias("auc_pr"))  # a run offered twice is one run
         .join(registry.select("model_name", "run_id"), ["model_name", "run_id"], "left_anti")
     )
     latest = registry.groupBy("model_name").agg(F.max("version").alias("latest"))

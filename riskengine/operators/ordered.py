@@ -3,7 +3,7 @@
 A window with only an ORDER BY puts every row in one task. Here rows are first put in buckets
 by value; a bucket is a pure function of the value, so recomputed tasks agree and equal values
 stay together. Work inside buckets runs in parallel and one small table of bucket totals links
-them. Bucket edges come from a quantile sketch: they shape the load, never the result.
+them. Bucket edges shape the load, never the result.
 
 Data is collapsed to distinct values before any sort, so one value held by a third of all rows
 becomes one row.
@@ -20,56 +20,62 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.functions.values import is_missing, plain
+from riskengine.functions.values import is_missing
 
 BUCKET = "bucket"
-# Sketch points per bucket: the rank error of an edge is a small part of a bucket.
+MIN_BUCKETS, MAX_BUCKETS = 16, 16_384
+BUCKET_ROWS = 10_000_000
+# Rows looked at to place the edges, and sketch points per bucket: an edge is off by a small part
+# of a bucket.
+EDGE_ROWS = 1_000_000
+EDGE_ROWS_PER_BUCKET = 1_000
 SKETCH_POINTS = 20
 # Largest sort-and-limit handed to one task; longer prefixes go through rank selection.
 SMALL_LIMIT = 100_000
 
 
-@dataclass(frozen=True)
-class Splits:
-    """Bucket edges and row counts per column. At most `n_buckets` edges each."""
-
-    n_rows: int
-    n_valid: dict[str, int]
-    edges: dict[str, list[float]]
+def bucket_number(spark: SparkSession, n_rows: int) -> int:
+    """A few buckets per shuffle partition, more when buckets would grow past BUCKET_ROWS."""
+    wanted = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), n_rows // BUCKET_ROWS)
+    return max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
 
 
-def default_buckets(spark: SparkSession) -> int:
-    """A few buckets per shuffle partition, bounded so edges and totals stay small."""
-    return max(16, min(2048, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> dict[str, list[float]]:
+    """Bucket edges per column: quantiles of its values, at most n_buckets of them.
 
-
-def find_splits(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> Splits:
-    """Bucket edges for each column from one sketch pass; returns cols x n_buckets numbers."""
-    n_buckets = n_buckets or default_buckets(df.sparkSession)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    aggs = []
-    for i, c in enumerate(cols):
-        valid = F.when(~is_missing(F.col(c).cast("double")), plain(c))
-        aggs.append(F.percentile_approx(valid, probs, max(1000, SKETCH_POINTS * n_buckets)).alias(f"q{i}"))
-        aggs.append(F.count(valid).alias(f"n{i}"))
-    row = df.agg(F.count(F.lit(1)).alias("n"), *aggs).first()
+    On a long table they come from a random part of its rows. That is only a guess at an even
+    load: every row is put in a bucket afterwards, and results are the same for any edges.
+    """
+    n_rows = df.count()
+    n_buckets = n_buckets or bucket_number(df.sparkSession, n_rows)
+    enough = max(EDGE_ROWS, EDGE_ROWS_PER_BUCKET * n_buckets)
+    looked_at = df.sample(enough / n_rows, seed=17) if n_rows > enough else df
+    probs = ", ".join(repr(i / n_buckets) for i in range(1, n_buckets))
+    points = max(1000, SKETCH_POINTS * n_buckets)
+    found = {
+        r["feature"]: r["q"]
+        for r in melt(looked_at, cols)
+        .groupBy("feature")
+        .agg(F.expr(f"percentile_approx(value, array({probs}), {points})").alias("q"))
+        .collect()
+    }
     edges = {}
-    for i, c in enumerate(cols):
-        inner = sorted({v for v in (row[f"q{i}"] or []) if math.isfinite(v)}) or [0.0]
-        edges[c] = [-math.inf, *inner, math.inf]
-    return Splits(row["n"], {c: row[f"n{i}"] for i, c in enumerate(cols)}, edges)
+    for c in cols:
+        # Infinite values need no edge of their own; a column without values gets two buckets.
+        inner = sorted({v for v in found.get(c) or [] if math.isfinite(v)})
+        edges[c] = [-math.inf, *(inner or [0.0]), math.inf]
+    return edges
 
 
 def bucketed(df: DataFrame, edges: dict[str, list[float]], suffix: str = "__b") -> DataFrame:
-    """Add an int bucket column `<col><suffix>` per column (binary search on the JVM)."""
+    """Add a bucket column `<col><suffix>` per column (binary search on the JVM)."""
     cols = list(edges)
-    out = Bucketizer(
+    return Bucketizer(
         splitsArray=[edges[c] for c in cols],
         inputCols=cols,
         outputCols=[c + suffix for c in cols],
         handleInvalid="keep",
     ).transform(df)
-    return out.withColumns({c + suffix: F.col(c + suffix).cast("int") for c in cols})
 
 
 def melt(
@@ -80,16 +86,18 @@ def melt(
 ) -> DataFrame:
     """Long form (keep..., feature, value[, bucket]) of the given columns, missing values dropped."""
     keep = list(keep)
-    wide = df.select(*keep, *[plain(c).alias(c) for c in cols])
+    # -0.0 is folded into 0.0, so that equal values share a bucket.
+    folded = [f"CASE WHEN `{c}` = 0 THEN 0D ELSE CAST(`{c}` AS DOUBLE) END AS `{c}`" for c in cols]
+    wide = df.selectExpr(*[f"`{k}`" for k in keep], *folded)
     if edges:
         wide = bucketed(wide, {c: edges[c] for c in cols})
-        items = ", ".join(f"'{c}', {c}, {c}__b" for c in cols)
+        items = ", ".join(f"'{c}', `{c}`, CAST(`{c}__b` AS INT)" for c in cols)
         names = f"(feature, value, {BUCKET})"
     else:
-        items = ", ".join(f"'{c}', {c}" for c in cols)
+        items = ", ".join(f"'{c}', `{c}`" for c in cols)
         names = "(feature, value)"
     long = wide.select(*keep, F.expr(f"stack({len(cols)}, {items}) as {names}"))
-    return long.where(~is_missing("value"))
+    return long.where("value IS NOT NULL AND NOT isnan(value)")
 
 
 def running_totals(
@@ -156,17 +164,16 @@ def select_ranks(
     cols: list[str],
     wants: Callable[[str, int], list[Want]],
     n_buckets: int | None = None,
-    splits: Splits | None = None,
 ) -> DataFrame:
     """Exact order statistics of many columns at once.
 
-    Returns (feature, tag, weight, rank, value, below, at): the value at each rank among the
-    non-missing values, how many values lie below it and how many equal it. Bucket counts
-    locate the buckets that matter; only those rows are shuffled.
+    `wants(column, number of non-missing values)` names the ranks. Returns (feature, tag, weight,
+    rank, value, below, at): the value at each rank among the non-missing values, how many values
+    lie below it and how many equal it. Bucket counts locate the buckets that matter; only those
+    rows are shuffled.
     """
     spark = df.sparkSession
-    splits = splits or find_splits(df, cols, n_buckets)
-    long = melt(df, cols, edges=splits.edges)
+    long = melt(df, cols, edges=find_edges(df, cols, n_buckets))
     counts: dict[str, dict[int, int]] = {c: {} for c in cols}
     # Bounded: at most cols x n_buckets rows.
     for r in long.groupBy("feature", BUCKET).count().collect():
@@ -174,7 +181,7 @@ def select_ranks(
 
     located = []
     for c in cols:
-        todo = sorted(wants(c, splits.n_valid[c]), key=lambda w: w.rank)
+        todo = sorted(wants(c, sum(counts[c].values())), key=lambda w: w.rank)
         base, i = 0, 0
         for b in sorted(counts[c]):
             here = []
@@ -278,18 +285,17 @@ def before_rank(
         return F.lit(False)
     if rank <= small:
         return _up_to_last(df, rank, order)
-    col, rest = order[0], order[1:]
-    splits = find_splits(df, [col])
-    if rank >= splits.n_rows:
+    if rank >= df.count():
         return F.lit(True)
+    col, rest = order[0], order[1:]
     key = F.col(col)
-    valid = splits.n_valid[col]
-    if rank >= valid:
+    hit = select_ranks(df, [col], lambda _c, _n: [Want(rank, "cut")]).first()
+    if hit is None:  # the cut lies among the rows without a value
         tail = is_missing(key.cast("double"))
+        valid = df.where(~tail).count()
         if rank == valid or not rest:
             return ~tail
         return ~tail | before_rank(df.where(tail), rank - valid, rest, small)
-    hit = select_ranks(df, [col], lambda _c, _n: [Want(rank, "cut")], splits=splits).first()
     kind = df.schema[col].dataType
     if abs(hit["value"]) >= 2**53 and isinstance(kind, T.LongType):
         raise ValueError(f"{col} holds integers a double cannot tell apart")
@@ -336,11 +342,11 @@ def hot_key_buckets(
     hot = counts.where(F.col("key_rows") > hot_rows).select(*keys, F.lit(True).alias("is_hot"))
     if hot.isEmpty():
         return df.withColumn(BUCKET, F.lit(0)), False
-    splits = find_splits(df, [order], n_buckets)
+    edges = find_edges(df, [order], n_buckets)
     # No forced broadcast: there can be as many hot keys as rows / hot_rows.
     split = (
-        bucketed(df.join(hot, keys, "left"), splits.edges)
-        .withColumn(BUCKET, F.when(F.col("is_hot"), F.col(f"{order}__b")).otherwise(F.lit(0)))
+        bucketed(df.join(hot, keys, "left"), edges)
+        .withColumn(BUCKET, F.when(F.col("is_hot"), F.col(f"{order}__b").cast("int")).otherwise(F.lit(0)))
         .drop("is_hot", f"{order}__b")
     )
     return split, True

@@ -127,9 +127,20 @@ def class_profiles(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> tuple[DataFr
 
 def amount_outliers(df: DataFrame) -> DataFrame:
     """Amount fences and fraud rates on either side of them, with amount statistics by class."""
-    q = exact_quantiles(df, ["Amount"], OUTLIER_QUANTILES).first()
-    if q is None:
+    by_class = df.select(
+        "Amount",
+        F.when(F.col(LABEL) == 1, F.col("Amount")).alias("fraud"),
+        F.when(F.col(LABEL) == 0, F.col("Amount")).alias("legit"),
+    )
+    found = {
+        r["feature"]: r
+        for r in exact_quantiles(
+            by_class, by_class.columns, {"median": 0.5, **OUTLIER_QUANTILES}
+        ).collect()
+    }
+    if "Amount" not in found:
         raise ValueError("no amounts to analyse")
+    q = found["Amount"]
     iqr = q["q3"] - q["q1"]
     upper = q["q3"] + FENCE_WIDTH * iqr
     lower = q["q1"] - FENCE_WIDTH * iqr
@@ -158,8 +169,8 @@ def amount_outliers(df: DataFrame) -> DataFrame:
         F.stddev_samp(legit).alias("legit_amount_std"),
     )
     medians = {
-        name: _median(df.where(label == value))
-        for name, value in (("fraud_amount_median", 1), ("legit_amount_median", 0))
+        f"{who}_amount_median": found[who]["median"] if who in found else None
+        for who in ("fraud", "legit")
     }
     fixed = {
         "q1": q["q1"],
@@ -173,7 +184,3 @@ def amount_outliers(df: DataFrame) -> DataFrame:
     }
     return stats.withColumns({k: F.lit(v).cast("double") for k, v in fixed.items()})
 
-
-def _median(df: DataFrame) -> float | None:
-    row = exact_quantiles(df, ["Amount"], {"median": 0.5}).first()
-    return None if row is None else row["median"]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.values import ratio
 from riskengine.schema import LABEL, PCA_FEATURES
+from riskengine.sources.files import read_spread
 
 # Fixed values of the test views.
 EPOCH_START = 1704067200
@@ -23,7 +24,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     vectors = table(spark, sf_dir, "embeddings")
     n_vectors = vectors.count()  # from the Parquet footers, no column is read
-    events = table(spark, sf_dir, "events").select(
+    events = read_spread(
+        spark, f"{sf_dir}/events.parquet", "event_id", ["event_id", "ts", "value"]
+    ).select(
         F.col("event_id").alias("txn_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("value").alias("Amount"),

@@ -133,16 +133,16 @@ def test_hour_slices_need_the_column(scored):
     }
 
 
-@pytest.mark.parametrize("small_cells", [50_000, 0])
-def test_bootstrap_weights_are_full_resamples(scored, scores, small_cells):
+@pytest.mark.parametrize("small_cells,max_slots", [(50_000, 10**9), (0, 10**9), (50_000, 0)])
+def test_bootstrap_weights_are_full_resamples(scored, scores, small_cells, max_slots):
     cells = b._cells(scored, "p", "p_b", "Class")
-    w = b.resample_weights(cells, len(scores), 8, small_cells=small_cells).toPandas()
+    w = b.resample_weights(cells, len(scores), 8, small_cells=small_cells, max_slots=max_slots).toPandas()
     assert (w.groupby("rep")["w"].sum() == len(scores)).all() and w["rep"].nunique() == 8
     # Mean weight of a cell is its number of rows.
     rows = scores.groupby(["p", "p_b", "Class"]).size()
     mean = w.groupby(["a", "b", "y"])["w"].sum() / 8
     assert abs(mean.reindex(rows.index).fillna(0) - rows).mean() < 0.6
-    samples = b.bootstrap_samples(scored, n_bootstraps=8, small_cells=small_cells).orderBy("iteration").toPandas()
+    samples = b.bootstrap_samples(scored, n_bootstraps=8, small_cells=small_cells, max_slots=max_slots).orderBy("iteration").toPandas()
     for r in range(8):
         part = w[w["rep"] == r]
         want = average_precision(part["y"].to_numpy(), part["a"].to_numpy(), part["w"].to_numpy())

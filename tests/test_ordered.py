@@ -85,7 +85,7 @@ def test_before_rank_accepts_a_function_of_the_row_count(hot):
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_match_a_global_window(hot, descending):
     v, df = hot
-    edges = o.find_splits(df, ["x"], 8).edges
+    edges = o.find_edges(df, ["x"], 8)
     groups = (
         o.bucketed(df.select("x"), edges)
         .withColumnRenamed("x__b", "bucket")
@@ -128,7 +128,7 @@ def test_running_max_and_count_split_hot_keys(spark, hot_rows):
 def test_no_row_level_single_partition_exchange(hot):
     """Only tables of bucket totals may be ordered in one task."""
     _, df = hot
-    edges = o.find_splits(df, ["x"], 8).edges
+    edges = o.find_edges(df, ["x"], 8)
     groups = (
         o.bucketed(df.select("x"), edges)
         .withColumnRenamed("x__b", "bucket")
@@ -137,3 +137,20 @@ def test_no_row_level_single_partition_exchange(hot):
     )
     plan = o.running_totals(groups, ["bucket"], "x", ["n"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
+
+
+def test_results_do_not_depend_on_the_edges(hot, monkeypatch):
+    """Edges found on a few rows, or on none worth having, only change how the work is spread."""
+    v, df = hot
+    monkeypatch.setattr(o, "EDGE_ROWS", 40)
+    monkeypatch.setattr(o, "EDGE_ROWS_PER_BUCKET", 1)
+    r = o.exact_quantiles(df, ["x"], {"m": 0.3}, n_buckets=8).first()
+    assert r["m"] == pytest.approx(np.percentile(v, 30), abs=1e-12)
+    got = {x["txn_id"] for x in df.where(o.before_rank(df, 1234, ("x", "txn_id"), 0)).collect()}
+    assert got == set(sorted(range(len(v)), key=lambda i: (v[i], i))[:1234])
+
+
+def test_more_rows_mean_more_buckets(spark):
+    assert o.bucket_number(spark, 0) == 16
+    assert o.bucket_number(spark, 10**10) == 1000
+    assert o.bucket_number(spark, 10**13) == o.MAX_BUCKETS
