@@ -24,7 +24,7 @@ class CostMatrix:
 
     def calibrate(self, df: DataFrame) -> CostMatrix:
         """Take the mean fraud amount of `df` (one aggregate, one number back) as fn_cost."""
-        mean = df.agg(F.avg(F.when(F.col(LABEL) == 1, F.col("Amount")))).first()[0]
+        mean = fraud_amount(df).first()["avg_fraud_amount"]
         mean = float("nan") if mean is None else mean
         return replace(self, fn_cost=mean, avg_fraud_amount=mean)
 
@@ -61,6 +61,23 @@ class CostMatrix:
         return {**parts, "total_cost": total}
 
 
+def fraud_amount(df: DataFrame) -> DataFrame:
+    return df.agg(F.avg(F.when(F.col(LABEL) == 1, F.col("Amount"))).alias("avg_fraud_amount"))
+
+
+def cost_calibration(df: DataFrame, base: CostMatrix = CostMatrix()) -> DataFrame:
+    """The calibrated matrix of `df` as a one-row table."""
+    mean = F.col("avg_fraud_amount")
+    return fraud_amount(df).select(
+        mean.alias("fn_cost"),
+        F.lit(base.fp_cost).alias("fp_cost"),
+        F.lit(base.tp_cost).alias("tp_cost"),
+        F.lit(base.tn_cost).alias("tn_cost"),
+        "avg_fraud_amount",
+        ratio(mean, F.lit(base.fp_cost), None).alias("cost_ratio"),
+    )
+
+
 def expected_cost(confusion: DataFrame, costs: CostMatrix) -> DataFrame:
     """Add the four cost products and their total to rows of confusion counts."""
     return confusion.withColumns(costs.columns())

@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from riskengine.operators.costs import CostMatrix, cost_scenario, imbalance, naive_baseline
+from riskengine.operators.costs import (
+    CostMatrix,
+    cost_calibration,
+    cost_scenario,
+    imbalance,
+    naive_baseline,
+)
 from riskengine.operators.profile import (
     amount_outliers,
     class_comparison,
@@ -30,7 +36,7 @@ def run_eda(df: DataFrame, folder: str | None = None) -> dict[str, DataFrame]:
         "top_effects": top_effects(effects, 10),
         "weakest_effects": top_effects(effects, 5, weakest=True),
         "amount_outliers": amount_outliers(df),
-        "cost_matrix": df.sparkSession.createDataFrame([costs.summary()]),
+        "cost_matrix": cost_calibration(df),
         "cost_scenario": cost_scenario(df, costs),
         "imbalance": imbalance(df),
         "naive_baseline": naive_baseline(df),

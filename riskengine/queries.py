@@ -277,9 +277,7 @@ def _calibrated(df: DataFrame) -> cost.CostMatrix:
 
 
 def cost_calibration(spark, sf_dir):
-    summary = _calibrated(transactions(spark, sf_dir)).summary()
-    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in summary.items()])
-    return _rounded(row, 9)
+    return _rounded(cost.cost_calibration(transactions(spark, sf_dir)), 9)
 
 
 def expected_cost(spark, sf_dir):

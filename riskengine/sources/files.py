@@ -18,6 +18,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def numbered_folders(
+    spark: SparkSession, path: str, prefix: str, finished: bool = False
+) -> list[int]:
+    """The numbers N of the sub-folders `<prefix>N`, ascending; empty when there is no such path.
+
+    `finished` leaves out folders whose write has not been committed.
+    """
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    found = sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix))
+    return [n for n in found if not finished or path_exists(spark, f"{path}/{prefix}{n}/_SUCCESS")]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of a file or folder as the file system reports it."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

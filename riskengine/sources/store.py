@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.sources.files import path_exists
+from riskengine.sources.files import numbered_folders, path_exists
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -47,7 +47,9 @@ class FeatureStore:
 
     def write_new_version(self, df: DataFrame, description: str) -> int:
         """Write df as the next version. An existing folder is an error, never overwritten."""
-        version = (self.current_version() or 0) + 1
+        # A folder without a manifest row is left from a write that did not finish.
+        taken = numbered_folders(self.spark, self.root, "v=")
+        version = max([self.current_version() or 0, *taken]) + 1
         path = f"{self.root}/v={version}"
         df.write.mode("errorifexists").parquet(path)
         written = self.spark.read.schema(df.schema).parquet(path)

@@ -11,9 +11,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskengine.functions.values import count_where
 from riskengine.operators.scoring import RECENT_LIMIT, stats_from_histogram
+from riskengine.sources.files import drop_folder, numbered_folders
 from riskengine.streaming.transport import start
 
-BATCH = "batch"
+BATCH = "batch="
+# Snapshots kept, so that a reader of the newest one is never cut off.
+KEEP_BATCHES = 20
+
+
+def _write_snapshot(rows: DataFrame, out: str, number: int) -> None:
+    """One folder per batch; a repeated batch rewrites its own, old ones are dropped."""
+    rows.write.mode("overwrite").parquet(f"{out}/{BATCH}{number}")
+    if number >= KEEP_BATCHES:
+        drop_folder(rows.sparkSession, f"{out}/{BATCH}{number - KEEP_BATCHES}")
 
 
 @contextmanager
@@ -46,8 +56,7 @@ def run_stats(
     )
 
     def snapshot(batch: DataFrame, number: int) -> None:
-        # A repeated batch rewrites its own folder.
-        stats_from_histogram(batch).write.mode("overwrite").parquet(f"{out}/{BATCH}={number}")
+        _write_snapshot(stats_from_histogram(batch), out, number)
 
     with _shuffle_partitions(scored.sparkSession, state_partitions):
         writer = cells.writeStream.outputMode("complete").foreachBatch(snapshot)
@@ -70,15 +79,14 @@ def run_recent(
     def merge(batch: DataFrame, number: int) -> None:
         rows = batch
         if number > 0:
-            before = batch.sparkSession.read.schema(batch.schema).parquet(f"{out}/{BATCH}={number - 1}")
-            rows = rows.unionByName(before)
-        rows.orderBy(*newest).limit(limit).write.mode("overwrite").parquet(f"{out}/{BATCH}={number}")
+            before = f"{out}/{BATCH}{number - 1}"
+            rows = rows.unionByName(batch.sparkSession.read.schema(batch.schema).parquet(before))
+        _write_snapshot(rows.orderBy(*newest).limit(limit), out, number)
 
     return start(scored.writeStream.foreachBatch(merge), checkpoint, interval)
 
 
 def latest(spark: SparkSession, out: str) -> DataFrame:
     """The table of the last finished batch."""
-    rows = spark.read.parquet(out)
-    last = rows.agg(F.max(BATCH)).first()[0]
-    return rows.where(F.col(BATCH) == last).drop(BATCH)
+    newest = numbered_folders(spark, out, BATCH, finished=True)[-1]
+    return spark.read.parquet(f"{out}/{BATCH}{newest}")

@@ -100,7 +100,8 @@ def test_stream_scores_equal_batch_scores(spark, txn):
     assert kinds == {"bad_json": 1, "missing": 1}
 
 
-def test_stream_statistics_and_recent(spark, txn):
+def test_stream_statistics_and_recent(spark, txn, monkeypatch):
+    monkeypatch.setattr(telemetry, "KEEP_BATCHES", 2)
     scored = sc.score_payload(add_formula_score(txn).drop("p_b"), 0.5, latency=F.col("scoring_latency_ms"), scored_at=F.timestamp_seconds(F.col("Time").cast("long")))
     scored = scored.select("txn_id", "is_fraud", "scoring_latency_ms", "scored_at")
     channel = FileChannel(scratch_path(spark, "scored"))

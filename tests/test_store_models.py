@@ -53,6 +53,9 @@ def test_feature_store_time_travel(spark, txn):
     assert rows[2]["columns"] == ["txn_id", *FEATURES]
     with pytest.raises(LookupError):
         store.get_version(9)
+    # A write that died before its manifest row does not block the next one.
+    feats.limit(1).write.parquet(f"{store.root}/v=3")
+    assert store.write_new_version(feats, "third") == 4 and store.list_versions().count() == 3
 
 
 def test_threshold_config(spark):
