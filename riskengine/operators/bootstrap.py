@@ -27,7 +27,7 @@ from riskengine.session import materialize
 # More cells than this are numbered and joined as a distributed table.
 SMALL_CELLS = 50_000
 # More draws than this over few cells are made as counts per resample.
-MAX_SLOTS = 20_000_000_000
+MAX_SLOTS = 2_000_000_000
 DRAWS_PER_TASK = 4_000_000
 MAX_TASKS = 100_000
 ROWS_PER_PIECE = 10_000

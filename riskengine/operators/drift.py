@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.draws import normal
 from riskengine.functions.kstest import ks_pvalue
-from riskengine.operators.ordered import BUCKET, find_edges, melt, running_totals
+from riskengine.operators.ordered import (
+    BUCKET,
+    edges_of,
+    hot_values,
+    melt,
+    quantile_points,
+    running_totals,
+)
 from riskengine.operators.quality import require_columns
 from riskengine.operators.split import first_rows, sample_n
 from riskengine.schema import FEATURES, KEY_FEATURES, ROW_ID
@@ -43,24 +50,31 @@ def distances(
 ) -> DataFrame:
     """(keys..., feature, n_ref, n_cur, ks, wasserstein) from the two running shares.
 
-    Features are handled together in one long table; values are collapsed before they are
-    ordered, and ordered inside value buckets.
+    Features are handled together in one long table that is shuffled once, to value buckets, and
+    ordered inside them. Most feature values differ, so only hot ones are collapsed beforehand.
     """
     keys = list(keys)
     require_columns(sides, cols)
-    edges = find_edges(sides, cols)
-    groups = (
-        melt(sides, cols, keep=[*keys, "a", "b"], edges=edges)
-        .groupBy(*keys, "feature", BUCKET, "value")
-        .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    )
+    points = quantile_points(sides, cols)
+    part = [*keys, "feature", BUCKET]
+    rows = melt(sides, cols, keep=[*keys, "a", "b"], edges=edges_of(points), by_number=True)
+    hot = [(i, v) for i, c in enumerate(cols) for v in hot_values(points)[c]]
+    if hot:
+        # At most half a value per bucket edge.
+        known = F.broadcast(sides.sparkSession.createDataFrame(hot, "feature int, value double"))
+        collapsed = (
+            rows.join(known, ["feature", "value"], "left_semi")
+            .groupBy(*part, "value")
+            .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+        )
+        rows = rows.join(known, ["feature", "value"], "left_anti").unionByName(collapsed)
     by = [*keys, "feature"]
-    curve = running_totals(groups, by, "value", ["a", "b"], next_value=True)
+    curve = running_totals(rows.repartition(*part), by, "value", ["a", "b"], next_value=True)
     gap = F.abs(
         F.try_divide(F.col("a_cum").cast("double"), F.col("a_all").cast("double"))
         - F.try_divide(F.col("b_cum").cast("double"), F.col("b_all").cast("double"))
     )
-    return curve.groupBy(*by).agg(
+    per_feature = curve.groupBy(*by).agg(
         F.max("a_all").alias("n_ref"),
         F.max("b_all").alias("n_cur"),
         F.max(gap).alias("ks"),
@@ -68,6 +82,8 @@ def distances(
             "wasserstein"
         ),
     )
+    names = F.array(*[F.lit(c) for c in cols])
+    return per_feature.withColumn("feature", names[F.col("feature")])
 
 
 def moments(sides: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES) -> DataFrame:

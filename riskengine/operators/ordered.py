@@ -5,8 +5,8 @@ by value; a bucket is a pure function of the value, so recomputed tasks agree an
 stay together. Work inside buckets runs in parallel and one small table of bucket totals links
 them. Bucket edges shape the load, never the result.
 
-Data is collapsed to distinct values before any sort, so one value held by a third of all rows
-becomes one row.
+One value may be held by a third of all rows. Such values are collapsed before the shuffle: all of
+them where collapsing pays (scores, counts), only the hot ones where most values differ.
 """
 
 from __future__ import annotations
@@ -40,8 +40,10 @@ def bucket_number(spark: SparkSession, n_rows: int) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
 
 
-def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> dict[str, list[float]]:
-    """Bucket edges per column: quantiles of its values, at most n_buckets of them.
+def quantile_points(
+    df: DataFrame, cols: list[str], n_buckets: int | None = None
+) -> dict[str, list[float]]:
+    """n_buckets - 1 approximate quantiles per column, in order.
 
     On a long table they come from a random part of its rows. That is only a guess at an even
     load: every row is put in a bucket afterwards, and results are the same for any edges.
@@ -59,12 +61,22 @@ def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) ->
         .agg(F.expr(f"percentile_approx(value, array({probs}), {points})").alias("q"))
         .collect()
     }
-    edges = {}
-    for c in cols:
-        # Infinite values need no edge of their own; a column without values gets two buckets.
-        inner = sorted({v for v in found.get(c) or [] if math.isfinite(v)})
-        edges[c] = [-math.inf, *(inner or [0.0]), math.inf]
-    return edges
+    return {c: found.get(c) or [] for c in cols}
+
+
+def edges_of(points: dict[str, list[float]]) -> dict[str, list[float]]:
+    """Bucket edges per column. Infinite values need no edge; no values at all get two buckets."""
+    inner = {c: sorted({v for v in q if math.isfinite(v)}) or [0.0] for c, q in points.items()}
+    return {c: [-math.inf, *q, math.inf] for c, q in inner.items()}
+
+
+def hot_values(points: dict[str, list[float]]) -> dict[str, list[float]]:
+    """Values that fill whole buckets: every value with twice a bucket's share is among them."""
+    return {c: sorted({a for a, b in zip(q, q[1:]) if a == b}) for c, q in points.items()}
+
+
+def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> dict[str, list[float]]:
+    return edges_of(quantile_points(df, cols, n_buckets))
 
 
 def bucketed(df: DataFrame, edges: dict[str, list[float]], suffix: str = "__b") -> DataFrame:
@@ -83,18 +95,23 @@ def melt(
     cols: list[str],
     keep: Iterable[str] = (),
     edges: dict[str, list[float]] | None = None,
+    by_number: bool = False,
 ) -> DataFrame:
-    """Long form (keep..., feature, value[, bucket]) of the given columns, missing values dropped."""
+    """Long form (keep..., feature, value[, bucket]) of the given columns, missing values dropped.
+
+    `by_number` puts the position of the column in `feature` instead of its name: less to shuffle.
+    """
     keep = list(keep)
+    name = {c: str(i) if by_number else f"'{c}'" for i, c in enumerate(cols)}
     # -0.0 is folded into 0.0, so that equal values share a bucket.
     folded = [f"CASE WHEN `{c}` = 0 THEN 0D ELSE CAST(`{c}` AS DOUBLE) END AS `{c}`" for c in cols]
     wide = df.selectExpr(*[f"`{k}`" for k in keep], *folded)
     if edges:
         wide = bucketed(wide, {c: edges[c] for c in cols})
-        items = ", ".join(f"'{c}', `{c}`, CAST(`{c}__b` AS INT)" for c in cols)
+        items = ", ".join(f"{name[c]}, `{c}`, CAST(`{c}__b` AS INT)" for c in cols)
         names = f"(feature, value, {BUCKET})"
     else:
-        items = ", ".join(f"'{c}', `{c}`" for c in cols)
+        items = ", ".join(f"{name[c]}, `{c}`" for c in cols)
         names = "(feature, value)"
     long = wide.select(*keep, F.expr(f"stack({len(cols)}, {items}) as {names}"))
     return long.where("value IS NOT NULL AND NOT isnan(value)")
@@ -108,10 +125,11 @@ def running_totals(
     descending: bool = False,
     next_value: bool = False,
 ) -> DataFrame:
-    """Running sums over distinct values, per key.
+    """Running sums by value, per key.
 
-    `groups` holds one row per (keys, bucket, value). Adds `<s>_cum` (up to and including the
-    row), `<s>_all` (whole key) and, on request, `next_value` (the following value of the key).
+    `groups` holds rows of (keys, bucket, value, sums). Adds `<s>_cum` (all rows of the key up to
+    and including this value), `<s>_all` (whole key) and, on request, `next_value` (the value of
+    the next row of the key).
     """
     part = [*keys, BUCKET]
     # Stated here, so that both uses below keep the same plan and share one shuffle.
@@ -120,7 +138,7 @@ def running_totals(
     per_key = keys or [F.lit(0)]
     order = F.desc if descending else F.asc
     inside = Window.partitionBy(*part).orderBy(order(value))
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*per_key).orderBy(order(BUCKET))
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*per_key)

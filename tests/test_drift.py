@@ -43,6 +43,18 @@ def test_distances_match_brute_force(pair):
         assert (got[f]["n_ref"], got[f]["n_cur"]) == (500, 400)
 
 
+def test_a_hot_value_is_counted_whole(spark, pair):
+    """A third of all rows share one value on both sides; others share smaller ones."""
+    (a, _), (b, _) = pair
+    a, b = a.copy(), b.copy()
+    a.loc[: len(a) // 3, "V1"] = 0.5
+    b.loc[: len(b) // 3, "V1"] = 0.5
+    got = d.distances(d.both_sides(spark.createDataFrame(a), spark.createDataFrame(b)), cols=["V1"]).first()
+    ks, w = brute(a["V1"].to_numpy(), b["V1"].to_numpy())
+    assert got["ks"] == pytest.approx(ks, abs=1e-12) and got["wasserstein"] == pytest.approx(w, abs=1e-12)
+    assert (got["feature"], got["n_ref"], got["n_cur"]) == ("V1", 500, 400)
+
+
 def test_a_table_does_not_drift_from_itself(pair):
     (_, ref), _ = pair
     rows = d.with_pvalue(d.distances(d.both_sides(ref, ref))).collect()
