@@ -46,16 +46,20 @@ def mark_sides(df: DataFrame, is_reference: Column) -> DataFrame:
 
 
 def distances(
-    sides: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES
+    sides: DataFrame,
+    keys: Sequence[str] = (),
+    cols: list[str] = FEATURES,
+    like: DataFrame | None = None,
 ) -> DataFrame:
     """(keys..., feature, n_ref, n_cur, ks, wasserstein) from the two running shares.
 
     Features are handled together in one long table that is shuffled once, to value buckets, and
     ordered inside them. Most feature values differ, so only hot ones are collapsed beforehand.
+    `like` is a smaller table with similar values to place the bucket edges by.
     """
     keys = list(keys)
     require_columns(sides, cols)
-    points = quantile_points(sides, cols)
+    points = quantile_points(sides if like is None else like, cols)
     part = [*keys, "feature", BUCKET]
     rows = melt(sides, cols, keep=[*keys, "a", "b"], edges=edges_of(points), by_number=True)
     hot = [(i, v) for i, c in enumerate(cols) for v in hot_values(points)[c]]
@@ -201,6 +205,14 @@ def drift_by_window(
 
     The reference is a sample of bounded size; it is repeated once per window.
     """
+    by = [window_start, "feature"]
     windows = [r[0] for r in rows.select(window_start).distinct().orderBy(window_start).collect()]
     repeated = ref.withColumn(window_start, F.explode(F.array(*[F.lit(w) for w in windows])))
-    return drift_report(both_sides(repeated, rows), [window_start], cols, p_value)
+    found = distances(both_sides(repeated, rows), [window_start], cols, both_sides(ref, rows))
+    of_ref = moments(mark_sides(ref, F.lit(True)), [], cols).select("feature", "ref_mean", "ref_std")
+    of_cur = moments(mark_sides(rows, F.lit(False)), [window_start], cols)
+    return (
+        with_pvalue(found, p_value)
+        .join(of_cur.select(*by, "cur_mean", "cur_std"), by)
+        .join(F.broadcast(of_ref), "feature")  # one row per feature
+    )
