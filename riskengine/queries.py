@@ -15,7 +15,7 @@ from riskengine.operators import bootstrap as boot
 from riskengine.operators import costs as cost
 from riskengine.operators import curves, drift, governance, learners, profile, quality, scoring
 from riskengine.operators import slices, split
-from riskengine.schema import FEATURES, KEYED_SCHEMA, LABEL, PCA_FEATURES, ROW_ID
+from riskengine.schema import KEYED_SCHEMA, LABEL, ROW_ID
 from riskengine.session import materialize, scratch_path
 from riskengine.sources import files, messages, store
 from riskengine.sources.views import (
