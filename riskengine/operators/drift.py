@@ -11,11 +11,9 @@ from riskengine.functions.draws import normal
 from riskengine.functions.kstest import ks_pvalue
 from riskengine.operators.ordered import (
     BUCKET,
-    edges_of,
-    hot_values,
     melt,
-    quantile_points,
     running_totals,
+    value_shape,
 )
 from riskengine.operators.quality import require_columns
 from riskengine.operators.split import first_rows, sample_n
@@ -28,6 +26,9 @@ KEY_FEATURE_COUNT = 2
 REFERENCE_ROWS = 227845
 REFERENCE_SAMPLE = 5000
 
+# From this share of distinct values on, collapsing all of them costs more than it saves.
+MOSTLY_DISTINCT = 0.5
+
 
 def both_sides(ref: DataFrame, cur: DataFrame) -> DataFrame:
     """Two tables as one: a = 1 on reference rows, b = 1 on current rows."""
@@ -53,27 +54,29 @@ def distances(
 ) -> DataFrame:
     """(keys..., feature, n_ref, n_cur, ks, wasserstein) from the two running shares.
 
-    Features are handled together in one long table that is shuffled once, to value buckets, and
-    ordered inside them. Most feature values differ, so only hot ones are collapsed beforehand.
-    `like` is a smaller table with similar values to place the bucket edges by.
+    Features are handled together in one long table, spread over value buckets and ordered inside
+    them. Values are collapsed before the shuffle: all of them where they repeat a lot, only the
+    hot ones where most of them differ. `like` is a smaller table with similar values to place
+    the bucket edges by.
     """
     keys = list(keys)
     require_columns(sides, cols)
-    points = quantile_points(sides if like is None else like, cols)
+    shape = value_shape(sides if like is None else like, cols)
     part = [*keys, "feature", BUCKET]
-    rows = melt(sides, cols, keep=[*keys, "a", "b"], edges=edges_of(points), by_number=True)
-    hot = [(i, v) for i, c in enumerate(cols) for v in hot_values(points)[c]]
-    if hot:
-        # At most half a value per bucket edge.
-        known = F.broadcast(sides.sparkSession.createDataFrame(hot, "feature int, value double"))
-        collapsed = (
-            rows.join(known, ["feature", "value"], "left_semi")
-            .groupBy(*part, "value")
-            .agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-        )
-        rows = rows.join(known, ["feature", "value"], "left_anti").unionByName(collapsed)
+    rows = melt(sides, cols, keep=[*keys, "a", "b"], edges=shape.edges, by_number=True)
+    if shape.distinct_share < MOSTLY_DISTINCT:
+        rows = _collapsed(rows, part)
+    else:
+        hot = [(i, v) for i, c in enumerate(cols) for v in shape.hot_values[c]]
+        if hot:
+            # At most half a value per bucket edge.
+            known = F.broadcast(rows.sparkSession.createDataFrame(hot, "feature int, value double"))
+            on = ["feature", "value"]
+            cold = rows.join(known, on, "left_anti")
+            rows = cold.unionByName(_collapsed(rows.join(known, on, "left_semi"), part))
+        rows = rows.repartition(*part)
     by = [*keys, "feature"]
-    curve = running_totals(rows.repartition(*part), by, "value", ["a", "b"], next_value=True)
+    curve = running_totals(rows, by, "value", ["a", "b"], next_value=True)
     gap = F.abs(
         F.try_divide(F.col("a_cum").cast("double"), F.col("a_all").cast("double"))
         - F.try_divide(F.col("b_cum").cast("double"), F.col("b_all").cast("double"))
@@ -90,6 +93,10 @@ def distances(
     return per_feature.withColumn("feature", names[F.col("feature")])
 
 
+def _collapsed(rows: DataFrame, part: list[str]) -> DataFrame:
+    return rows.groupBy(*part, "value").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+
 def moments(sides: DataFrame, keys: Sequence[str] = (), cols: list[str] = FEATURES) -> DataFrame:
     """Mean and population standard deviation of each feature on both sides."""
     keys = list(keys)

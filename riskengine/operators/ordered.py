@@ -6,7 +6,7 @@ stay together. Work inside buckets runs in parallel and one small table of bucke
 them. Bucket edges shape the load, never the result.
 
 One value may be held by a third of all rows. Such values are collapsed before the shuffle: all of
-them where collapsing pays (scores, counts), only the hot ones where most values differ.
+them where collapsing pays, only the hot ones where most values differ.
 """
 
 from __future__ import annotations
@@ -40,12 +40,29 @@ def bucket_number(spark: SparkSession, n_rows: int) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
 
 
-def quantile_points(
-    df: DataFrame, cols: list[str], n_buckets: int | None = None
-) -> dict[str, list[float]]:
-    """n_buckets - 1 approximate quantiles per column, in order.
+@dataclass(frozen=True)
+class Shape:
+    """Approximate quantiles per column, in order, and the share of values that are distinct."""
+
+    points: dict[str, list[float]]
+    distinct_share: float
+
+    @property
+    def edges(self) -> dict[str, list[float]]:
+        """Bucket edges. Infinite values need no edge; a column without values gets two buckets."""
+        inner = {c: sorted({v for v in q if math.isfinite(v)}) for c, q in self.points.items()}
+        return {c: [-math.inf, *(q or [0.0]), math.inf] for c, q in inner.items()}
+
+    @property
+    def hot_values(self) -> dict[str, list[float]]:
+        """Values that fill whole buckets: any value with twice a bucket's share is among them."""
+        return {c: sorted({a for a, b in zip(q, q[1:]) if a == b}) for c, q in self.points.items()}
+
+
+def value_shape(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> Shape:
+    """The shape of each column, with n_buckets - 1 quantiles.
 
-    On a long table they come from a random part of its rows. That is only a guess at an even
+    On a long table it comes from a random part of its rows. That is only a guess at an even
     load: every row is put in a bucket afterwards, and results are the same for any edges.
     """
     n_rows = df.count()
@@ -55,28 +72,25 @@ def quantile_points(
     probs = ", ".join(repr(i / n_buckets) for i in range(1, n_buckets))
     points = max(1000, SKETCH_POINTS * n_buckets)
     found = {
-        r["feature"]: r["q"]
+        r["feature"]: r
         for r in melt(looked_at, cols)
         .groupBy("feature")
-        .agg(F.expr(f"percentile_approx(value, array({probs}), {points})").alias("q"))
+        .agg(
+            F.expr(f"percentile_approx(value, array({probs}), {points})").alias("q"),
+            F.approx_count_distinct("value").alias("n_distinct"),
+            F.count(F.lit(1)).alias("n"),
+        )
         .collect()
     }
-    return {c: found.get(c) or [] for c in cols}
-
-
-def edges_of(points: dict[str, list[float]]) -> dict[str, list[float]]:
-    """Bucket edges per column. Infinite values need no edge; no values at all get two buckets."""
-    inner = {c: sorted({v for v in q if math.isfinite(v)}) or [0.0] for c, q in points.items()}
-    return {c: [-math.inf, *q, math.inf] for c, q in inner.items()}
-
-
-def hot_values(points: dict[str, list[float]]) -> dict[str, list[float]]:
-    """Values that fill whole buckets: every value with twice a bucket's share is among them."""
-    return {c: sorted({a for a, b in zip(q, q[1:]) if a == b}) for c, q in points.items()}
+    values = sum(r["n"] for r in found.values())
+    distinct = sum(r["n_distinct"] for r in found.values())
+    return Shape(
+        {c: found[c]["q"] if c in found else [] for c in cols}, distinct / values if values else 0.0
+    )
 
 
 def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> dict[str, list[float]]:
-    return edges_of(quantile_points(df, cols, n_buckets))
+    return value_shape(df, cols, n_buckets).edges
 
 
 def bucketed(df: DataFrame, edges: dict[str, list[float]], suffix: str = "__b") -> DataFrame:

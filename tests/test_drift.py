@@ -43,8 +43,10 @@ def test_distances_match_brute_force(pair):
         assert (got[f]["n_ref"], got[f]["n_cur"]) == (500, 400)
 
 
-def test_a_hot_value_is_counted_whole(spark, pair):
+@pytest.mark.parametrize("mostly_distinct", [0.0, 1.1])
+def test_a_hot_value_is_counted_whole(spark, pair, monkeypatch, mostly_distinct):
     """A third of all rows share one value on both sides; others share smaller ones."""
+    monkeypatch.setattr(d, "MOSTLY_DISTINCT", mostly_distinct)
     (a, _), (b, _) = pair
     a, b = a.copy(), b.copy()
     a.loc[: len(a) // 3, "V1"] = 0.5
