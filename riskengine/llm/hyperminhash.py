@@ -9,6 +9,7 @@ from riskengine.llm.shingles import mix
 BANDS, ROWS = 48, 6
 BUCKETS = BANDS * ROWS
 MANTISSA_BITS = 10
+PARITY_BITS = 2048
 _VALUE_BITS = 52
 _ROUND_STEP = np.uint64(0xA0761D6478BD642F)
 # Elements hashed at once when empty buckets are filled.
@@ -82,3 +83,13 @@ def estimated_jaccard(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b:
     agree = (a == b).mean(axis=1)
     chance = chance_agreement(size_a.astype(float), size_b.astype(float))
     return (agree - chance) / (1 - chance)
+
+
+def parity_words(elements: np.ndarray) -> np.ndarray:
+    """Parity of the number of elements in each of PARITY_BITS hash cells, as 64-bit words.
+
+    Each element of the symmetric difference of two sets flips one cell, so that the cells that
+    differ are never more than the elements that do.
+    """
+    cells = (elements >> np.uint64(64 - PARITY_BITS.bit_length() + 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=PARITY_BITS) & 1).astype(np.uint8)).view(np.int64)

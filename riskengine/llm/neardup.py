@@ -7,8 +7,9 @@
 3. Pairs pass the collision-corrected estimate with a margin of over five standard deviations and
    are then verified on full shingle sets. Verified links are joined into components.
 4. Links that do not go through a bucket's smallest id are found next: classes that are not yet in
-   the component of their bucket's smallest id are paired with the bucket's other components, a
-   256-bit part of the sketch is compared within that join, and the pairs are verified as before.
+   the component of their bucket's smallest id are paired with the bucket's other components, and
+   verified as before. Within that join a 256-bit part of the sketch is compared, and parities of
+   hash cells, which bound the elements in which two sets differ from below and lose no pair.
 
 A pair at similarity 0.8 shares no band with a chance of 5e-7 (less above), which is the only way
 to miss a link. Only ids, band keys and sketches are shuffled for all texts; full shingle sets are
@@ -32,7 +33,15 @@ from pyspark.sql import functions as F
 
 from riskengine.llm.common import kept_as
 from riskengine.llm.components import components
-from riskengine.llm.hyperminhash import BUCKETS, band_keys, estimated_jaccard, low_bits, sketch
+from riskengine.llm.hyperminhash import (
+    BUCKETS,
+    PARITY_BITS,
+    band_keys,
+    estimated_jaccard,
+    low_bits,
+    parity_words,
+    sketch,
+)
 from riskengine.llm.shingles import batch_shingles
 from riskengine.session import materialize
 
@@ -41,16 +50,16 @@ PERCENT = 80
 # Standard deviations that an estimate may fall short of the threshold.
 MARGIN = 5.5
 
-_SKETCHED = "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>, sketch binary"
+_SKETCHED = "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>, parity array<long>, sketch binary"
 
 
 def sketched(docs: DataFrame, words: int) -> DataFrame:
     """Size, digest and sketch of the shingle set of each text (doc_id, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "set_key", "bands", "bits", "sketch"]
+        names = ["doc_id", "n_shingles", "set_key", "bands", "bits", "parity", "sketch"]
         for batch in batches:
-            sizes, keys, bands, bits, sketches = [], [], [], [], []
+            sizes, keys, bands, bits, parities, sketches = [], [], [], [], [], []
             for found in batch_shingles(batch.column("text"), words):
                 sizes.append(len(found))
                 if len(found):
@@ -58,9 +67,10 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
                     keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                     bands.append(band_keys(registers))
                     bits.append(low_bits(registers))
+                    parities.append(parity_words(found))
                     sketches.append(registers.tobytes())
                 else:
-                    for column in (keys, bands, bits, sketches):
+                    for column in (keys, bands, bits, parities, sketches):
                         column.append(None)
             longs = pa.list_(pa.int64())
             columns = [
@@ -69,6 +79,7 @@ def sketched(docs: DataFrame, words: int) -> DataFrame:
                 pa.array(keys, pa.binary()),
                 pa.array(bands, longs),
                 pa.array(bits, longs),
+                pa.array(parities, longs),
                 pa.array(sketches, pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
@@ -125,6 +136,14 @@ def _sizes_allow(percent: int) -> Column:
     return 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
 
 
+def _differing(x: str, y: str, words: int) -> Column:
+    """How many bits of two arrays of 64-bit words differ."""
+    return sum(
+        (F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(1, words)),
+        F.bit_count(F.get(x, F.lit(0)).bitwiseXOR(F.get(y, F.lit(0)))),
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links and kept for documents (doc_id, text).
 
@@ -141,7 +160,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     reps = (
         usable.join(classes.select(F.col("set_key").alias("k"), "rep"), (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep")))
         .dropDuplicates(["doc_id", "set_key"])
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "bits", "sketch")
+        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "bits", "parity", "sketch")
     )
     reps = materialize(reps, "dedup-reps")
 
@@ -150,7 +169,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     hubs = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
     shared = materialize(buckets.join(hubs.drop("last"), "bucket"), "dedup-buckets")
     met = shared.select("id").distinct()
-    near_reps = materialize(reps.join(met, "id", "left_semi").select("id", "n", "bits", "sketch"), "dedup-met")
+    near_reps = materialize(reps.join(met, "id", "left_semi").select("id", "n", "bits", "parity", "sketch"), "dedup-met")
     sets = materialize(
         shingle_sets(texts.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), words), "dedup-sets"
     )
@@ -173,23 +192,22 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         .select("bucket", "id", F.coalesce("component", "id").alias("c"), F.coalesce("h_component", "hub").alias("hub_c"))
     )
     strangers = placed.where("c <> hub_c")
-    narrow = near_reps.select("id", "n", "bits")
+    narrow = near_reps.select("id", "n", "bits", "parity")
     mixed = strangers.select("bucket").distinct()
-    left = strangers.join(narrow, "id").select("bucket", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("bits").alias("x"))
+    left = strangers.join(narrow, "id").select("bucket", F.col("id").alias("a"), F.col("c").alias("c_a"), F.col("n").alias("n_a"), F.col("bits").alias("x"), F.col("parity").alias("p"))
     right = (
         placed.join(mixed, "bucket", "left_semi")
         .join(narrow, "id")
-        .select("bucket", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("bits").alias("y"))
+        .select("bucket", F.col("id").alias("b"), F.col("c").alias("c_b"), F.col("n").alias("n_b"), F.col("bits").alias("y"), F.col("parity").alias("q"))
     )
     # The bits of registers that agree are equal, those of others are by half.
-    agree = F.lit(256)
-    for i in range(4):
-        agree = agree - F.bit_count(F.get("x", F.lit(i)).bitwiseXOR(F.get("y", F.lit(i))))
+    agree = F.lit(256) - _differing("x", "y", 4)
     chance = 0.5 + percent / 200
     least = 256 * chance - MARGIN * float(np.sqrt(256 * chance * (1 - chance)))
     pairs = (
         left.join(right, "bucket")
         .where((F.col("c_a") != F.col("c_b")) & _sizes_allow(percent) & (agree >= F.lit(least)))
+        .where((100 + percent) * _differing("p", "q", PARITY_BITS // 64) <= (100 - percent) * (F.col("n_a") + F.col("n_b")))
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
         .join(star, ["a", "b"], "left_anti")
