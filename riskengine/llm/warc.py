@@ -49,14 +49,16 @@ def record_roles(pages: DataFrame) -> DataFrame:
         F.sha2(payload.cast("binary"), 256).alias("digest"),
         F.octet_length(payload).cast("long").alias("bytes"),
     )
-    # Digests that occur once need no partner, which leaves few rows to be joined with.
-    first = (
+    # Digests that occur once need no partner. Written first, so that the join knows its true size
+    # and does not shuffle payloads for a few rows.
+    shared = (
         rows.where(F.col("bytes") >= MIN_SHARED_BYTES)
         .groupBy(F.col("digest").alias("f_digest"))
         .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
         .where("n > 1")
         .drop("n")
     )
+    first = materialize(shared, "warc-shared")
     other = F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))
     return rows.join(first, F.col("digest") == F.col("f_digest"), "left").select(
         "page_id", "url", "payload", "digest", "bytes", other.alias("refers_to")
@@ -112,17 +114,21 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, path: str) -> DataFrame:
-    """file, at, next of every place that looks like a record; next is null where none can follow."""
+    """file, at, next of every place that looks like a record; next is null where none can follow.
+
+    `file` is a 64-bit hash of the path, which is all that the joins need.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, content in zip(batch.column("path"), batch.column("content")):
+            for file, content in zip(batch.column("file"), batch.column("content")):
                 data = gzip.decompress(content.as_py())
-                found = [(a, n if n >= 0 else None) for a, _, _, n in _records(data)]
-                columns = [pa.array([file.as_py()] * len(found)), *(pa.array([r[i] for r in found], pa.int64()) for i in (0, 1))]
-                yield pa.RecordBatch.from_arrays([columns[0].cast(pa.string()), *columns[1:]], ["file", "at", "next"])
+                found = [(file.as_py(), a, n if n >= 0 else None) for a, _, _, n in _records(data)]
+                columns = [pa.array([r[i] for r in found], pa.int64()) for i in range(3)]
+                yield pa.RecordBatch.from_arrays(columns, ["file", "at", "next"])
 
-    return _files(spark, path).mapInArrow(work, "file string, at long, next long")
+    files = _files(spark, path).select(F.xxhash64("path").alias("file"), "content")
+    return files.mapInArrow(work, "file long, at long, next long")
 
 
 def reachable(links: DataFrame) -> DataFrame:
@@ -156,8 +162,9 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
     """
     links = materialize(candidates(spark, path), "warc-candidates")
     # What is rejected is the rare case and joins the files as a short list per file.
-    rejected = links.join(reachable(links), ["file", "at"], "left_anti").groupBy("file").agg(F.collect_list("at").alias("skip"))
-    files = _files(spark, path).join(rejected, F.col("path") == F.col("file"), "left").select("path", "content", "skip")
+    unreached = links.join(reachable(links), ["file", "at"], "left_anti")
+    rejected = materialize(unreached.groupBy("file").agg(F.collect_list("at").alias("skip")), "warc-rejected")
+    files = _files(spark, path).join(rejected, F.xxhash64("path") == F.col("file"), "left").select("path", "content", "skip")
     names = ["file", "at", "record_type", "page_id", "refers_to", "uri", "payload_bytes", "payload_digest", "intact", "payload"]
     types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.binary()]
 
