@@ -157,10 +157,11 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         usable.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").select("doc_id", "n_shingles", "rep"),
         "dedup-classes",
     )
+    of_rep = (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep"))
     reps = (
-        usable.join(classes.select(F.col("set_key").alias("k"), "rep"), (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep")))
-        .dropDuplicates(["doc_id", "set_key"])
-        .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bands", "bits", "parity", "sketch")
+        usable.select("doc_id", "set_key", "bands")
+        .join(classes.select(F.col("set_key").alias("k"), "rep"), of_rep)
+        .select(F.col("doc_id").alias("id"), "bands")
     )
     reps = materialize(reps, "dedup-reps")
 
@@ -169,7 +170,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     hubs = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub <> last")
     shared = materialize(buckets.join(hubs.drop("last"), "bucket"), "dedup-buckets")
     met = shared.select("id").distinct()
-    near_reps = materialize(reps.join(met, "id", "left_semi").select("id", "n", "bits", "parity", "sketch"), "dedup-met")
+    sketch_of = usable.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits", "parity", "sketch")
+    near_reps = materialize(sketch_of.join(met, "id", "left_semi").dropDuplicates(["id", "sketch"]), "dedup-met")
     sets = materialize(
         shingle_sets(texts.join(met.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), words), "dedup-sets"
     )
@@ -231,9 +233,12 @@ def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     Of rows that share a kept doc_id the one with the smallest text hash stays; rows without a
     doc_id all stay.
     """
-    kept = near_duplicates(docs, words, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    found = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"), "dedup-kept")
+    # Written first: where few documents go, these are known to be small and texts are not shuffled.
+    gone = materialize(found.where("not kept").select("doc_id").distinct(), "dedup-gone")
+    counts = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"))
+    repeated = materialize(counts.where("_n > 1").select("doc_id"), "dedup-repeated")
+    single = docs.join(gone, "doc_id", "left_anti").join(repeated, "doc_id", "left_anti").select(docs.columns)
     copies = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))))
-    numbered = stay.withColumn("_copy", F.row_number().over(copies))
-    return numbered.where("_copy = 1").drop("_copy").unionByName(docs.where("doc_id is null"))
-
+    numbered = docs.join(repeated, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(copies))
+    return single.unionByName(numbered.where("_copy = 1").select(docs.columns))
