@@ -7,6 +7,8 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskengine.session import materialize
+
 # The two word definitions of the query contracts, as gaps between words.
 SPACE_GAP = r"[\x20\x09-\x0D]+"
 SYMBOL_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -42,8 +44,12 @@ def kept_as(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def document_frequency(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """word, df: how many rows of the whole corpus (column `tokens`) hold each word of `vocabulary`."""
-    wanted = vocabulary.select("word").distinct()
+    """word, df: how many rows of the whole corpus (column `tokens`) hold each word of `vocabulary`.
+
+    The vocabulary is written first, so that the join knows its size: a small one is broadcast by
+    the optimizer and the corpus' words are counted without being shuffled.
+    """
+    wanted = materialize(vocabulary.select("word").distinct(), "vocabulary")
     held = tokens.select(F.explode(F.array_distinct("tokens")).alias("word"))
     counts = held.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("df"))
     return wanted.join(counts, "word", "left").select("word", F.coalesce("df", F.lit(0)).alias("df"))
