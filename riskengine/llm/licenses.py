@@ -43,7 +43,6 @@ TEMPLATES = {
     "are permitted provided that the following conditions are met",
     "cc-by-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc-notice": "Licensed under CC BY-NC 4.0",
-    "cc-by-sa-notice": "Licensed under CC BY-SA 4.0",
     "gpl-3.0-notice": "This work is licensed under the GNU General Public License, version 3",
     "gpl-program-notice": "This program is free software: you can redistribute it and/or modify it under the "
     "terms of the GNU General Public License as published by the Free Software Foundation",
