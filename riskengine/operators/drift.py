@@ -16,15 +16,13 @@ from riskengine.operators.ordered import (
     value_shape,
 )
 from riskengine.operators.quality import require_columns
-from riskengine.operators.split import first_rows, sample_n
+from riskengine.operators.split import first_rows, sample_n, time_split
 from riskengine.schema import FEATURES, KEY_FEATURES, ROW_ID
 
 # Defaults of the drift decision.
 DRIFT_SHARE = 0.20
 P_VALUE = 0.05
 KEY_FEATURE_COUNT = 2
-REFERENCE_ROWS = 227845
-REFERENCE_SAMPLE = 5000
 
 # From this share of distinct values on, collapsing all of them costs more than it saves.
 MOSTLY_DISTINCT = 0.5
@@ -190,14 +188,14 @@ def synthetic_drift(
 def reference_sample(
     table: DataFrame,
     split_only: bool = True,
-    reference_rows: int = REFERENCE_ROWS,
+    reference_rows: int | None = None,
     sample_size: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """The reference side: the first `reference_rows` rows when there are that many, sampled."""
+    """The reference side: the training part of the table, or its first `reference_rows`, sampled."""
     out = table
     if split_only:
-        out, _ = first_rows(table, reference_rows)  # a shorter table is kept whole
+        out, _ = time_split(table) if reference_rows is None else first_rows(table, reference_rows)
     return sample_n(out, sample_size, seed) if sample_size else out
 
 

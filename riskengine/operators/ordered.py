@@ -374,7 +374,8 @@ def hot_key_buckets(
     hot = counts.where(F.col("key_rows") > hot_rows).select(*keys, F.lit(True).alias("is_hot"))
     if hot.isEmpty():
         return df.withColumn(BUCKET, F.lit(0)), False
-    edges = find_edges(df, [order], n_buckets)
+    # Edges divide the rows of the hot keys; the others are not split and would shift them.
+    edges = find_edges(df.join(hot, keys, "left_semi"), [order], n_buckets)
     # No forced broadcast: there can be as many hot keys as rows / hot_rows.
     split = (
         bucketed(df.join(hot, keys, "left"), edges)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.operators.drift import (
-    REFERENCE_SAMPLE,
     both_sides,
     drift_decision,
     drift_report,
@@ -33,8 +32,8 @@ def decide_branch(drift_detected: bool, is_scheduled: bool = False) -> str:
 
 
 def check_drift(reference: DataFrame, current: DataFrame, **limits) -> DataFrame:
-    """Current rows against a bounded sample of the reference: one decision row."""
-    ref = reference_sample(reference, sample_size=REFERENCE_SAMPLE)
+    """Current rows against all training rows of the reference: one decision row."""
+    ref = reference_sample(reference)
     return drift_decision(drift_report(both_sides(ref, current)), **limits)
 
 

@@ -119,8 +119,10 @@ def save_result(result: TrainingResult, folder: str) -> None:
     )
 
 
-def load_serving_model(stages: DataFrame | None, registry_root: str, fallback: str) -> tuple[PipelineModel, str]:
-    """The Production model of a registry_stages table, else the local copy with a warning.
+def load_serving_model(
+    stages: DataFrame | None, registry_root: str, fallback: str, model_name: str
+) -> tuple[PipelineModel, str]:
+    """The Production version of `model_name` in a registry_stages table, else the local copy with a warning.
 
     A registered model lives under `registry_root`/<model_name>/<version>.
     """
@@ -128,7 +130,9 @@ def load_serving_model(stages: DataFrame | None, registry_root: str, fallback: s
 
     log = logging.getLogger(__name__)
     if stages is not None:
-        row = stages.where(F.col("stage") == "Production").orderBy("model_name").first()
+        row = stages.where(
+            (F.col("stage") == "Production") & (F.col("model_name") == model_name)
+        ).first()
         if row is not None:
             path = f"{registry_root}/{row['model_name']}/{row['version']}"
             try:
@@ -136,6 +140,6 @@ def load_serving_model(stages: DataFrame | None, registry_root: str, fallback: s
             except Exception as error:  # any storage failure leads to the fallback
                 log.warning("registered model at %s not usable: %s", path, error)
         else:
-            log.warning("no version is in Production")
+            log.warning("no version of %s is in Production", model_name)
     log.warning("using the local model at %s", fallback)
     return PipelineModel.load(fallback), "local_fallback"

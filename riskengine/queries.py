@@ -26,7 +26,7 @@ from riskengine.sources.views import (
     transactions,
 )
 from riskengine.streaming import raw_zone, score_stream, telemetry
-from riskengine.streaming.transport import FileChannel, publish, replay
+from riskengine.streaming.transport import FileChannel, publish, replay, slices_for
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,7 +39,6 @@ N_BOOTSTRAPS = 50
 RECENT = 100
 WINDOW_REFERENCE = 5000
 QUERY_TREES, QUERY_DEPTH = 5, 4
-STREAM_SLICES = 4
 
 
 def _round(df: DataFrame, **places: int) -> DataFrame:
@@ -116,7 +115,7 @@ def json_encode(spark, sf_dir):
 def raw_zone_ingest(spark, sf_dir):
     channel = FileChannel(scratch_path(spark, "topic"))
     zone, state = scratch_path(spark, "zone"), scratch_path(spark, "state")
-    replay(_payload(transactions(spark, sf_dir)), channel, slices=STREAM_SLICES)
+    replay(_payload(transactions(spark, sf_dir)), channel)
     raw_zone.ingest(spark, channel, zone, state, per_trigger=2).awaitTermination()
     landed = raw_zone.transactions_of(raw_zone.read_zone(spark, zone))
     return landed.drop("date", "hour")
@@ -528,7 +527,7 @@ def register_versions(spark, sf_dir):
 
 def _sent(spark, df: DataFrame) -> FileChannel:
     channel = FileChannel(scratch_path(spark, "topic"))
-    replay(df, channel, slices=STREAM_SLICES)
+    replay(df, channel)
     return channel
 
 
@@ -559,7 +558,8 @@ def stream_score(spark, sf_dir):
 
 def stream_dead_letters(spark, sf_dir):
     source = FileChannel(scratch_path(spark, "topic"))
-    publish(_damaged(_payload(transactions(spark, sf_dir))).repartition(STREAM_SLICES), source)
+    damaged = _damaged(_payload(transactions(spark, sf_dir)))
+    publish(damaged.repartition(slices_for(damaged)), source)
     path = scratch_path(spark, "dead")
     score_stream.dead_letters(spark, source, path, scratch_path(spark, "state")).awaitTermination()
     return spark.read.parquet(path).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
@@ -591,7 +591,8 @@ def _stream_of_published(spark, sf_dir) -> DataFrame:
         ROW_ID, "Time", "fraud_probability", "is_fraud", "scoring_latency_ms", "scored_at"
     )
     channel = FileChannel(scratch_path(spark, "scored"))
-    publish(payload.select(messages.json_of(*payload.columns).alias("value")).repartition(STREAM_SLICES), channel)
+    values = payload.select(messages.json_of(*payload.columns).alias("value"))
+    publish(values.repartition(slices_for(values)), channel)
     return score_stream.stream_scored(spark, channel, per_trigger=1)
 
 

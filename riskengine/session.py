@@ -31,10 +31,16 @@ def build_session(app: str = "riskengine", master: str | None = None, **conf: st
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder every executor can reach; a temporary one only where none is named (tests)."""
+    """The folder every executor can reach.
+
+    A temporary one takes its place on a local master alone, where all tasks share one disk; on a
+    cluster an unset folder is an error.
+    """
     root = spark.conf.get(_CHECKPOINT_KEY, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="riskengine-")
         spark.sparkContext.setCheckpointDir(root)

@@ -11,10 +11,13 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from riskengine.operators.split import CHRONOLOGICAL
 from riskengine.sources.messages import encode
 
-# Default channel names and consumer settings.
+# Default channel names.
 RAW_TOPIC = "transactions-raw"
 SCORED_TOPIC = "transactions-scored"
-BATCH_RECORDS = 500
+
+# Slices of a replayed table: by its length, a few at least so that a stream has several batches.
+ROWS_PER_SLICE = 1_000_000
+MIN_SLICES = 4
 
 
 @dataclass(frozen=True)
@@ -44,11 +47,16 @@ def publish(messages: DataFrame, channel: Channel) -> None:
         messages.select(F.col("value").cast("string")).write.mode("append").text(channel.path)
 
 
+def slices_for(df: DataFrame) -> int:
+    """How many pieces a table is sent in."""
+    return max(MIN_SLICES, -(-df.count() // ROWS_PER_SLICE))
+
+
 def replay(
-    df: DataFrame, channel: Channel, cols: list[str] | None = None, slices: int = 4
+    df: DataFrame, channel: Channel, cols: list[str] | None = None, slices: int | None = None
 ) -> None:
-    """Send a table in time order: `slices` range-sorted pieces, each sorted inside."""
-    ordered = df.repartitionByRange(slices, *CHRONOLOGICAL).sortWithinPartitions(*CHRONOLOGICAL)
+    """Send a table in time order: range-sorted pieces, as many as its rows need, each sorted inside."""
+    ordered = df.repartitionByRange(slices or slices_for(df), *CHRONOLOGICAL).sortWithinPartitions(*CHRONOLOGICAL)
     publish(encode(ordered, cols), channel)
 
 
@@ -60,8 +68,9 @@ def subscribe(spark: SparkSession, channel: Channel, per_trigger: int | None = N
             .option("kafka.bootstrap.servers", channel.servers)
             .option("subscribe", channel.topic)
             .option("startingOffsets", "earliest")
-            .option("maxOffsetsPerTrigger", per_trigger or BATCH_RECORDS)
         )
+        if per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", per_trigger)
         return reader.load().select("value", "timestamp")
     reader = spark.readStream.format("text")
     if per_trigger:

@@ -38,17 +38,14 @@ def test_scale_pos_weight_needs_fraud(spark):
 
 def test_cost_matrix(txn, frame):
     m = c.CostMatrix()
-    assert m.fn_cost is None and m.fp_cost == 10.0 and m.summary()["cost_ratio"] is None
-    with pytest.raises(ValueError):
-        m.cost_ratio
+    assert m.fn_cost is None and m.fp_cost == 10.0
     with pytest.raises(ValueError):
         m.columns()
     m = m.calibrate(txn)
     mean = frame.loc[frame["Class"] == 1, "Amount"].mean()
     assert m.fn_cost == m.avg_fraud_amount == pytest.approx(mean)
-    assert m.cost_ratio == pytest.approx(mean / 10)
-    with pytest.raises(ValueError, match="zero"):
-        c.CostMatrix(fn_cost=1.0, fp_cost=0.0).cost_ratio
+    assert c.cost_calibration(txn).first()["cost_ratio"] == pytest.approx(mean / 10)
+    assert c.cost_calibration(txn, c.CostMatrix(fp_cost=0.0)).first()["cost_ratio"] is None
 
 
 def test_expected_cost_identities(spark):

@@ -129,11 +129,15 @@ def test_training_run(spark, learnable, tmp_path):
     # Registry first, then the local copy.
     stages = spark.createDataFrame([("m", 1, "Production")], "model_name string, version long, stage string")
     model.write().save(str(tmp_path / "registry" / "m" / "1"))
-    assert load_serving_model(stages, str(tmp_path / "registry"), f"{folder}/model")[1] == "registry"
-    for none in (stages.where("version = 9"), None, stages.withColumn("version", F.lit(7))):
-        assert load_serving_model(none, str(tmp_path / "registry"), f"{folder}/model")[1] == "local_fallback"
+    assert load_serving_model(stages, str(tmp_path / "registry"), f"{folder}/model", "m")[1] == "registry"
+    # Another model in Production is never served under this name.
+    other = spark.createDataFrame([("a", 1, "Production")], stages.schema)
+    both = stages.union(other)
+    assert load_serving_model(both, str(tmp_path / "registry"), f"{folder}/model", "m")[1] == "registry"
+    for none in (stages.where("version = 9"), None, other, stages.withColumn("version", F.lit(7))):
+        assert load_serving_model(none, str(tmp_path / "registry"), f"{folder}/model", "m")[1] == "local_fallback"
     with pytest.raises(Exception):
-        load_serving_model(None, "", str(tmp_path / "nothing"))
+        load_serving_model(None, "", str(tmp_path / "nothing"), "m")
 
 
 def test_eda_report(spark, txn, tmp_path):
