@@ -1,178 +1,124 @@
 """Paired bootstrap comparison of two scores by average precision.
 
-A resample of n rows with replacement only matters through how often each distinct
-(score a, score b, label) cell is drawn. Rows are therefore collapsed to cells first. Every draw
-is a hash of (seed, attempt, resample, slot), and draws are counted per cell on the map side.
-Where the cells are few but the draws too many to make one by one, the counts of a resample are
-drawn at once from the same (multinomial) distribution.
+A resample only matters through how often each distinct (score a, score b, label) cell is drawn.
+Rows are collapsed to cells first, and every cell draws its own count: the sum of one Poisson(1)
+weight per row it stands for. A weight is a pure function of the seed, the resample and the cell,
+so any layout, partition setting or table size gives the same resamples.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+import math
+from itertools import accumulate
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskengine.functions.draws import hash_int
+from riskengine.functions.draws import normal, uniform
 from riskengine.functions.values import plain
 from riskengine.operators.curves import curve_areas, score_curve
-from riskengine.operators.ordered import BUCKET, bucketed, bucket_number, find_edges
+from riskengine.operators.ordered import find_edges
 from riskengine.schema import LABEL
 from riskengine.session import materialize
 
-# More cells than this are numbered and joined as a distributed table.
-SMALL_CELLS = 50_000
-# More draws than this over few cells are made as counts per resample.
-MAX_SLOTS = 2_000_000_000
-DRAWS_PER_TASK = 4_000_000
-MAX_TASKS = 100_000
-ROWS_PER_PIECE = 10_000
+# Cells of at most this many rows draw row by row; larger ones draw the sum at once.
+UNIT_ROWS = 16
+# P(weight <= k) of one row, until a 32-bit uniform cannot tell it from 1.
+UNIT_CDF = tuple(accumulate(math.exp(-1.0) / math.factorial(k) for k in range(13)))
+# A score is spelled by its integer part and twice 52 bits of its fraction.
+KEY_SCALE = float(2**52)
 # The reported percentiles.
 REPORT_PERCENTILES = (2.5, 10, 20, 30, 40, 50, 60, 70, 80, 90, 97.5)
 SUMMARY_PERCENTILES = {"median": 50.0, "ci_lower": 2.5, "ci_upper": 97.5, "q25": 25.0, "q75": 75.0}
 
 
+def _spelled(score: str) -> list[Column]:
+    """Integers that tell scores apart; every step is exact in a double."""
+    parts, left = [], F.col(score)
+    for _ in range(3):
+        parts.append(F.floor(left))
+        left = (left - F.floor(left)) * F.lit(KEY_SCALE)
+    return parts
+
+
 def _cells(df: DataFrame, a: str, b: str, label: str) -> DataFrame:
     return (
         df.select(plain(a).alias("a"), plain(b).alias("b"), F.col(label).alias("y"))
         .groupBy("a", "b", "y")
         .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("cell", F.concat_ws(":", *_spelled("a"), *_spelled("b"), "y"))
     )
 
 
-def _draw(spark, n: int, reps: list[int] | int, seed: int, attempt: int) -> DataFrame:
-    """(rep, slot -> at): n row numbers in [0, n) for each resample."""
-    count = reps if isinstance(reps, int) else len(reps)
-    total = count * n
-    tasks = max(spark.sparkContext.defaultParallelism, min(MAX_TASKS, -(-total // DRAWS_PER_TASK)))
-    slots = spark.range(0, total, 1, tasks)
-    which = F.floor(F.col("id") / F.lit(n)).cast("long") if n else F.lit(0)
-    rep = which if isinstance(reps, int) else F.array(*[F.lit(r) for r in reps])[which.cast("int")]
-    salt = seed if attempt == 0 else f"{seed}#{attempt}"
-    slot = F.pmod(F.col("id"), F.lit(n))
-    return slots.select(rep.cast("long").alias("rep"), slot.alias("slot")).select(
-        "rep", F.pmod(hash_int(salt, F.col("rep"), F.col("slot"), digits=13), F.lit(n)).alias("at")
-    )
-
-
-def _draw_few(
-    cells: DataFrame, n: int, reps: list[int] | int, seed: int, attempt: int, max_slots: int
-) -> DataFrame:
-    """Cells fit on the driver: number them, draw (rep, cell, w), attach the cell values."""
-    spark = cells.sparkSession
-    rows = cells.orderBy("a", "b", "y").collect()  # at most SMALL_CELLS rows
-    sizes = [r["rows"] for r in rows]
-    if n * _size(reps) <= max_slots:
-        starts = [float(v) for v in np.cumsum([0, *sizes])]
-        edges = [*starts[:-1], float("inf")] if len(rows) > 1 else [*starts, float("inf")]
-        counted = (
-            bucketed(_draw(spark, n, reps, seed, attempt), {"at": edges})
-            .groupBy("rep", F.col("at__b").cast("int").alias("cell"))
-            .agg(F.count(F.lit(1)).alias("w"))
-        )
-    else:
-        counted = _draw_counts(spark, sizes, n, reps, seed, attempt)
-    numbered = spark.createDataFrame(
-        [(i, r["a"], r["b"], r["y"]) for i, r in enumerate(rows)],
-        "cell int, a double, b double, y int",
-    )
-    return counted.join(F.broadcast(numbered), "cell").select("rep", "a", "b", "y", "w")
-
-
-def _draw_counts(
-    spark, sizes: list[int], n: int, reps: list[int] | int, seed: int, attempt: int
-) -> DataFrame:
-    """(rep, cell, w): the counts of n draws over the cells, one resample after another."""
-    todo = list(range(reps)) if isinstance(reps, int) else reps
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        share = np.array(sizes, dtype=float) / n
-        for batch in batches:
-            for rep in batch["rep"]:
-                w = np.random.default_rng([seed, attempt, int(rep)]).multinomial(n, share)
-                hit = np.flatnonzero(w)
-                yield pd.DataFrame({"rep": rep, "cell": hit.astype("int32"), "w": w[hit]})
-
-    tasks = min(len(todo), 4 * spark.sparkContext.defaultParallelism)
-    ids = spark.createDataFrame([(r,) for r in todo], "rep long").repartition(tasks)
-    return ids.mapInPandas(draw, "rep long, cell int, w long")
+def _unit_weight(u: Column) -> Column:
+    """Inversion, most frequent weights first."""
+    weight = F.when(u <= F.lit(UNIT_CDF[0]), F.lit(0))
+    for k, c in enumerate(UNIT_CDF[1:], start=1):
+        weight = weight.when(u <= F.lit(c), F.lit(k))
+    return weight.otherwise(F.lit(len(UNIT_CDF))).cast("long")
 
 
-def numbered_rows(cells: DataFrame, n_cells: int = 0) -> DataFrame:
-    """(at, a, b, y): every row of the cell table numbered 0..n-1 without a global sort.
+def cell_weight(salt: Column | str) -> Column:
+    """The weight of a row of (rep, cell, rows): Poisson with mean `rows`.
 
-    Cells are spread over hash buckets and numbered inside each; bucket totals give the start of
-    a bucket. A cell that stands for many rows is cut in pieces before it is unrolled.
+    Up to UNIT_ROWS rows by inversion, row by row; beyond that by the Cornish-Fisher quantile,
+    whose error at such means is far below a bootstrap's own noise.
     """
-    n_buckets = bucket_number(cells.sparkSession, n_cells)
-    spread = cells.withColumn(BUCKET, F.pmod(F.xxhash64("a", "b", "y"), F.lit(n_buckets)))
-    inside = Window.partitionBy(BUCKET).orderBy("a", "b", "y")
-    earlier = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    totals = spread.groupBy(BUCKET).agg(F.sum("rows").alias("t"))
-    base = totals.select(BUCKET, F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("base"))
-    upto = F.sum("rows").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    starts = (
-        spread.withColumn("upto", upto)
-        .join(base, BUCKET)
-        .withColumn("start", F.col("base") + F.col("upto") - F.col("rows"))
+    key = (salt, F.col("rep"), F.col("cell"))
+    few = F.least(F.col("rows"), F.lit(UNIT_ROWS))
+    drawn = F.transform(F.sequence(F.lit(1).cast("long"), few), lambda i: uniform(*key, i))
+    units = F.aggregate(drawn, F.lit(0).cast("long"), lambda total, u: total + _unit_weight(u))
+    mean = F.col("rows").cast("double")
+    whole = F.transform(
+        F.array(normal(0.0, 1.0, *key)),
+        lambda z: F.floor(mean + F.sqrt(mean) * z + (z * z - 1.0) / 6.0 + 0.5),
+    )[0]
+    return F.when(F.col("rows") <= UNIT_ROWS, units).otherwise(F.greatest(whole, F.lit(0)))
+
+
+def _weighted(cells: DataFrame, reps: list[int] | int, seed: int, attempts: dict[int, int]) -> DataFrame:
+    """(rep, a, b, y, w) for w > 0; `attempts` names the resamples that were drawn again."""
+    spark = cells.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    step = F.lit(ROWS_PER_PIECE).cast("long")
-    offsets = F.sequence(F.lit(0).cast("long"), F.col("rows") - 1, step)
-    pieces = starts.select(
-        "a", "b", "y", "rows", "start", F.explode(offsets).alias("from")
-    ).repartition("start", "from")
-    last = F.least(F.col("from") + ROWS_PER_PIECE, F.col("rows")) - 1
-    numbers = F.sequence(F.col("start") + F.col("from"), F.col("start") + last)
-    return pieces.select(F.explode(numbers).alias("at"), "a", "b", "y")
-
-
-def _draw_many(
-    cells: DataFrame, n: int, reps: list[int] | int, seed: int, attempt: int, n_cells: int
-) -> DataFrame:
-    """Join draw counts to numbered rows on the row number, which the hash spreads evenly."""
-    drawn = _draw(cells.sparkSession, n, reps, seed, attempt)
-    counted = drawn.groupBy("rep", "at").agg(F.count(F.lit(1)).alias("w"))
+    which = (
+        F.sequence(F.lit(0), F.lit(reps - 1))
+        if isinstance(reps, int)
+        else F.array(*[F.lit(r) for r in reps])
+    )
+    salt: Column | str = str(seed)
+    if attempts:
+        again = F.create_map(*[F.lit(v) for r, k in attempts.items() for v in (r, f"{seed}#{k}")])
+        salt = F.coalesce(again[F.col("rep")], F.lit(str(seed)))
     return (
-        counted.join(numbered_rows(cells, n_cells), "at")
-        .groupBy("rep", "a", "b", "y")
-        .agg(F.sum("w").alias("w"))
+        cells.repartition(tasks, "cell")
+        .select("*", F.explode(which).alias("rep"))
+        # A filter on the weight would draw it a second time.
+        .select(
+            "rep", "a", "b", "y",
+            F.explode(F.filter(F.array(cell_weight(salt)), lambda w: w > 0)).alias("w"),
+        )
     )
 
 
-def resample_weights(
-    cells: DataFrame,
-    n: int,
-    n_bootstraps: int,
-    seed: int = 42,
-    small_cells: int = SMALL_CELLS,
-    max_slots: int = MAX_SLOTS,
-) -> DataFrame:
-    """(rep, a, b, y, w): how often each cell is drawn; resamples without a positive are redrawn."""
-    n_cells = cells.count()
+def resample_weights(cells: DataFrame, n_bootstraps: int, seed: int = 42) -> DataFrame:
+    """(rep, a, b, y, w): the weight of each cell; resamples without a positive are drawn again.
+
+    Whether a resample has a positive depends on the positive cells alone, so only those are drawn
+    to find out. The driver learns at most n_bootstraps numbers.
+    """
+    positive = cells.where("y = 1")
+    attempts: dict[int, int] = {}
     todo: list[int] | int = n_bootstraps
-    done = []
     attempt = 0
     while todo:
-        if n_cells <= small_cells:
-            draws = _draw_few(cells, n, todo, seed, attempt, max_slots)
-        else:
-            draws = _draw_many(cells, n, todo, seed, attempt, n_cells)
-        drawn = materialize(draws, "resample")
-        have = drawn.where("y = 1").select("rep").distinct()
-        # At most n_bootstraps numbers.
+        have = _weighted(positive, todo, seed, attempts).select("rep").distinct()
         ok = {r["rep"] for r in have.collect()}
-        done.append(drawn.join(F.broadcast(have), "rep") if len(ok) < _size(todo) else drawn)
         todo = [r for r in (range(todo) if isinstance(todo, int) else todo) if r not in ok]
         attempt += 1
-    return reduce(DataFrame.unionByName, done)
-
-
-def _size(reps: list[int] | int) -> int:
-    return reps if isinstance(reps, int) else len(reps)
+        attempts.update({r: attempt for r in todo})
+    return _weighted(cells, n_bootstraps, seed, attempts)
 
 
 def bootstrap_samples(
@@ -182,28 +128,42 @@ def bootstrap_samples(
     label: str = LABEL,
     n_bootstraps: int = 1000,
     seed: int = 42,
-    small_cells: int = SMALL_CELLS,
-    max_slots: int = MAX_SLOTS,
 ) -> DataFrame:
-    """(iteration, auc_pr_a, auc_pr_b, diff) for each paired resample of all rows."""
+    """(iteration, auc_pr_a, auc_pr_b, diff) for each paired resample of all rows.
+
+    Both curves of a resample come from one pass: the shuffle carries resamples x distinct scores.
+    """
     cells = materialize(_cells(df, a, b, label), "cells")
-    tally = cells.agg(
-        F.sum("rows").alias("n"), F.sum(F.when(F.col("y") == 1, F.col("rows"))).alias("pos")
-    ).first()
-    if not tally["pos"]:
+    if cells.where("y = 1").isEmpty():
         raise ValueError("no positive row to resample")
-    weights = resample_weights(cells, tally["n"], n_bootstraps, seed, small_cells, max_slots)
-    edges = find_edges(cells, ["a", "b"])
-
-    def precision(score: str) -> DataFrame:
-        curve = score_curve(weights, score, "y", weight="w", keys=["rep"], edges=edges[score])
-        return curve_areas(curve, ["rep"]).select("rep", F.col("auc_pr").alias(f"auc_pr_{score}"))
-
-    return precision("a").join(precision("b"), "rep").select(
-        (F.col("rep") + 1).alias("iteration"),
-        "auc_pr_a",
-        "auc_pr_b",
-        (F.col("auc_pr_a") - F.col("auc_pr_b")).alias("diff"),
+
+    def by_score(table: DataFrame, *keep: str) -> DataFrame:
+        pair = F.array(
+            F.struct(F.lit("a").alias("which"), F.col("a").alias("score")),
+            F.struct(F.lit("b").alias("which"), F.col("b").alias("score")),
+        )
+        return table.select(*keep, F.inline(pair))
+
+    keys = ["rep", "which"]
+    curve = score_curve(
+        by_score(resample_weights(cells, n_bootstraps, seed), "rep", "y", "w"),
+        "score",
+        "y",
+        weight="w",
+        keys=keys,
+        edges=find_edges(by_score(cells), ["score"])["score"],
+    )
+    area = {w: F.max(F.when(F.col("which") == w, F.col("auc_pr"))) for w in "ab"}
+    return (
+        curve_areas(curve, keys)
+        .groupBy("rep")
+        .agg(*[c.alias(f"auc_pr_{w}") for w, c in area.items()])
+        .select(
+            (F.col("rep") + 1).cast("long").alias("iteration"),
+            "auc_pr_a",
+            "auc_pr_b",
+            (F.col("auc_pr_a") - F.col("auc_pr_b")).alias("diff"),
+        )
     )
 
 

@@ -11,9 +11,9 @@ from riskengine.functions.draws import normal
 from riskengine.functions.kstest import ks_pvalue
 from riskengine.operators.ordered import (
     BUCKET,
+    find_edges,
     melt,
     running_totals,
-    value_shape,
 )
 from riskengine.operators.quality import require_columns
 from riskengine.operators.split import first_rows, sample_n, time_split
@@ -24,9 +24,6 @@ DRIFT_SHARE = 0.20
 P_VALUE = 0.05
 KEY_FEATURE_COUNT = 2
 
-# From this share of distinct values on, collapsing all of them costs more than it saves.
-MOSTLY_DISTINCT = 0.5
-
 
 def both_sides(ref: DataFrame, cur: DataFrame) -> DataFrame:
     """Two tables as one: a = 1 on reference rows, b = 1 on current rows."""
@@ -48,31 +45,17 @@ def distances(
     sides: DataFrame,
     keys: Sequence[str] = (),
     cols: list[str] = FEATURES,
-    like: DataFrame | None = None,
 ) -> DataFrame:
     """(keys..., feature, n_ref, n_cur, ks, wasserstein) from the two running shares.
 
     Features are handled together in one long table, spread over value buckets and ordered inside
-    them. Values are collapsed before the shuffle: all of them where they repeat a lot, only the
-    hot ones where most of them differ. `like` is a smaller table with similar values to place
-    the bucket edges by.
+    them. Equal values are collapsed on the map side, so a hot value costs no more than another.
     """
     keys = list(keys)
     require_columns(sides, cols)
-    shape = value_shape(sides if like is None else like, cols)
     part = [*keys, "feature", BUCKET]
-    rows = melt(sides, cols, keep=[*keys, "a", "b"], edges=shape.edges, by_number=True)
-    if shape.distinct_share < MOSTLY_DISTINCT:
-        rows = _collapsed(rows, part)
-    else:
-        hot = [(i, v) for i, c in enumerate(cols) for v in shape.hot_values[c]]
-        if hot:
-            # At most half a value per bucket edge.
-            known = F.broadcast(rows.sparkSession.createDataFrame(hot, "feature int, value double"))
-            on = ["feature", "value"]
-            cold = rows.join(known, on, "left_anti")
-            rows = cold.unionByName(_collapsed(rows.join(known, on, "left_semi"), part))
-        rows = rows.repartition(*part)
+    edges = find_edges(sides, cols)
+    rows = _collapsed(melt(sides, cols, keep=[*keys, "a", "b"], edges=edges, by_number=True), part)
     by = [*keys, "feature"]
     curve = running_totals(rows, by, "value", ["a", "b"], next_value=True)
     gap = F.abs(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.operators.ordered import hot_key_buckets, running_count, running_max
+from riskengine.session import materialize
 
 # Fixed values.
 MIN_IMPROVEMENT = 1e-4
@@ -46,16 +48,25 @@ def register_versions(
 
 
 def _promotions(margin: float):
-    """Walk the runs of each model in version order, keeping only the serving score."""
+    """Find the promoted runs among strict running records, model by model, in version order.
+
+    Scores rise within a model, so the next promotion is one binary search away.
+    """
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, serving = None, None
         for batch in batches:
+            names, scores = batch["model_name"].to_numpy(), batch["score"].to_numpy()
+            starts = np.flatnonzero(np.r_[True, names[1:] != names[:-1]]) if len(names) else []
             keep = []
-            for i, (name, score) in enumerate(zip(batch["model_name"], batch["score"])):
-                if name != model or score > serving + margin:
-                    model, serving = name, score
-                    keep.append(i)
+            for start, end in zip(starts, [*starts[1:], len(names)]):
+                at = start
+                if names[start] == model:  # goes on from the batch before
+                    at += np.searchsorted(scores[start:end], serving + margin, side="right")
+                while at < end:
+                    keep.append(at)
+                    model, serving = names[at], scores[at]
+                    at += np.searchsorted(scores[at:end], serving + margin, side="right")
             yield batch.iloc[keep][["model_name", "version"]]
 
     return walk
@@ -69,13 +80,15 @@ def promotion_gate(
     runs (model_name, version, auc_pr[, tag_auc_pr]). The first run of a model is promoted; a
     later one only when it beats the serving score by more than the margin. A promoted run
     therefore beats every run before it, so only strict running records can be promoted: those
-    are found in parallel and only they are walked in order, batch by batch, holding one number.
+    are found in parallel and only they are read in order, batch by batch, holding one number. The
+    bucketed runs are read three times and therefore written once.
     """
     tag = F.col("tag_auc_pr") if "tag_auc_pr" in runs.columns else F.lit(None).cast("double")
     scored = runs.select(
         "model_name", "version", F.coalesce("auc_pr", tag, F.lit(0.0)).alias("score")
     )
     parts, split = hot_key_buckets(scored, ["model_name"], "version", hot_rows)
+    parts = materialize(parts, "runs")
     keys = ["model_name"]
     records = running_max(parts, keys, "version", F.col("score"), "best", split).where(
         F.col("best").isNull() | (F.col("score") > F.col("best"))

@@ -5,8 +5,8 @@ by value; a bucket is a pure function of the value, so recomputed tasks agree an
 stay together. Work inside buckets runs in parallel and one small table of bucket totals links
 them. Bucket edges shape the load, never the result.
 
-One value may be held by a third of all rows. Such values are collapsed before the shuffle: all of
-them where collapsing pays, only the hot ones where most values differ.
+One value may be held by a third of all rows. Equal values are therefore collapsed on the map side
+before any shuffle.
 """
 
 from __future__ import annotations
@@ -30,8 +30,6 @@ BUCKET_ROWS = 10_000_000
 EDGE_ROWS = 1_000_000
 EDGE_ROWS_PER_BUCKET = 1_000
 SKETCH_POINTS = 20
-# Largest sort-and-limit handed to one task; longer prefixes go through rank selection.
-SMALL_LIMIT = 100_000
 
 
 def bucket_number(spark: SparkSession, n_rows: int) -> int:
@@ -40,29 +38,10 @@ def bucket_number(spark: SparkSession, n_rows: int) -> int:
     return max(MIN_BUCKETS, min(MAX_BUCKETS, wanted))
 
 
-@dataclass(frozen=True)
-class Shape:
-    """Approximate quantiles per column, in order, and the share of values that are distinct."""
-
-    points: dict[str, list[float]]
-    distinct_share: float
-
-    @property
-    def edges(self) -> dict[str, list[float]]:
-        """Bucket edges. Infinite values need no edge; a column without values gets two buckets."""
-        inner = {c: sorted({v for v in q if math.isfinite(v)}) for c, q in self.points.items()}
-        return {c: [-math.inf, *(q or [0.0]), math.inf] for c, q in inner.items()}
-
-    @property
-    def hot_values(self) -> dict[str, list[float]]:
-        """Values that fill whole buckets: any value with twice a bucket's share is among them."""
-        return {c: sorted({a for a, b in zip(q, q[1:]) if a == b}) for c, q in self.points.items()}
-
-
-def value_shape(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> Shape:
-    """The shape of each column, with n_buckets - 1 quantiles.
+def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> dict[str, list[float]]:
+    """Bucket edges per column, from n_buckets - 1 approximate quantiles.
 
-    On a long table it comes from a random part of its rows. That is only a guess at an even
+    On a long table they come from a random part of its rows. That is only a guess at an even
     load: every row is put in a bucket afterwards, and results are the same for any edges.
     """
     n_rows = df.count()
@@ -71,26 +50,13 @@ def value_shape(df: DataFrame, cols: list[str], n_buckets: int | None = None) ->
     looked_at = df.sample(enough / n_rows, seed=17) if n_rows > enough else df
     probs = ", ".join(repr(i / n_buckets) for i in range(1, n_buckets))
     points = max(1000, SKETCH_POINTS * n_buckets)
+    sketch = F.expr(f"percentile_approx(value, array({probs}), {points})").alias("q")
     found = {
-        r["feature"]: r
-        for r in melt(looked_at, cols)
-        .groupBy("feature")
-        .agg(
-            F.expr(f"percentile_approx(value, array({probs}), {points})").alias("q"),
-            F.approx_count_distinct("value").alias("n_distinct"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .collect()
+        r["feature"]: sorted({v for v in r["q"] if math.isfinite(v)})
+        for r in melt(looked_at, cols).groupBy("feature").agg(sketch).collect()
     }
-    values = sum(r["n"] for r in found.values())
-    distinct = sum(r["n_distinct"] for r in found.values())
-    return Shape(
-        {c: found[c]["q"] if c in found else [] for c in cols}, distinct / values if values else 0.0
-    )
-
-
-def find_edges(df: DataFrame, cols: list[str], n_buckets: int | None = None) -> dict[str, list[float]]:
-    return value_shape(df, cols, n_buckets).edges
+    # Infinite values need no edge; a column without values gets two buckets.
+    return {c: [-math.inf, *(found.get(c) or [0.0]), math.inf] for c in cols}
 
 
 def bucketed(df: DataFrame, edges: dict[str, list[float]], suffix: str = "__b") -> DataFrame:
@@ -303,63 +269,55 @@ def before_rank(
     df: DataFrame,
     rank: int | Callable[[int], int],
     order: tuple[str, ...] = ("Time", "txn_id"),
-    small: int = SMALL_LIMIT,
 ) -> Column:
     """A row predicate that holds for exactly the first `rank` rows in the given order.
 
     `rank` may be a function of the row count. The last order column must be unique. Missing
-    values sort last. The result is a plain range filter. Up to `small` rows the cut row is found
-    by a bounded sort; beyond that by rank selection, one column at a time.
+    values sort last. The result is a plain range filter; the cut row is found by rank selection,
+    one column at a time. A column of integers that a double cannot tell apart is compared as its
+    upper and lower half.
     """
+    whole = [c for c in order if isinstance(df.schema[c].dataType, T.LongType)]
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in whole for f in (F.min, F.max)]
+    seen = df.agg(F.count(F.lit(1)).alias("n_rows"), *ends).first()
+    n_rows = seen["n_rows"]
     if callable(rank):
-        rank = rank(df.count())
+        rank = rank(n_rows)
     if rank <= 0:
         return F.lit(False)
-    if rank <= small:
-        return _up_to_last(df, rank, order)
-    if rank >= df.count():
+    if rank >= n_rows:
         return F.lit(True)
-    col, rest = order[0], order[1:]
-    key = F.col(col)
-    hit = select_ranks(df, [col], lambda _c, _n: [Want(rank, "cut")]).first()
+    keys: list[Column] = []
+    for c in order:
+        ends = (seen[f"min_{c}"], seen[f"max_{c}"]) if c in whole else ()
+        if any(abs(e) >= 2**53 for e in ends if e is not None):
+            keys += [F.shiftright(c, 32), F.col(c).bitwiseAND(F.lit(2**32 - 1))]
+        else:
+            keys.append(F.col(c))
+    return _before(df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), rank, keys, 0)
+
+
+def _before(rows: DataFrame, rank: int, keys: list[Column], i: int) -> Column:
+    """before_rank by keys[i:] for 0 < rank < number of rows; `rows` holds key i as column k<i>."""
+    name, key, last = f"k{i}", keys[i], i + 1 == len(keys)
+    hit = select_ranks(rows, [name], lambda _c, _n: [Want(rank, "cut")]).first()
     if hit is None:  # the cut lies among the rows without a value
         tail = is_missing(key.cast("double"))
-        valid = df.where(~tail).count()
-        if rank == valid or not rest:
+        absent = is_missing(F.col(name).cast("double"))
+        valid = rows.where(~absent).count()
+        if rank == valid or last:
             return ~tail
-        return ~tail | before_rank(df.where(tail), rank - valid, rest, small)
-    kind = df.schema[col].dataType
-    if abs(hit["value"]) >= 2**53 and isinstance(kind, T.LongType):
-        raise ValueError(f"{col} holds integers a double cannot tell apart")
-    cut = F.lit(hit["value"]).cast(kind)
+        return ~tail | _before(rows.where(absent), rank - valid, keys, i + 1)
+    kind = rows.schema[name].dataType
+    value = hit["value"]
+    cut = F.lit(int(value) if isinstance(kind, T.LongType) else value).cast(kind)
     left = rank - hit["below"]
     # NaN compares above every number, so it stays out; NULL is settled by coalesce.
     head = F.coalesce(key < cut, F.lit(False))
-    if left == 0 or not rest:
+    if left == 0 or last:
         return head
-    ties = df.where(key == cut)
-    return head | (F.coalesce(key == cut, F.lit(False)) & before_rank(ties, left, rest, small))
-
-
-def _up_to_last(df: DataFrame, rank: int, order: tuple[str, ...]) -> Column:
-    """The predicate "not after the rank-th row", from a sort that keeps `rank` rows."""
-    parts = []
-    for c in order:
-        absent = is_missing(F.col(c).cast("double"))
-        parts += [absent.alias(f"{c}__absent"), F.when(~absent, F.col(c)).alias(c)]
-    keys = df.select(*parts)
-    last = keys.orderBy(*keys.columns).limit(rank).agg(F.max(F.struct(*keys.columns))).first()[0]
-    if last is None:
-        return F.lit(True)
-    upto = F.lit(True)
-    for c in reversed(order):
-        absent = is_missing(F.col(c).cast("double"))
-        if last[f"{c}__absent"]:
-            upto = ~absent | upto
-        else:
-            key, cut = F.col(c), F.lit(last[c])
-            upto = F.coalesce((key < cut) | ((key == cut) & upto), F.lit(False))
-    return upto
+    ties = rows.where(F.col(name) == cut)
+    return head | (F.coalesce(key == cut, F.lit(False)) & _before(ties, left, keys, i + 1))
 
 
 def hot_key_buckets(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.draws import hash_int
 from riskengine.functions.values import count_where, ratio
-from riskengine.operators.ordered import SMALL_LIMIT, before_rank
+from riskengine.operators.ordered import before_rank
 from riskengine.schema import LABEL, ROW_ID
 
 CHRONOLOGICAL = ("Time", ROW_ID)
@@ -75,8 +75,6 @@ def sample_n(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     drawn = df.withColumn(
         "draw__", hash_int(seed, F.col(ROW_ID), digits=SAMPLE_HASH_DIGITS)
     )
-    if n <= SMALL_LIMIT:
-        return drawn.orderBy("draw__", ROW_ID).limit(n).drop("draw__")
     keep = before_rank(drawn.select("draw__", ROW_ID), n, ("draw__", ROW_ID))
     return drawn.where(keep).drop("draw__")
 

@@ -6,7 +6,7 @@ They are written for one machine: unpartitioned windows and self joins are fine
 from __future__ import annotations
 
 from riskengine import queries as q
-from riskengine.operators.bootstrap import REPORT_PERCENTILES
+from riskengine.operators.bootstrap import KEY_SCALE, REPORT_PERCENTILES, UNIT_CDF, UNIT_ROWS
 from riskengine.operators.curves import CANDIDATE_THRESHOLDS
 from riskengine.schema import FEATURES, KEY_FEATURES, PCA_FEATURES, RAW_COLUMNS
 
@@ -351,24 +351,37 @@ def _ap(score: str) -> str:
     return f"""ap_{score} AS (
   SELECT rep, sum(pos * tp / cn) / sum(pos) AS auc FROM (
     SELECT rep, pos, sum(pos) OVER w AS tp, sum(n) OVER w AS cn
-    FROM (SELECT rep, {score} AS s, CAST(sum(y) AS DOUBLE) AS pos, CAST(count(*) AS DOUBLE) AS n
-          FROM drawn GROUP BY rep, {score})
+    FROM (SELECT rep, {score} AS s, CAST(sum(y * w) AS DOUBLE) AS pos, CAST(sum(w) AS DOUBLE) AS n
+          FROM drawn WHERE w > 0 GROUP BY rep, {score})
     WINDOW w AS (PARTITION BY rep ORDER BY s DESC ROWS UNBOUNDED PRECEDING))
   GROUP BY rep)"""
 
 
+def _spelled(score: str) -> str:
+    parts, left = [], score
+    for _ in range(3):
+        parts.append(f"CAST(floor({left}) AS BIGINT)")
+        left = f"(({left} - floor({left})) * {D(int(KEY_SCALE))})"
+    return ", ".join(parts)
+
+
+_UNIT = _uniform("'42'", "rep", "cell", "i")
+_U1, _U2 = (_uniform("'42'", "rep", "cell", f"'{u}'") for u in ("u1", "u2"))
 _BOOT = _with(
     TXN,
     SCORED,
     _ranked("scored"),
-    f"""held AS (SELECT p, p_b, Class AS y, row_number() OVER (ORDER BY p, p_b, Class) - 1 AS idx,
-      count(*) OVER () AS n_held FROM ranked WHERE NOT ({_TRAIN}))""",
-    f"""slots AS (SELECT r.rep, s.slot FROM range(0, {q.N_BOOTSTRAPS}) r(rep)
-      CROSS JOIN (SELECT idx AS slot FROM held) s)""",
-    f"""drawn AS (SELECT slots.rep, held.p, held.p_b, held.y FROM (
-        SELECT rep, CAST({_draw("'42'", 'rep', 'slot', digits=13)} AS BIGINT)
-          % (SELECT max(n_held) FROM held) AS idx FROM slots) slots
-      JOIN held ON held.idx = slots.idx)""",
+    f"""held AS (SELECT p, p_b, Class AS y, count(*) OVER cell_rows AS rows,
+      row_number() OVER cell_rows AS i, concat_ws(':', {_spelled("p")}, {_spelled("p_b")}, Class) AS cell
+      FROM ranked WHERE NOT ({_TRAIN}) WINDOW cell_rows AS (PARTITION BY p, p_b, Class))""",
+    f"""paired AS (SELECT * FROM held CROSS JOIN range(0, {q.N_BOOTSTRAPS}) r(rep)
+      WHERE rows <= {UNIT_ROWS} OR i = 1)""",
+    f"""spun AS (SELECT rep, p, p_b, y, rows, {_UNIT} AS u,
+      sqrt({D(-2)} * ln({_U1})) * cos(2 * pi() * ({_U2})) AS z FROM paired)""",
+    f"""drawn AS (SELECT rep, p, p_b, y, CASE WHEN rows <= {UNIT_ROWS}
+      THEN {" + ".join(f"CAST(u > {D(repr(c))} AS INT)" for c in UNIT_CDF)}
+      ELSE greatest(0, CAST(floor(rows + sqrt(CAST(rows AS DOUBLE)) * z
+        + (z * z - 1) / 6 + CAST(0.5 AS DOUBLE)) AS BIGINT)) END AS w FROM spun)""",
     _ap("p"),
     _ap("p_b"),
     """samples AS (SELECT rep + 1 AS iteration, a.auc AS auc_pr_a, b.auc AS auc_pr_b,

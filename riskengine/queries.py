@@ -35,7 +35,7 @@ REPLAY_START, REPLAY_LIMIT = 100, 5000
 REFERENCE_ROWS, REFERENCE_SAMPLE = 7500, 2000
 SAMPLE_ROWS = 1000
 THRESHOLD = 0.5
-N_BOOTSTRAPS = 50
+N_BOOTSTRAPS = 1000
 RECENT = 100
 WINDOW_REFERENCE = 5000
 QUERY_TREES, QUERY_DEPTH = 5, 4

@@ -133,28 +133,57 @@ def test_hour_slices_need_the_column(scored):
     }
 
 
-@pytest.mark.parametrize("small_cells,max_slots", [(50_000, 10**9), (0, 10**9), (50_000, 0)])
-def test_bootstrap_weights_are_full_resamples(scored, scores, small_cells, max_slots):
-    cells = b._cells(scored, "p", "p_b", "Class")
-    w = b.resample_weights(cells, len(scores), 8, small_cells=small_cells, max_slots=max_slots).toPandas()
-    assert (w.groupby("rep")["w"].sum() == len(scores)).all() and w["rep"].nunique() == 8
-    # Mean weight of a cell is its number of rows.
-    rows = scores.groupby(["p", "p_b", "Class"]).size()
-    mean = w.groupby(["a", "b", "y"])["w"].sum() / 8
-    assert abs(mean.reindex(rows.index).fillna(0) - rows).mean() < 0.6
-    samples = b.bootstrap_samples(scored, n_bootstraps=8, small_cells=small_cells, max_slots=max_slots).orderBy("iteration").toPandas()
+@pytest.mark.parametrize("continuous", [False, True])
+def test_bootstrap_curves_follow_the_drawn_weights(spark, scored, scores, continuous):
+    df = scored
+    if continuous:
+        frame = scores.assign(p=np.random.default_rng(1).random(len(scores)))
+        df = spark.createDataFrame(frame)
+    cells = b._cells(df, "p", "p_b", "Class")
+    w = b.resample_weights(cells, 8).toPandas()
+    assert w["rep"].nunique() == 8
+    samples = b.bootstrap_samples(df, n_bootstraps=8).orderBy("iteration").toPandas()
     for r in range(8):
         part = w[w["rep"] == r]
-        want = average_precision(part["y"].to_numpy(), part["a"].to_numpy(), part["w"].to_numpy())
-        assert samples.loc[r, "auc_pr_a"] == pytest.approx(want, abs=1e-12)
+        for col, out in (("a", "auc_pr_a"), ("b", "auc_pr_b")):
+            want = average_precision(part["y"].to_numpy(), part[col].to_numpy(), part["w"].to_numpy())
+            assert samples.loc[r, out] == pytest.approx(want, abs=1e-12)
+
 
+@pytest.mark.parametrize("rows", [1, 7, 16, 17, 400, 10**9])
+def test_cell_weights_are_poisson(spark, rows):
+    """Mean and variance are the rows of the cell; one row follows the Poisson(1) frequencies."""
+    cells = spark.range(4000).select(F.col("id").alias("cell"), F.lit(rows).cast("long").alias("rows"), F.lit(3).alias("rep"))
+    w = cells.select(b.cell_weight("42").alias("w")).toPandas()["w"].to_numpy(dtype=float)
+    assert abs(w.mean() - rows) < 5 * np.sqrt(rows / 4000)
+    assert w.var() == pytest.approx(rows, rel=0.15)
+    if rows == 1:
+        want = [np.exp(-1), np.exp(-1), np.exp(-1) / 2, np.exp(-1) / 6]
+        assert np.allclose([(w == k).mean() for k in range(4)], want, atol=0.03)
 
-def test_numbered_rows_number_every_row_once(scored, scores, monkeypatch):
-    monkeypatch.setattr(b, "ROWS_PER_PIECE", 3)
-    cells = b._cells(scored.withColumn("p_b", F.lit(0.5)), "p", "p_b", "Class")
-    rows = b.numbered_rows(cells).toPandas()
-    assert sorted(rows["at"]) == list(range(len(scores)))
-    assert rows.groupby("a").size().to_dict() == scores.groupby("p").size().to_dict()
+
+def test_samples_do_not_depend_on_partitions_or_size(spark, scored):
+    """The same draws at 4 and 40 shuffle partitions, and for a cell whatever stands beside it."""
+    cells = b._cells(scored, "p", "p_b", "Class")
+    base = np.array(sorted(b.bootstrap_samples(scored, n_bootstraps=6).collect()))
+    drawn = {tuple(r) for r in b.resample_weights(cells, 6).collect()}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        # Sums of doubles may differ in their last digit.
+        again = np.array(sorted(b.bootstrap_samples(scored, n_bootstraps=6).collect()))
+        assert np.allclose(again, base, rtol=0, atol=1e-14)
+        whole = {tuple(r) for r in b.resample_weights(cells, 6).collect()}
+        part = {tuple(r) for r in b.resample_weights(cells.where("a > 0.5 OR y = 1"), 6).collect()}
+        assert part and part <= whole and whole == drawn
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_close_scores_are_different_cells(spark):
+    rows = [(0.5, 0.5, 1), (0.5 + 2**-53, 0.5, 1), (2.0**-60, 0.5, 1), (2.0**-61, 0.5, 1), (-3.25, 0.5, 1)]
+    cells = b._cells(spark.createDataFrame(rows, "p double, p_b double, Class int"), "p", "p_b", "Class")
+    assert cells.select("cell").distinct().count() == 5
 
 
 def test_identical_scores_tie_and_resamples_repeat(scored):

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 
 from riskengine.operators import governance as g
+from riskengine.operators.ordered import hot_key_buckets
 from riskengine.plans.retraining import run_retraining
 
 
@@ -53,6 +54,29 @@ def test_gate_equals_a_sequential_walk(spark, hot_rows):
     assert stages["model_name"].nunique() == (stages["stage"] == "Production").sum()
 
 
+def test_gate_jumps_over_records_below_the_margin_across_batches(spark):
+    """A strictly improving model, read in small batches next to others."""
+    rising = np.cumsum(np.random.default_rng(4).random(3000) * 8e-5)
+    frame = pd.DataFrame({"model_name": "m1", "version": np.arange(3000), "auc_pr": rising})
+    other = pd.DataFrame({"model_name": [f"m{i % 7}x" for i in range(70)], "version": np.arange(70), "auc_pr": rising[:70]})
+    frame = pd.concat([frame, other], ignore_index=True)
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = {(r["model_name"], r["version"]): (r["action"], r["reason"], r["previous_version"]) for r in g.promotion_gate(spark.createDataFrame(frame)).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert got == fold(frame)
+
+
+def test_one_hot_model_among_many_small_ones_is_spread_evenly(spark):
+    small = spark.range(200_000).selectExpr("concat('m', id % 20000) AS model_name", "id div 20000 AS version")
+    hot = spark.range(4000).selectExpr("'hot' AS model_name", "id + 1000000 AS version")
+    parts, split = hot_key_buckets(small.unionByName(hot), ["model_name"], "version", 1000, n_buckets=16)
+    sizes = [r["count"] for r in parts.where("model_name = 'hot'").groupBy("bucket").count().collect()]
+    assert split and sum(sizes) == 4000 and max(sizes) <= 2 * 4000 / 16
+
+
 @pytest.mark.parametrize("hot_rows", [3, 10**6])
 def test_registration_is_idempotent(spark, hot_rows):
     empty = spark.createDataFrame([], "model_name string, run_id long, version long")
