@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskengine.functions.draws import normal
 from riskengine.functions.kstest import ks_pvalue
 from riskengine.operators.ordered import (
     BUCKET,
+    bucket_number,
     find_edges,
     melt,
     running_totals,
@@ -18,12 +22,16 @@ from riskengine.operators.ordered import (
 from riskengine.operators.quality import require_columns
 from riskengine.operators.split import first_rows, sample_n, time_split
 from riskengine.schema import FEATURES, KEY_FEATURES, ROW_ID
+from riskengine.session import materialize
 
 # Defaults of the drift decision.
 DRIFT_SHARE = 0.20
 P_VALUE = 0.05
 KEY_FEATURE_COUNT = 2
 
+# Windows are compared in smaller value buckets, as a Python task holds one of them.
+WINDOW_BUCKETS = 10
+
 
 def both_sides(ref: DataFrame, cur: DataFrame) -> DataFrame:
     """Two tables as one: a = 1 on reference rows, b = 1 on current rows."""
@@ -182,6 +190,134 @@ def reference_sample(
     return sample_n(out, sample_size, seed) if sample_size else out
 
 
+def _windows_in_bucket(window_start: str):
+    """Distances of every window within one value bucket, the reference read once.
+
+    Between two values of a window its share is constant while the reference's only rises: the
+    largest gap is at an end, and the area between them has at most one crossing, found by binary
+    search. `steps` holds the bucket's values, `known` what lies before and after the bucket.
+    """
+
+    def measure(steps: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        is_ref = steps[window_start].isna()
+        ref = steps[is_ref].sort_values("value")
+        windows = dict(tuple(steps[~is_ref].sort_values("value").groupby(window_start)))
+        at = ref["value"].to_numpy()
+        lo, hi, ref_base, n_ref = known[["lo", "hi", "ref_base", "n_ref"]].iloc[0]
+        counts = np.r_[ref_base, ref_base + ref["n"].to_numpy().cumsum()]
+        share = counts / n_ref if n_ref else np.zeros(len(counts))
+        starts = np.r_[lo, at]
+        # Area under the reference's share from lo on, linear between these places.
+        places = np.r_[starts, hi]
+        areas = np.r_[0.0, np.cumsum(share * np.diff(places))]
+        out = known[["feature_of", window_start, "n_ref", "n_cur"]].rename(columns={"feature_of": "feature"})
+        ks, area = [], []
+        for window, base, n_cur in zip(known[window_start], known["base"], known["n_cur"]):
+            mine = windows.get(window)
+            values = mine["value"].to_numpy() if mine is not None else np.empty(0)
+            held = np.r_[base, base + mine["n"].to_numpy().cumsum()] if mine is not None else np.r_[base]
+            if not n_ref or not n_cur:
+                ks.append(np.nan)
+                area.append(0.0)
+                continue
+            level = held / n_cur
+            before = share[np.searchsorted(at, values, side="left")]
+            after = share[np.searchsorted(at, values, side="right")]
+            gaps = np.r_[np.abs(before - level[:-1]), np.abs(after - level[1:])]
+            ks.append(gaps.max() if len(gaps) else np.nan)
+            left, right = np.r_[lo, values], np.r_[values, hi]
+            cross = np.r_[starts, hi][np.searchsorted(share, level, side="right")]
+            cross = np.clip(cross, left, right)
+            a, c, b = (np.interp(x, places, areas) for x in (left, cross, right))
+            area.append(float(np.sum(level * (cross - left) - (c - a) + (b - c) - level * (right - cross))))
+        return out.assign(ks=ks, wasserstein=area)
+
+    return measure
+
+
+def window_distances(
+    ref: DataFrame, rows: DataFrame, window_start: str, cols: list[str] = FEATURES
+) -> DataFrame:
+    """`distances` of every window of `rows` from all of `ref`, with `ref` ordered only once.
+
+    Both tables are put in value buckets together. A bucket of a feature is one group, about a
+    million rows long; what it needs of the buckets before comes from a table of bucket totals.
+    """
+    cols_in = [window_start, *cols]
+    kind = rows.schema[window_start].dataType
+    both = ref.withColumn(window_start, F.lit(None).cast(kind)).select(cols_in).unionByName(
+        rows.where(F.col(window_start).isNotNull()).select(cols_in)
+    )
+    n_buckets = bucket_number(both.sparkSession, WINDOW_BUCKETS * both.count())
+    edges = find_edges(both, cols, n_buckets)
+    steps = materialize(
+        melt(both, cols, keep=[window_start], edges=edges, by_number=True)
+        .groupBy("feature", BUCKET, window_start, "value")
+        .agg(F.count(F.lit(1)).alias("n")),
+        "steps",
+    )
+    # One entry per window: the list of days.
+    days = [r[0] for r in steps.select(window_start).distinct().collect() if r[0] is not None]
+    listed = F.array(*[F.lit(d) for d in days]).cast(T.ArrayType(kind))
+    across = Window.partitionBy("feature").orderBy(BUCKET)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    is_ref = F.col(window_start).isNull()
+    buckets = (
+        steps.groupBy("feature", BUCKET)
+        .agg(
+            F.coalesce(F.sum(F.when(is_ref, F.col("n"))), F.lit(0)).alias("ref_n"),
+            F.min("value").alias("lo"),
+            F.max("value").alias("top"),
+        )
+        .select(
+            "feature",
+            BUCKET,
+            "lo",
+            F.coalesce(F.lead("lo").over(across), F.col("top")).alias("hi"),
+            F.coalesce(F.sum("ref_n").over(earlier), F.lit(0)).alias("ref_base"),
+            F.sum("ref_n").over(Window.partitionBy("feature")).alias("n_ref"),
+        )
+        .select("*", F.explode(listed).alias(window_start))
+    )
+    part = ["feature", BUCKET]
+    on = [*part, window_start]
+    mine = steps.where(~is_ref).groupBy(*on).agg(F.sum("n").alias("cur_n"))
+    by_window = Window.partitionBy("feature", window_start)
+    before = by_window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    known = buckets.join(mine, on, "left").select(
+        *[F.col(c).alias(f"{c}_of") for c in part],
+        *[c for c in buckets.columns if c not in part],
+        F.coalesce(F.sum("cur_n").over(before), F.lit(0)).alias("base"),
+        F.coalesce(F.sum("cur_n").over(by_window), F.lit(0)).alias("n_cur"),
+    )
+    out = T.StructType(
+        [
+            T.StructField("feature", T.IntegerType()),
+            T.StructField(window_start, kind),
+            T.StructField("n_ref", T.LongType()),
+            T.StructField("n_cur", T.LongType()),
+            T.StructField("ks", T.DoubleType()),
+            T.StructField("wasserstein", T.DoubleType()),
+        ]
+    )
+    found = (
+        steps.groupBy(*part)
+        .cogroup(known.groupBy(*[f"{c}_of" for c in part]))
+        .applyInPandas(_windows_in_bucket(window_start), out)
+    )
+    names = F.array(*[F.lit(c) for c in cols])
+    return (
+        found.groupBy(window_start, "feature")
+        .agg(
+            F.max("n_ref").alias("n_ref"),
+            F.max("n_cur").alias("n_cur"),
+            F.max(F.nanvl("ks", F.lit(None))).alias("ks"),
+            F.sum("wasserstein").alias("wasserstein"),
+        )
+        .withColumn("feature", names[F.col("feature")])
+    )
+
+
 def drift_by_window(
     ref: DataFrame,
     rows: DataFrame,
@@ -189,14 +325,9 @@ def drift_by_window(
     cols: list[str] = FEATURES,
     p_value: float = P_VALUE,
 ) -> DataFrame:
-    """Every window of `rows` against the same reference sample: the per-feature report.
-
-    The reference is a sample of bounded size; it is repeated once per window.
-    """
+    """Every window of `rows` against the same reference rows: the per-feature report."""
     by = [window_start, "feature"]
-    windows = [r[0] for r in rows.select(window_start).distinct().orderBy(window_start).collect()]
-    repeated = ref.withColumn(window_start, F.explode(F.array(*[F.lit(w) for w in windows])))
-    found = distances(both_sides(repeated, rows), [window_start], cols, both_sides(ref, rows))
+    found = window_distances(ref, rows, window_start, cols)
     of_ref = moments(mark_sides(ref, F.lit(True)), [], cols).select("feature", "ref_mean", "ref_std")
     of_cur = moments(mark_sides(rows, F.lit(False)), [window_start], cols)
     return (

@@ -532,8 +532,7 @@ _WINDOWS = (
     TXN,
     FEATS,
     _ranked("feats"),
-    f"""ref AS (SELECT * FROM ranked WHERE {_TRAIN}
-      ORDER BY {_draw("'42'", 'txn_id', digits=13)}, txn_id LIMIT {q.WINDOW_REFERENCE})""",
+    f"ref AS (SELECT * FROM ranked WHERE {_TRAIN})",
     "wins AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS window_start FROM ranked)",
     f"""sides AS (
       SELECT window_start, feature, value, 1 AS a, 0 AS b

@@ -37,8 +37,6 @@ SAMPLE_ROWS = 1000
 THRESHOLD = 0.5
 N_BOOTSTRAPS = 1000
 RECENT = 100
-WINDOW_REFERENCE = 5000
-QUERY_TREES, QUERY_DEPTH = 5, 4
 
 
 def _round(df: DataFrame, **places: int) -> DataFrame:
@@ -372,9 +370,7 @@ def _score_out(df: DataFrame) -> DataFrame:
 
 def gbt_train_score(spark, sf_dir):
     train, test = _matrix_split(spark, sf_dir)
-    model = learners.train_gbt(
-        train, cost.scale_pos_weight(train), n_trees=QUERY_TREES, max_depth=QUERY_DEPTH
-    )
+    model = learners.train_gbt(train, cost.scale_pos_weight(train))
     return _score_out(learners.predict(model, test))
 
 
@@ -396,9 +392,7 @@ def recon_error_by_class(spark, sf_dir):
 def ensemble_train_score(spark, sf_dir):
     both = _with_error(spark, sf_dir)
     train, test = both.where("split = 'train'"), both.where("split = 'test'")
-    model = learners.train_ensemble(
-        train, cost.scale_pos_weight(train), n_trees=QUERY_TREES, max_depth=QUERY_DEPTH
-    )
+    model = learners.train_ensemble(train, cost.scale_pos_weight(train))
     return _score_out(learners.predict(model, test))
 
 
@@ -467,8 +461,7 @@ def _by_window(spark, sf_dir):
     feats = quality.compute_features(transactions(spark, sf_dir), keep=(ROW_ID, "Time", "ts"))
     feats = feats.withColumn("window_start", F.to_date("ts"))
     train, _ = split.time_split(feats)
-    ref = materialize(split.sample_n(train.drop("window_start"), WINDOW_REFERENCE), "reference")
-    return drift.drift_by_window(ref, feats)
+    return drift.drift_by_window(train.drop("window_start"), feats)
 
 
 def _day(col: str) -> Column:

@@ -43,10 +43,8 @@ def test_distances_match_brute_force(pair):
         assert (got[f]["n_ref"], got[f]["n_cur"]) == (500, 400)
 
 
-@pytest.mark.parametrize("mostly_distinct", [0.0, 1.1])
-def test_a_hot_value_is_counted_whole(spark, pair, monkeypatch, mostly_distinct):
+def test_a_hot_value_is_counted_whole(spark, pair):
     """A third of all rows share one value on both sides; others share smaller ones."""
-    monkeypatch.setattr(d, "MOSTLY_DISTINCT", mostly_distinct)
     (a, _), (b, _) = pair
     a, b = a.copy(), b.copy()
     a.loc[: len(a) // 3, "V1"] = 0.5
@@ -137,6 +135,22 @@ def test_each_window_equals_its_own_comparison(pair):
         assert math.isclose(g["wasserstein"], w["wasserstein"])
 
 
+def test_windows_match_brute_force(spark):
+    """Hot values, windows that lie aside of the reference, and missing values."""
+    rng = np.random.default_rng(8)
+    a = np.round(rng.normal(size=900), 3)
+    a[:300] = 0.25
+    b = {"w1": rng.normal(1, 2, 300), "w2": np.full(4, 0.25), "w3": np.array([-9.0, -8.5]), "w4": np.r_[7.5, 9.0], "w5": a[250:500]}
+    ref = spark.createDataFrame(pd.DataFrame({"V1": a}))
+    rows = pd.concat([pd.DataFrame({"day": w, "V1": v}) for w, v in b.items()] + [pd.DataFrame({"day": "w6", "V1": [np.nan]})])
+    got = {r["day"]: r for r in d.window_distances(ref, spark.createDataFrame(rows), "day", ["V1"]).collect()}
+    assert set(got) >= set(b)
+    for w, v in b.items():
+        ks, area = brute(a, v)
+        assert got[w]["ks"] == pytest.approx(ks, abs=1e-12) and got[w]["wasserstein"] == pytest.approx(area, abs=1e-9)
+        assert (got[w]["n_ref"], got[w]["n_cur"]) == (900, len(v))
+
+
 def test_branching():
     assert decide_branch(True) == decide_branch(False, True) == "retrain_model_task"
     assert decide_branch(False) == "skip_retrain_task"
