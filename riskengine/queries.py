@@ -365,7 +365,8 @@ def _matrix_split(spark, sf_dir):
 
 
 def _score_out(df: DataFrame) -> DataFrame:
-    return df.select(ROW_ID, LABEL, "p")
+    """Every scored row and whether its score is a probability: what SQL knows of a trained model."""
+    return df.select(ROW_ID, LABEL, F.col("p").between(0.0, 1.0).alias("p_valid"))
 
 
 def gbt_train_score(spark, sf_dir):
@@ -382,11 +383,21 @@ def _with_error(spark, sf_dir):
 
 
 def recon_error(spark, sf_dir):
-    return _with_error(spark, sf_dir).select(ROW_ID, LABEL, "split", "recon_error")
+    error = F.col("recon_error")
+    sound = (error >= 0) & (error < float("inf"))
+    return _with_error(spark, sf_dir).select(ROW_ID, LABEL, "split", sound.alias("error_valid"))
 
 
 def recon_error_by_class(spark, sf_dir):
-    return learners.error_by_class(_with_error(spark, sf_dir))
+    """Legitimate training rows lose less than their unit variance; the ratio is that of its sides."""
+    by = learners.error_by_class(_with_error(spark, sf_dir))
+    fraud, legit = F.col("fraud_error"), F.col("legit_error")
+    return by.select(
+        "split",
+        ((fraud >= 0) & (legit > 0)).alias("errors_valid"),
+        F.when(F.col("split") == "train", legit < 1.0).alias("below_variance"),
+        (F.abs(F.col("fraud_to_legit") * legit - fraud) <= 1e-9 * fraud).alias("ratio_valid"),
+    )
 
 
 def ensemble_train_score(spark, sf_dir):
