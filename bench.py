@@ -33,6 +33,8 @@ HEADLINE = [
     "drift_ks",
     "drift_wasserstein",
     "drift_decision",
+    "drift_by_window",
+    "recon_error",
     "promotion_gate",
     "register_versions",
     "batch_score",

@@ -211,6 +211,30 @@ _QUANTILES = {"median": 0.5, "p1": 0.01, "p5": 0.05, "p25": 0.25, "p75": 0.75, "
 _BALANCE = f"""bal AS (SELECT {_count('Class = 1')} AS n_fraud, {_count('Class = 0')} AS n_legit,
   count(*) AS n_total FROM {{src}})"""
 
+
+def _profile(rows: str) -> str:
+    return (
+        _with(
+            TXN,
+            f"side AS (SELECT * FROM txn WHERE {rows})",
+            f"long AS (SELECT feature, value FROM {_unpivot('side', RAW_COLUMNS)})",
+            """m AS (SELECT feature, avg(value) AS mu, CAST(count(*) AS DOUBLE) AS n FROM long GROUP BY feature)""",
+            """c AS (SELECT feature, any_value(n) AS n, avg((value - mu) ** 2) AS m2,
+              avg((value - mu) ** 3) AS m3, avg((value - mu) ** 4) AS m4
+              FROM long JOIN m USING (feature) GROUP BY feature)""",
+            """s AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
+              max(value) AS max, """
+            + ", ".join(f"quantile_cont(value, {v}) AS {k}" for k, v in _QUANTILES.items())
+            + " FROM long GROUP BY feature)",
+        )
+        + "SELECT feature, "
+        + ", ".join(f"ROUND({k}, 6) AS {k}" for k in ("mean", "std", "median", "min", "max", "p1", "p5", "p25", "p75", "p95", "p99"))
+        + """, ROUND(m3 / m2 ** 1.5 * sqrt(n * (n - 1)) / (n - 2), 6) AS skewness,
+      ROUND((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / m2 ** 2 - 3) + 6), 6) AS kurtosis
+    FROM s JOIN c USING (feature)"""
+    )
+
+
 ORACLES |= {
     "dataset_summary": _with(TXN)
     + f"""SELECT n_rows, CAST(31 AS BIGINT) AS n_cols, n_fraud, n_legit,
@@ -224,23 +248,9 @@ FROM (SELECT count(*) AS n_rows, {_count('Class = 1')} AS n_fraud, {_count('Clas
         f"CAST(count(*) - count({c}) AS BIGINT) AS n_missing FROM txn"
         for i, (c, t) in enumerate(_TYPES.items(), 1)
     ),
-    "statistical_profile": _with(
-        TXN,
-        f"long AS (SELECT feature, value FROM {_unpivot('txn', RAW_COLUMNS)})",
-        """m AS (SELECT feature, avg(value) AS mu, CAST(count(*) AS DOUBLE) AS n FROM long GROUP BY feature)""",
-        """c AS (SELECT feature, any_value(n) AS n, avg((value - mu) ** 2) AS m2,
-          avg((value - mu) ** 3) AS m3, avg((value - mu) ** 4) AS m4
-          FROM long JOIN m USING (feature) GROUP BY feature)""",
-        """s AS (SELECT feature, avg(value) AS mean, stddev_samp(value) AS std, min(value) AS min,
-          max(value) AS max, """
-        + ", ".join(f"quantile_cont(value, {v}) AS {k}" for k, v in _QUANTILES.items())
-        + " FROM long GROUP BY feature)",
-    )
-    + "SELECT feature, "
-    + ", ".join(f"ROUND({k}, 6) AS {k}" for k in ("mean", "std", "median", "min", "max", "p1", "p5", "p25", "p75", "p95", "p99"))
-    + """, ROUND(m3 / m2 ** 1.5 * sqrt(n * (n - 1)) / (n - 2), 6) AS skewness,
-  ROUND((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * (m4 / m2 ** 2 - 3) + 6), 6) AS kurtosis
-FROM s JOIN c USING (feature)""",
+    "statistical_profile": _profile("true"),
+    "class_profiles": f"SELECT 1 AS Class, * FROM ({_profile('Class = 1')}) UNION ALL "
+    + f"SELECT 0, * FROM ({_profile('Class = 0')})",
     "amount_outliers": _with(
         TXN,
         """qs AS (SELECT quantile_cont(Amount, 0.25) AS q1, quantile_cont(Amount, 0.75) AS q3,

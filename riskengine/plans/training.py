@@ -45,6 +45,7 @@ class TrainingResult:
     threshold: float
     holdout: DataFrame
     metrics: DataFrame
+    samples: DataFrame
     bootstrap: DataFrame
     choice: DataFrame
     best_threshold: DataFrame
@@ -71,9 +72,8 @@ def train_and_evaluate(
     holdout = materialize(both, "holdout")
     costs = CostMatrix().calibrate(prepared)
 
-    summary = materialize(
-        bootstrap_summary(bootstrap_samples(holdout, n_bootstraps=n_bootstraps)), "bootstrap"
-    )
+    samples = materialize(bootstrap_samples(holdout, n_bootstraps=n_bootstraps), "samples")
+    summary = materialize(bootstrap_summary(samples), "bootstrap")
     choice = model_choice(summary, BASELINE, ENSEMBLE)
     chosen = choice.first()["chosen"]
     score = "p" if chosen == BASELINE else "p_b"
@@ -93,6 +93,7 @@ def train_and_evaluate(
         threshold=threshold,
         holdout=holdout,
         metrics=metrics,
+        samples=samples,
         bootstrap=summary,
         choice=choice,
         best_threshold=best,
@@ -103,7 +104,7 @@ def train_and_evaluate(
 
 
 def save_result(result: TrainingResult, folder: str) -> None:
-    """Persist the model, the threshold config and the hold-out predictions."""
+    """Persist the model, the threshold config, the hold-out predictions and the resamples."""
     spark = result.holdout.sparkSession
     result.model.write().overwrite().save(f"{folder}/model")
     save_threshold(
@@ -117,6 +118,7 @@ def save_result(result: TrainingResult, folder: str) -> None:
         ),
         f"{folder}/test_predictions",
     )
+    save_csv(result.samples, f"{folder}/bootstrap_samples")
 
 
 def load_serving_model(

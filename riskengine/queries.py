@@ -248,6 +248,12 @@ def statistical_profile(spark, sf_dir):
     return _rounded(profile.statistical_profile(transactions(spark, sf_dir)), 6)
 
 
+def class_profiles(spark, sf_dir):
+    sides = profile.class_profiles(transactions(spark, sf_dir))
+    fraud, legit = (d.withColumn(LABEL, F.lit(y)) for d, y in zip(sides, (1, 0)))
+    return _rounded(fraud.unionByName(legit), 6)
+
+
 def class_effect_size(spark, sf_dir):
     return _rounded(profile.class_comparison(transactions(spark, sf_dir)), 6)
 
@@ -631,7 +637,7 @@ QUERIES: dict[str, Query] = {
         compute_features, null_audit, inf_audit, amount_log, hour_of_day, prepare_features,
         feature_matrix, prescale_check, synthetic_drift,
         time_split, split_stats, sample_n, top_effects, weakest_effects,
-        dataset_summary, dataset_columns, statistical_profile, class_effect_size, amount_outliers,
+        dataset_summary, dataset_columns, statistical_profile, class_profiles, class_effect_size, amount_outliers,
         imbalance, naive_baseline, scale_pos_weight, cost_calibration, expected_cost, cost_scenario,
         auc_pr, auc_roc, threshold_sweep, optimal_threshold, confusion_at, candidate_thresholds,
         slice_by_amount, slice_by_hour, bootstrap_samples, bootstrap_summary,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,6 +87,37 @@ def start(writer: DataStreamWriter, checkpoint: str, interval: str | None = None
     return writer.trigger(availableNow=True).start()
 
 
+def run_bounded(
+    query: StreamingQuery,
+    max_records: int | None = None,
+    idle_seconds: float | None = None,
+    poll_seconds: float = 0.5,
+) -> int:
+    """Wait until the query has read `max_records`, or nothing for `idle_seconds`, then stop it.
+
+    Returns the records read. Whole micro-batches are counted: the one that reaches the limit is
+    finished, so `per_trigger` sets how far it can be passed. A drained query ends the wait, too.
+    """
+    read: dict[int, int] = {}
+    last = time.monotonic()
+    while query.isActive:
+        for batch in query.recentProgress:
+            if batch.numInputRows and batch.batchId not in read:
+                last = time.monotonic()
+            read[batch.batchId] = max(batch.numInputRows, read.get(batch.batchId, 0))
+        if max_records is not None and sum(read.values()) >= max_records:
+            break
+        if query.status["isTriggerActive"] and query.status["isDataAvailable"]:
+            last = time.monotonic()  # at work on a batch
+        if idle_seconds is not None and time.monotonic() - last >= idle_seconds:
+            break
+        time.sleep(poll_seconds)
+    query.stop()
+    for batch in query.recentProgress:
+        read[batch.batchId] = max(batch.numInputRows, read.get(batch.batchId, 0))
+    return sum(read.values())
+
+
 def publish_stream(
     messages: DataFrame, channel: Channel, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:

@@ -21,7 +21,11 @@ def con():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+# 200 trees of depth 6 take minutes on any table: tools/check_oracles.py runs these two.
+SLOW = {"gbt_train_score", "ensemble_train_score"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
 def test_query_agrees_with_sql(spark, con, name):
     assert compare(spark, con, name, FOLDER).startswith(("ok", "rows only"))
 

@@ -9,7 +9,14 @@ from riskengine.session import scratch_path
 from riskengine.sources.messages import json_of
 from riskengine.sources.views import add_formula_score
 from riskengine.streaming import raw_zone, score_stream, telemetry
-from riskengine.streaming.transport import FileChannel, publish, replay
+from riskengine.streaming.transport import (
+    FileChannel,
+    publish,
+    publish_stream,
+    replay,
+    run_bounded,
+    subscribe,
+)
 
 
 def payload(spark, rows):
@@ -115,3 +122,11 @@ def test_stream_statistics_and_recent(spark, txn, monkeypatch):
     telemetry.run_recent(stream, out, scratch_path(spark, "state"), limit=7).awaitTermination()
     ids = {r["txn_id"] for r in telemetry.latest(spark, out).collect()}
     assert ids == {r["txn_id"] for r in sc.recent(scored, 7).collect()}
+
+
+@pytest.mark.parametrize("limits,least,most", [({"max_records": 60}, 60, 150), ({"idle_seconds": 4.0}, 200, 200)])
+def test_bounded_runs_stop_after_records_or_idle_time(spark, txn, limits, least, most):
+    channel, sink = FileChannel(scratch_path(spark, "topic")), FileChannel(scratch_path(spark, "out"))
+    replay(txn, channel, slices=4)
+    query = publish_stream(subscribe(spark, channel, per_trigger=1), sink, scratch_path(spark, "state"), interval="1 second")
+    assert least <= run_bounded(query, **limits) <= most and not query.isActive

@@ -15,9 +15,10 @@ from riskengine.schema import FEATURES, KEYED_SCHEMA
 from riskengine.session import scratch_path
 from riskengine.sources import files
 from riskengine.sources.store import FeatureStore
-from riskengine.sources.messages import encode
 from riskengine.streaming import score_stream
+from riskengine.streaming.transport import FileChannel, replay
 from conftest import make_frame
+from test_evaluation import average_precision
 
 
 def test_csv_round_trip_and_missing_path(spark, txn, frame):
@@ -104,6 +105,33 @@ def learnable(spark):
     return spark.createDataFrame(frame, KEYED_SCHEMA)
 
 
+def test_trees_at_full_settings_score_a_stream_as_they_score_a_table(spark, learnable):
+    """Held-out average precision far above the 11 % of positives, and one model for both inputs."""
+    feats = quality.compute_features(learnable, keep=("txn_id", "Class"))
+    model = ln.train_gbt(feats.where("txn_id % 4 > 0"), 8.0)
+    assert model.stages[-1].getNumTrees == 200
+    held = learnable.where("txn_id % 4 = 0")
+    table = ln.predict(model, quality.compute_features(held, keep=("txn_id", "Class"))).toPandas()
+    assert average_precision(table["Class"].to_numpy(), table["p"].to_numpy()) > 0.75
+    assert table["p"].between(0, 1).all()
+
+    source, sink = FileChannel(scratch_path(spark, "topic")), FileChannel(scratch_path(spark, "scored"))
+    replay(held, source)
+    score = lambda df: ln.predict(model, quality.prepare_features(df))
+    score_stream.run_scoring(spark, source, sink, scratch_path(spark, "state"), score, 0.4).awaitTermination()
+    got = score_stream.read_scored(spark, sink.path).toPandas().set_index("txn_id").sort_index()
+    want = table.set_index("txn_id").sort_index()
+    assert list(got.index) == list(want.index)
+    assert np.allclose(got["fraud_probability"], want["p"], atol=1e-6)
+    assert list(got["is_fraud"]) == list(want["p"] >= 0.4)
+
+
+def test_weight_of_positives_raises_their_scores(spark, learnable):
+    feats = quality.compute_features(learnable, keep=("txn_id", "Class"))
+    mean = {w: ln.predict(ln.train_gbt(feats, w, n_trees=5, max_depth=3), feats).agg(F.avg("p")).first()[0] for w in (1.0, 20.0)}
+    assert mean[20.0] > 1.1 * mean[1.0]
+
+
 def test_training_run(spark, learnable, tmp_path):
     result = train_and_evaluate(learnable, n_bootstraps=10, n_trees=4, max_depth=3)
     assert result.auc_pr > 0.5
@@ -116,15 +144,10 @@ def test_training_run(spark, learnable, tmp_path):
     assert files.load_threshold(spark, f"{folder}/threshold_config")["optimal_threshold"] == result.threshold
     assert spark.read.option("header", True).csv(f"{folder}/test_predictions").count() == 160
 
-    # The saved model scores a message exactly as it scored the table.
     model = PipelineModel.load(f"{folder}/model")
-    source = quality.compute_features(learnable, keep=("txn_id",))
-    if result.chosen == "baseline":
-        table = ln.predict(model, source).orderBy("txn_id").select("p").collect()
-        messages = encode(learnable)
-        score = lambda df: ln.predict(model, quality.prepare_features(df))
-        scored = score_stream.score_messages(messages, score, result.threshold).orderBy("txn_id").collect()
-        assert [r["is_fraud"] for r in scored] == [r["p"] >= result.threshold for r in table]
+    assert model.stages[-1].getNumTrees == 4
+    saved = spark.read.option("header", True).csv(f"{folder}/bootstrap_samples")
+    assert saved.count() == 10 and set(saved.columns) == {"iteration", "auc_pr_a", "auc_pr_b", "diff"}
 
     # Registry first, then the local copy.
     stages = spark.createDataFrame([("m", 1, "Production")], "model_name string, version long, stage string")
