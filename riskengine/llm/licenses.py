@@ -62,10 +62,15 @@ def _line_words(text: Column) -> Column:
     )
 
 
+def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
+    """label, text: the fixed list as literals of a plan."""
+    pairs = F.create_map(*(F.lit(x) for pair in sorted(templates.items()) for x in pair))
+    return spark.range(1).select(F.explode(pairs.cast("map<string,string>")).alias("label", "text"))
+
+
 def template_prefixes(spark: SparkSession, frequency: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
     """One row per template and prefix word: word, label, template, place, need."""
-    given = spark.createDataFrame(sorted(templates.items()), "label string, text string")
-    sets = given.select("label", F.array_distinct(F.flatten(_line_words(F.col("text")))).alias("words"))
+    sets = template_table(spark, templates).select("label", F.array_distinct(F.flatten(_line_words(F.col("text")))).alias("words"))
     ranked = (
         sets.select("label", F.explode("words").alias("word"))
         .join(frequency, "word")
@@ -106,8 +111,7 @@ def scan_licenses(
     lines = kept_as(docs, doc_id="doc_id", text="text").select(
         "doc_id", F.xxhash64(text).alias("text_key"), _line_words(text).alias("lines")
     )
-    given = spark.createDataFrame(sorted(templates.items()), "label string, text string")
-    vocabulary = given.select(F.explode(F.flatten(_line_words(F.col("text")))).alias("word"))
+    vocabulary = template_table(spark, templates).select(F.explode(F.flatten(_line_words(F.col("text")))).alias("word"))
     frequency = document_frequency(lines.select(F.flatten("lines").alias("tokens")), vocabulary)
     prefixes = materialize(
         template_prefixes(spark, materialize(frequency, "license-words"), templates, threshold), "license-prefixes"
