@@ -1,7 +1,7 @@
 """Operator 1: WARC archives, written and read with boundary-chain verification.
 
-Writing: one record per page, gathered in gzip files of at most RECORDS_PER_FILE records by Spark's
-text writer. Of records with equal payloads of 100 bytes or more, the one with the smallest page_id
+Writing: one record per page, gathered in gzip files by Spark's text writer. A file takes as many
+records as make FILE_BYTES of payload at the mean size of a page, and RECORDS_PER_FILE at most. Of records with equal payloads of 100 bytes or more, the one with the smallest page_id
 is a response and the others are revisits that refer to it and carry no payload.
 
 Reading: tasks look for the magic `WARC/1.0` anywhere in a file, payloads included, and emit each
@@ -34,6 +34,8 @@ from riskengine.session import materialize, scratch_path
 MAGIC = b"WARC/1.0\r\n"
 MIN_SHARED_BYTES = 100
 RECORDS_PER_FILE = 4096
+# Payload of a file, unzipped; a task that reads it back holds it whole.
+FILE_BYTES = 64 << 20
 DATE = "1970-01-01T00:00:00Z"
 _LENGTH = re.compile(rb"\r\nContent-Length: *([0-9]{1,18})\r\n", re.I)
 _FIELD = re.compile(rb"\r\n([A-Za-z-]+): *([^\r\n]*)")
@@ -69,6 +71,12 @@ def _header(name: str, value: Column) -> Column:
     return F.coalesce(F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n")), F.lit(""))
 
 
+def records_per_file(pages: DataFrame) -> int:
+    """How many records of the mean payload size make FILE_BYTES, RECORDS_PER_FILE at most."""
+    mean = pages.agg(F.avg(F.octet_length(whole_text("html")))).first()[0] or 0.0
+    return max(1, min(RECORDS_PER_FILE, int(FILE_BYTES // max(mean, 1.0))))
+
+
 def write_warc(pages: DataFrame, path: str) -> None:
     """Write a record per page (page_id, url, html) to gzip archives under `path`."""
     rows = record_roles(pages)
@@ -90,7 +98,7 @@ def write_warc(pages: DataFrame, path: str) -> None:
         # The writer's line separator completes the closing pair of line ends.
         F.lit("\r\n\r"),
     )
-    writer = rows.select(record.alias("value")).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer = rows.select(record.alias("value")).write.option("maxRecordsPerFile", records_per_file(pages))
     writer.option("compression", "gzip").option("lineSep", "\n").text(path)
 
 

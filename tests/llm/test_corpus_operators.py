@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -269,6 +270,7 @@ def test_licenses(spark, odd_docs, no_docs):
     assert got[2]["base_labels"] == "gpl" and (got[3]["n_words"], got[3]["labels"], got[3]["first_word"]) == (0, "", None)
     assert got[4]["base_labels"] == "" and got[4]["labels"] == "mit-notice"
     assert "mit-permission" in got[5]["labels"] and 0.8 <= got[5]["score"] < 1
+    assert {r["score"] for r in licenses.scan_licenses(df, {}).collect()} == {0.0}
     assert licenses.scan_licenses(odd_docs).count() == odd_docs.count() and licenses.scan_licenses(no_docs).count() == 0
 
 
@@ -319,6 +321,13 @@ def test_warc_round_trip(spark):
     records = warc.read_warc(spark, path, with_payload=True).collect()
     assert all(r["intact"] for r in records) and {bytes(r["payload"]) for r in records} >= {magic.encode(), b"short"}
     assert warc.archive_and_read(pages.limit(0)).count() == 0
+    # Large pages make files of few records.
+    assert warc.records_per_file(pages) == warc.RECORDS_PER_FILE and warc.records_per_file(pages.limit(0)) == warc.RECORDS_PER_FILE
+    assert warc.records_per_file(pages.select(F.repeat(F.lit("x"), 1 << 20).alias("html"))) == 64
+    odd = spark.createDataFrame([(None, None, "z" * 200), (7, None, "z" * 200), (7, "http://h/7", "z" * 200)], "page_id long, url string, html string")
+    assert sorted((r["page_id"] or -1, r["record_type"], r["refers_to"]) for r in warc.archive_and_read(odd).collect()) == [
+        (-1, "revisit", 7), (7, "response", None), (7, "response", None)
+    ]
 
 
 def test_chat_round_trip(spark):
@@ -358,6 +367,21 @@ def test_pii(spark, odd_docs, no_docs):
     assert pii.find_pii(no_docs).count() == 0
 
 
+def test_pii_base_rule_equals_the_plain_patterns_and_stays_linear():
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    ip = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(12)
+    for _ in range(20_000):
+        text = "".join(rng.choice("a1_.@@-+ é.") for _ in range(rng.randrange(24)))
+        assert list(pii.emails(text)) == [m.span() for m in email.finditer(text)]
+        text = "".join(rng.choice("129.. é") for _ in range(rng.randrange(24)))
+        assert [m.span() for m in pii.BASE["ip"].finditer(text)] == [m.span() for m in ip.finditer(text)]
+    blob = "a" * 500_000 + " " + "7" * 500_000
+    start = time.perf_counter()
+    assert pii.base_spans(blob + " x@y.z " + "7" * 500_000) == [("email", 1_000_002, 1_000_007)]
+    assert time.perf_counter() - start < 20
+
+
 def test_quality_held_out_accuracy(spark, odd_docs, no_docs):
     rng = random.Random(9)
     rows, labels = [], []
