@@ -8,9 +8,6 @@ from pyspark.sql import types as T
 
 from riskengine.schema import FEATURES, ROW_ID, TXN_SCHEMA
 
-# A quarter of the default input split.
-SMALL_TABLE_BYTES = 32 * 1024 * 1024
-
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on the file system the path names."""
@@ -39,24 +36,6 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a file or folder as the file system reports it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
-
-
-def read_spread(spark: SparkSession, path: str, key: str, cols: list[str]) -> DataFrame:
-    """Parquet columns; a table that fits one input split is spread over all cores by `key`.
-
-    One split is read by one task, and wide per-row work after it would stay on one core. Larger
-    tables have many splits and are not shuffled.
-    """
-    df = spark.read.parquet(path).select(*cols)
-    if stored_bytes(spark, path) > SMALL_TABLE_BYTES:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
-
-
 def load_dataset(spark: SparkSession, path: str, schema: T.StructType = TXN_SCHEMA) -> DataFrame:
     """CSV with a header, read with a fixed schema; an error when the path does not exist."""
     if not path_exists(spark, path):
