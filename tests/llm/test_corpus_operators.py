@@ -419,3 +419,60 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, folder).collect()
     assert out and {r["doc_id"] for r in out} < ids and len({r["doc_id"] for r in out}) == len(out)
     assert not any(pii.base_spans(r["text"]) for r in out)
+
+
+def test_pii_adds_disguised_forms_and_no_clean_numbers(spark):
+    rng = random.Random(21)
+
+    def number(n):
+        return "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card(sep):
+        d = "4" + number(14)
+        d += next(c for c in "0123456789" if pii.luhn(d + c))
+        return sep.join(d[i : i + 4] for i in range(0, 16, 4))
+
+    def bad_card(sep):
+        d = card("")
+        d = d[:-1] + str((int(d[-1]) + 1 + rng.randrange(8)) % 10)
+        return sep.join(d[i : i + 4] for i in range(0, 16, 4))
+
+    def name():
+        return "".join(rng.choice("abcdefghij") for _ in range(6))
+
+    hexes = lambda n: ":".join(f"{rng.randrange(4096, 65536):x}" for _ in range(n))
+    right = [
+        ("email", lambda: f"{name()}@{name()}.com"), ("email", lambda: f"{name()} (at) {name()} [dot] org"), ("email", lambda: f"{name()}[at]{name()}.net"),
+        ("card", lambda: card(" ")), ("card", lambda: card(".")), ("card", lambda: card("/")), ("card", lambda: card(" -")),
+        ("phone", lambda: f"+1 ({number(3)}) 555-{number(4)}"), ("phone", lambda: f"(9{number(2)}) 555-{number(4)}"),
+        ("ip", lambda: f"10.{rng.randrange(256)}.1.2"), ("ip", lambda: hexes(8)), ("ip", lambda: f"2001:{hexes(2)}::1"),
+    ]
+    clean = [
+        lambda: bad_card(""), lambda: bad_card("."), lambda: bad_card(" -"), lambda: f"20{rng.randrange(10, 30)}-0{rng.randrange(1, 10)}-1{rng.randrange(10)}",
+        lambda: number(7), lambda: f"1{rng.randrange(10)}:2{rng.randrange(10)}:3{rng.randrange(10)}", lambda: ":".join(["a1", "b2", "c3", "d4", "e5", number(2)]),
+        lambda: f"1.{rng.randrange(10)}.{rng.randrange(100)}", lambda: f"{name()}@{name()}", lambda: "5" + number(8),
+    ]
+    texts, want = [], {}
+    for i in range(1800):
+        if i % 3 == 2:
+            texts.append((i, f"the {name()} was {rng.choice(clean)()} in {name()}."))
+            continue
+        kind, make = right[i % len(right)] if i % 3 else rng.choice(right)
+        head, span = f"so {name()} has ", make()
+        texts.append((i, f"{head}{span} for it. Then more"))
+        want[i] = f"{kind}:{len(head)}:{len(head) + len(span)}"
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert {i: (t, got[i]) for i, t in texts if i not in want and got[i]} == {}
+    assert {i: (t, want[i], got[i]) for i, t in texts if i in want and got[i] != want[i]} == {}
+
+
+def test_pii_weak_labels():
+    cases = [
+        ("email", "jo (at) mail [dot] org", True), ("email", "jo@mail", False), ("email", "jo[at]mail.12", False), ("email", "jö@mail.org", None),
+        ("ip", "fe80::1", True), ("ip", "00:1a:2b:3c:4d:5e", False), ("ip", "1.2.3", False), ("ip", "a::b", None),
+        ("card", "4111.1111.1111.1111", True), ("card", "4111.1111.1111.1112", False), ("phone", "(942) 555-3625", True),
+        ("phone", "942 555 3625", None), ("phone", "2020-01-02", False), ("phone", "555-3625", False),
+    ]
+    for kind, span, label in cases:
+        assert pii.weak_label(f"a {span} b", kind, 2, 2 + len(span)) is label, (kind, span)
+    assert pii.weak_label("call 942 555 3625", "phone", 5, 17) is True
