@@ -1,13 +1,16 @@
 """Operator 9: license phrases, and license templates by an exact set-similarity join.
 
-Blocks are the lines of a text. A template is found in a block that holds at least THRESHOLD of its
-distinct words. Template words are put in order of their document frequency over the whole corpus;
-a block that reaches the threshold must hold one of the first |T| - need + 1 of them (prefix), must
-have `need` distinct words itself (length), and from the first common word on, the template must
-still have `need` words (position). Candidates are compared in full.
-
-Templates are a fixed list, so the join's other side is of fixed size and is broadcast; words are
-exploded, joined, filtered and compared in one stage without a shuffle of texts.
+Blocks are windows of consecutive words, across the ends of lines: up to |words of T| / THRESHOLD of
+them, so that a wrapped notice is one block and a long line is not. A template is found in a block
+that holds at least THRESHOLD of its distinct words. Template words are put in order of their
+document frequency over the whole corpus; a block that reaches the threshold must hold one of the
+first |T| - need + 1 of them (prefix), must have `need` distinct words itself (length), and from the
+first common word on, the template must still have `need` words (position). Candidates are compared
+in full.
+
+Templates are a fixed list, so the join's other side is of fixed size and is broadcast. A text's
+prefix words are found in its row; each is taken with as many words around it as a block can have,
+joined, filtered and compared in one stage without a shuffle of texts.
 
 Defined results: a null text is empty and has no words, labels or places; labels are distinct and
 sorted; ties between templates all count; rows that share a doc_id and a text each get a row;
@@ -20,10 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskengine.llm.common import (
-    SYMBOL_GAP,
-    ascii_lower,
     document_frequency,
     kept_as,
+    symbol_words,
     whole_text,
 )
 from riskengine.session import materialize
@@ -55,13 +57,6 @@ TEMPLATES = {
 }
 
 
-def _line_words(text: Column) -> Column:
-    """The words of each line, as an array per line."""
-    return F.transform(
-        F.split(ascii_lower(text), "\n"), lambda line: F.array_remove(F.split(line, SYMBOL_GAP), "")
-    )
-
-
 def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
     """label, text: the fixed list as literals of a plan."""
     pairs = F.create_map(*(F.lit(x) for pair in sorted(templates.items()) for x in pair))
@@ -69,18 +64,20 @@ def template_table(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 
 def template_prefixes(spark: SparkSession, frequency: DataFrame, templates: dict[str, str], threshold: float) -> DataFrame:
-    """One row per template and prefix word: word, label, template, place, need."""
-    sets = template_table(spark, templates).select("label", F.array_distinct(F.flatten(_line_words(F.col("text")))).alias("words"))
+    """One row per template and prefix word: word, label, template, place, need, longest (block in words)."""
+    words = symbol_words(F.col("text"))
+    longest = F.ceil(F.round(F.size(words) / F.lit(threshold), 6)).cast("int")
+    sets = template_table(spark, templates).select("label", longest.alias("longest"), F.array_distinct(words).alias("words"))
     ranked = (
-        sets.select("label", F.explode("words").alias("word"))
+        sets.select("label", "longest", F.explode("words").alias("word"))
         .join(frequency, "word")
-        .groupBy("label")
+        .groupBy("label", "longest")
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "word"))), lambda x: x["word"]).alias("template"))
         # Rounded first: 0.8 * 5 must not become 5 by a last binary digit.
         .withColumn("need", F.ceil(F.round(F.lit(threshold) * F.size("template"), 6)).cast("int"))
     )
     prefix = F.slice("template", F.lit(1), F.size("template") - F.col("need") + 1)
-    return ranked.select("label", "template", "need", F.posexplode(prefix).alias("place", "word"))
+    return ranked.select("label", "template", "need", "longest", F.posexplode(prefix).alias("place", "word"))
 
 
 def _phrase_places(words: Column, phrase: str) -> Column:
@@ -97,31 +94,45 @@ def _phrase_places(words: Column, phrase: str) -> Column:
     return F.when(F.array_contains(words, parts[0]), found).otherwise(F.array().cast("array<int>"))
 
 
+def _surroundings(words: Column, wanted: list[str], reach: int) -> Column:
+    """(at, word, near) of each wanted word; near has the reach - 1 words on either side of it."""
+    at = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(wanted), i)))
+    first = lambda i: F.greatest(i - (reach - 1), F.lit(0))
+    return F.transform(
+        at,
+        lambda i: F.struct(
+            i.alias("at"), F.get(words, i).alias("word"), F.slice(words, first(i) + 1, i + reach - first(i)).alias("near")
+        ),
+    )
+
+
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
     """doc_id, n_words, base places and labels, all labels, and score for documents (doc_id, text).
 
     `score` is the largest share of a template's words that a block holds where it reaches the
-    threshold, else 0. `blocks` lists the finds as (line from 0, label, share).
+    threshold, else 0. `blocks` lists the finds as (first word from 0, label, share).
     """
     templates = TEMPLATES if templates is None else templates
     spark = docs.sparkSession
     text = whole_text("text")
-    lines = kept_as(docs, doc_id="doc_id", text="text").select(
-        "doc_id", F.xxhash64(text).alias("text_key"), _line_words(text).alias("lines")
+    phrased = kept_as(docs, doc_id="doc_id", text="text").select(
+        "doc_id", F.xxhash64(text).alias("text_key"), symbol_words(text).alias("words")
     )
-    vocabulary = template_table(spark, templates).select(F.explode(F.flatten(_line_words(F.col("text")))).alias("word"))
-    frequency = document_frequency(lines.select(F.flatten("lines").alias("tokens")), vocabulary)
+    vocabulary = template_table(spark, templates).select(F.explode(symbol_words(F.col("text"))).alias("word"))
+    frequency = document_frequency(phrased.select(F.col("words").alias("tokens")), vocabulary)
     prefixes = materialize(
         template_prefixes(spark, materialize(frequency, "license-words"), templates, threshold), "license-prefixes"
     )
 
-    phrased = lines.withColumn("words", F.flatten("lines"))
+    # A fixed list as well: the prefix words and the longest block of any template.
+    listed = prefixes.select("word", "longest").collect()
+    wanted, reach = sorted({r["word"] for r in listed}), max((r["longest"] for r in listed), default=1)
     phrased = phrased.select(
         "doc_id",
         "text_key",
-        "lines",
+        _surroundings(F.col("words"), wanted, reach).alias("places"),
         F.size("words").cast("long").alias("n_words"),
         *(_phrase_places(F.col("words"), p).alias(f"at_{i}") for i, p in enumerate(PHRASES)),
     )
@@ -129,7 +140,7 @@ def scan_licenses(
     based = phrased.select(
         "doc_id",
         "text_key",
-        "lines",
+        "places",
         F.struct(
             "n_words",
             F.size(F.concat(*at)).cast("long").alias("n_base"),
@@ -141,32 +152,51 @@ def scan_licenses(
             ).alias("base"),
         ).alias("facts"),
     )
-    # One more line with the empty word: it joins with the marker and returns each document once.
-    by_line = based.select(
-        "doc_id", "text_key", "facts", F.posexplode(F.concat("lines", F.array(F.array(F.lit(""))))).alias("line", "block")
-    )
-    by_word = by_line.withColumn("block", F.array_distinct("block")).select("*", F.explode("block").alias("word"))
+    # One more place with the empty word: it joins with the marker and returns each document once.
+    own = F.struct(F.lit(0).alias("at"), F.lit("").alias("word"), F.array(F.lit("")).alias("near"))
+    by_word = based.select(
+        "doc_id", "text_key", "facts", F.explode(F.concat("places", F.array(own))).alias("p")
+    ).select("doc_id", "text_key", "facts", "p.*")
     marker = spark.range(1).select(
         F.lit("").alias("label"),
         F.array(F.lit("")).alias("template"),
         F.lit(1).alias("need"),
+        F.lit(1).alias("longest"),
         F.lit(0).alias("place"),
         F.lit("").alias("word"),
     )
-    common = F.size(F.array_intersect("block", "template"))
+    # Of the words around, only those that a block of this template can reach.
+    before = F.least("at", F.lit(reach - 1))
+    skip = F.greatest(before - F.col("longest") + 1, F.lit(0))
     # Templates are a fixed list: the broadcast side is a few hundred words.
-    found = (
+    close = (
         by_word.join(F.broadcast(prefixes.unionByName(marker)), "word")
-        .where((F.size("block") >= F.col("need")) & (F.size("template") - F.col("place") >= F.col("need")))
-        .withColumn("common", common)
-        .where(F.col("common") >= F.col("need"))
+        .where(F.size("template") - F.col("place") >= F.col("need"))
+        .withColumn("before", before - skip)
+        .withColumn("near", F.slice("near", skip + 1, before - skip + F.col("longest")))
+        .where((F.size("near") >= F.col("need")) & (F.size(F.array_intersect("near", "template")) >= F.col("need")))
+    )
+    # Every block with the prefix word in it; of the best ones the last to start.
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.col("before")),
+        lambda i: F.struct(
+            F.size(F.array_intersect(F.slice("near", i + 1, F.col("longest")), "template")).alias("common"), i.alias("start")
+        ),
+    )
+    found = (
+        close.withColumn("best", F.array_max(blocks))
+        .where(F.col("best.common") >= F.col("need"))
         .select(
             "doc_id",
             "text_key",
             F.when(F.col("label") == "", F.col("facts")).alias("facts"),
             F.when(
                 F.col("label") != "",
-                F.struct("line", "label", (F.col("common") / F.size("template")).alias("share")),
+                F.struct(
+                    (F.col("at") - F.col("before") + F.col("best.start")).alias("at"),
+                    "label",
+                    (F.col("best.common") / F.size("template")).alias("share"),
+                ),
             ).alias("find"),
         )
     )

@@ -476,3 +476,45 @@ def test_pii_weak_labels():
     for kind, span, label in cases:
         assert pii.weak_label(f"a {span} b", kind, 2, 2 + len(span)) is label, (kind, span)
     assert pii.weak_label("call 942 555 3625", "phone", 5, 17) is True
+
+
+def test_license_blocks_cross_lines_and_are_bounded(spark):
+    rng = random.Random(31)
+    wrapped = {}
+    for i, (label, text) in enumerate(sorted(licenses.TEMPLATES.items())):
+        lines, words = [], text.split()
+        while words:
+            n = rng.randrange(2, 6)
+            lines.append(" * " + " ".join(words[:n]))
+            words = words[n:]
+        wrapped[i] = (label, prose(rng, 90) + "\n" + "\n".join(lines) + "\n" + prose(rng, 90))
+    far = f"released {prose(rng, 40)} under {prose(rng, 40)} the mit {prose(rng, 40)} license"
+    texts = [(i, t) for i, (_, t) in wrapped.items()] + [(100, far), (101, "released the\nnew mit\nlicense " + prose(rng, 50))]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    for i, (label, _) in wrapped.items():
+        assert label in got[i]["labels"].split(",") and got[i]["score"] == 1.0
+    assert (got[100]["labels"], got[100]["score"]) == ("", 0.0) and (got[101]["labels"], got[101]["score"]) == ("mit,mit-notice", 0.8)
+
+    def brute(text):
+        split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())
+        words, best = split(text), {}
+        for label, template in licenses.TEMPLATES.items():
+            t, longest = set(split(template)), math.ceil(round(len(split(template)) / licenses.THRESHOLD, 6))
+            share = max((len(t & set(words[i : i + longest])) for i in range(len(words))), default=0)
+            if share >= math.ceil(round(licenses.THRESHOLD * len(t), 6)):
+                best[label] = share / len(t)
+        return best
+
+    vocabulary = " ".join(licenses.TEMPLATES.values()).split()
+    mixed = []
+    for i in range(150):
+        words = rng.choice(list(licenses.TEMPLATES.values())).split()
+        words = [w for w in words for w in ([w] if rng.random() < 0.9 else [rng.choice(vocabulary), w] if rng.random() < 0.5 else [])]
+        mixed.append((i, prose(rng, rng.randrange(9), vocabulary) + "\n" + " ".join(w + rng.choice(["\n", "", ""]) for w in words) + " " + prose(rng, rng.randrange(9), vocabulary)))
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(spark.createDataFrame(mixed, "doc_id long, text string")).collect()}
+    found = 0
+    for i, text in mixed:
+        best = brute(text)
+        found += bool(best)
+        assert {b["label"] for b in got[i]["blocks"]} == set(best) and got[i]["score"] == max(best.values(), default=0.0)
+    assert 50 < found < 150
