@@ -4,12 +4,14 @@ Texts that pass the fixed rules are compared within their (language, source) by
 statistics. A minimum-covariance-determinant estimate of each group's centre and covariance comes
 from concentration steps: from the group's medians on, the h = 75 % of texts with the smallest
 distances give the next centre and covariance. Texts far out by Mahalanobis distance are rejected.
+A group with fewer than MIN_ROWS passing texts is measured by the estimate of its whole language,
+and by that of all texts if the language is as small.
 Everything is DataFrame expressions: the words of a text never leave its row, and each step is one
 aggregate over a narrow table, so that a hot group is summed up on the map side.
 
 Defined results: a null text is empty; texts without words fail the base rules; null languages and
-sources are groups of their own; groups with fewer than MIN_ROWS passing texts have no estimate and
-keep all of them; ties at the edge of the 75 % subset are all in it; repeated rows each count and
+sources are groups of their own; if no text passes the base rules there is no estimate, and all
+distances are null; ties at the edge of the 75 % subset are all in it; repeated rows each count and
 each get a verdict; an empty table gives an empty result; other columns are not carried.
 A 5-word window is identified by a 64-bit hash of its words within its own text.
 """
@@ -153,10 +155,10 @@ def _same_group(other: str = "g_") -> Column:
     return F.col("lang").eqNullSafe(F.col(f"{other}lang")) & F.col("source").eqNullSafe(F.col(f"{other}source"))
 
 
-def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+def _with_distance(rows: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
     """Rows with `distance`, the squared Mahalanobis distance by their group's estimate."""
     names = list(STATISTICS)
-    joined = rows.join(estimates, _same_group())
+    joined = rows.join(estimates, _same_group(), how)
     solved = []
     for i, name in enumerate(names):
         rest = F.col(name) - F.col(f"m{i}")
@@ -170,7 +172,7 @@ def _with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return joined.withColumn("distance", total).select(*rows.columns, "distance")
 
 
-def _first_estimates(rows: DataFrame) -> DataFrame:
+def _first_estimates(rows: DataFrame, least: int = MIN_ROWS) -> DataFrame:
     """Medians as centres, the granted deviations as a diagonal covariance."""
     names = list(STATISTICS)
     long = rows.select(
@@ -179,7 +181,7 @@ def _first_estimates(rows: DataFrame) -> DataFrame:
         F.posexplode(F.array(*(F.ceil(F.col(n) * VALUE_BINS) for n in names))).alias("stat", "bin"),
     )
     medians = _quantile_bin(long, ["lang", "source", "stat"], 0.5)
-    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("rows")).where(F.col("rows") >= MIN_ROWS)
+    sizes = rows.groupBy("lang", "source").agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
     wide = medians.groupBy("lang", "source").agg(
         *(F.max(F.when(F.col("stat") == i, F.col("bin") / VALUE_BINS)).alias(f"m{i}") for i in range(len(names)))
     )
@@ -217,14 +219,44 @@ def _concentrate(measured: DataFrame) -> DataFrame:
     )
 
 
-def estimates_of(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Robust centre (m*) and Cholesky factor (l**) per language and source, as a small table."""
-    found = materialize(_first_estimates(rows), "outlier-start")
+def estimates_of(rows: DataFrame, steps: int = STEPS, least: int = MIN_ROWS) -> DataFrame:
+    """Robust centre (m*) and Cholesky factor (l**) per language and source, as a small table.
+
+    Groups with fewer than `least` rows have none.
+    """
+    found = materialize(_first_estimates(rows, least), "outlier-start")
     for step in range(steps):
         found = materialize(_concentrate(_with_distance(rows, found)), f"outlier-step{step}")
     return found
 
 
+def _pooled(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with `keys` set to null and kept as own_*: one group over all of their values."""
+    kept = rows.withColumns({f"own_{k}": F.col(k) for k in keys})
+    return kept.withColumns({k: F.lit(None).cast(rows.schema[k].dataType) for k in keys})
+
+
+def _by_pool(rows: DataFrame, estimates: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Rows with `distance` by the estimate of their pool."""
+    measured = _with_distance(_pooled(rows, keys), estimates, how)
+    return measured.withColumns({k: F.col(f"own_{k}") for k in keys}).select(*rows.columns, "distance")
+
+
+def measured_rows(stats: DataFrame, passing: DataFrame, steps: int = STEPS) -> DataFrame:
+    """Each row of `stats` with `distance` by the narrowest group of `passing` with an estimate."""
+    own = estimates_of(passing, steps)
+    by_lang = estimates_of(_pooled(passing, ["source"]), steps)
+    by_all = estimates_of(_pooled(passing, ["lang", "source"]), steps, 1)
+    small = stats.join(own.select("g_lang", "g_source"), _same_group(), "left_anti")
+    in_lang = F.col("lang").eqNullSafe(F.col("g_lang"))
+    rest = small.join(by_lang.select("g_lang"), in_lang, "left_anti")
+    return (
+        _with_distance(stats, own)
+        .unionByName(_by_pool(small, by_lang, ["source"]))
+        .unionByName(_by_pool(rest, by_all, ["lang", "source"], "left"))
+    )
+
+
 def reject_outliers(docs: DataFrame, cutoff: float = CUTOFF, steps: int = STEPS) -> DataFrame:
     """Base counts, base_failed, distance and kept for documents (doc_id, text, lang, source)."""
     narrow = kept_as(docs, doc_id="doc_id", text="text", lang="lang", source="source")
@@ -233,11 +265,7 @@ def reject_outliers(docs: DataFrame, cutoff: float = CUTOFF, steps: int = STEPS)
     )
     stats = materialize(with_vector(with_statistics(narrow)).withColumn("base_failed", failed), "text-statistics")
     passing = stats.where(~F.col("base_failed"))
-    # Many documents have no estimate to be joined with only where their group is tiny.
-    found = estimates_of(passing, steps)
-    unmeasured = stats.join(found.select("g_lang", "g_source"), _same_group(), "left_anti")
-    measured = _with_distance(stats, found)
-    both = measured.unionByName(unmeasured.withColumn("distance", F.lit(None).cast("double")))
+    both = measured_rows(stats, passing, steps)
     inside = F.coalesce(F.col("distance") <= F.lit(cutoff), F.lit(True))
     return both.withColumn("kept", ~F.col("base_failed") & inside)
 

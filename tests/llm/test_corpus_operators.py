@@ -518,3 +518,28 @@ def test_license_blocks_cross_lines_and_are_bounded(spark):
         found += bool(best)
         assert {b["label"] for b in got[i]["blocks"]} == set(best) and got[i]["score"] == max(best.values(), default=0.0)
     assert 50 < found < 150
+
+
+def test_outliers_of_small_groups_are_measured_by_pools(spark):
+    rng = np.random.default_rng(11)
+    groups = [("en", "a", 120), ("en", "b", 20), ("en", None, 7), ("de", "b", 9), (None, "c", 3)]
+    rows = [(*g[:2], *map(float, rng.normal(size=5) * 0.05 + (1.5 if i % 10 == 5 else 0.3))) for g in groups for i in range(g[2])]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    names = list(outliers.STATISTICS)
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(f"{n} double" for n in names))
+    got = {r["doc_id"]: r for r in outliers.measured_rows(df, df).collect()}
+    assert {i: (r["lang"], r["source"]) for i, r in got.items()} == {r[0]: r[1:3] for r in rows}
+    pools = [
+        (lambda r: r[1:3] == ("en", "a"), lambda r: r[1:3] == ("en", "a")),
+        (lambda r: r[1] == "en" and r[2] != "a", lambda r: r[1] == "en"),
+        (lambda r: r[1] != "en", lambda r: True),
+    ]
+    for mine, pool in pools:
+        part = [r for r in rows if pool(r)]
+        want = dict(zip([r[0] for r in part], brute_mcd(np.array([r[3:] for r in part]), outliers.STEPS)))
+        ids = [r[0] for r in rows if mine(r)]
+        assert np.allclose([got[i]["distance"] for i in ids], [want[i] for i in ids], rtol=1e-6)
+    assert all((got[r[0]]["distance"] > outliers.CUTOFF) == (r[3] > 0.9) for r in rows)
+    texts = spark.createDataFrame([doc(i, prose(rng_words, 40)) for rng_words in [random.Random(1)] for i in range(12)] + [doc(90, "one two")], DOCS)
+    assert outliers.reject_outliers(texts).where("distance is null").count() == 0
+    assert outliers.reject_outliers(texts.where("doc_id = 90")).where("not kept and distance is null").count() == 1
