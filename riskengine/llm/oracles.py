@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from riskengine.llm.hardneg import HIGH, LOW, NEGATIVES, POSITIVES, SCALE
+from riskengine.llm.lexical import LENGTH_SHARE, M_UNIT, TF_SCALE, TF_UNIT, TOP
 from riskengine.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+from riskengine.llm.linededup import MIN_CHARS, MIN_DOCS
 from riskengine.llm.mixing import BLOCK_DOCS, PERIOD, SLOTS_PER_SOURCE
 from riskengine.llm.queries import INJECTION, SPAM_HOSTS
 
@@ -173,6 +176,68 @@ SELECT page_id, host, path, rule, CASE
 FROM r
 """
 
+OP11 = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, list_inner_product(a.q, c.q)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= {POSITIVES}
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INT AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND {LOW} * positive_score <= 100 * score AND 100 * score <= {HIGH} * positive_score
+QUALIFY rank <= {NEGATIVES}
+"""
+
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')".format(_LOWER)
+OP12 = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+lengths AS (SELECT doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM lengths),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY 1),
+q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL
+),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM f, total
+),
+parts AS (
+  SELECT doc_id, term, w * (({TF_SCALE} * tf) // ({TF_UNIT} * tf + {M_UNIT} * (100 - {LENGTH_SHARE} + ({LENGTH_SHARE} * n * docs) // length))) AS part
+  FROM t JOIN weights USING (term) JOIN lengths USING (doc_id), total
+),
+scores AS (SELECT item_id, doc_id, sum(times * part)::BIGINT AS score FROM q JOIN parts USING (term) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {TOP}
+"""
+
+OP13 = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, i, lines[i] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+k AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l
+),
+shared AS (
+  SELECT key, max(doc_id) AS last_doc FROM k WHERE length(key) >= {MIN_CHARS}
+  GROUP BY 1 HAVING count(DISTINCT doc_id) >= {MIN_DOCS}
+),
+m AS (SELECT k.*, coalesce(doc_id <> last_doc, FALSE) AS dropped FROM k LEFT JOIN shared USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_warc_chain": OP1,
     "op5_hyperminhash": OP5,
@@ -181,4 +246,7 @@ ORACLES: dict[str, str] = {
     "op8_pfair_mix": OP8,
     "op9_license_scan": OP9,
     "op10_url_filter": OP10,
+    "op11_hard_negatives": OP11,
+    "op12_nra_search": OP12,
+    "op13_line_dedup": OP13,
 }

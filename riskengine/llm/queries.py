@@ -11,7 +11,10 @@ import corpus_pipeline
 from riskengine.llm import (
     chat,
     decontaminate,
+    hardneg,
+    lexical,
     licenses,
+    linededup,
     mixing,
     neardup,
     outliers,
@@ -85,6 +88,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kept_as(table(spark, sf_dir, "embeddings"), vec_id="vec_id", label="label", vector="embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pfair_mix,
         op9_license_scan,
         op10_url_filter,
+        op11_hard_negatives,
+        op12_nra_search,
+        op13_line_dedup,
     )
 }
 QUERIES["pipeline"] = corpus_pipeline.run
