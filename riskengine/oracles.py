@@ -99,13 +99,14 @@ _COSTS = (
 # --- sources -------------------------------------------------------------------------------
 
 _ALL = _with(TXN) + f"SELECT {_PAYLOAD} FROM txn"
-_SHORT = _with(TXN) + "SELECT txn_id, Time, Amount, Class FROM txn"
 
 ORACLES: dict[str, str] = {
     "csv_scan": _ALL,
     "json_encode": _ALL,
     "raw_zone_ingest": _ALL,
-    "stream_replay": _SHORT,
+    "stream_replay": _with(TXN, _ranked("txn"))
+    + f"""SELECT rn - 1 AS rank, (rn - 1) // ((n + {q.REPLAY_BATCHES} - 1) // {q.REPLAY_BATCHES}) AS batch,
+       txn_id, Time, Amount, Class FROM ranked""",
     "replay_slice": _with(TXN, _ranked("txn"))
     + "SELECT txn_id, Time, Amount, Class FROM ranked "
     + f"WHERE rn > {q.REPLAY_START} AND rn <= {q.REPLAY_START + q.REPLAY_LIMIT}",

@@ -26,7 +26,16 @@ from riskengine.sources.views import (
     transactions,
 )
 from riskengine.streaming import raw_zone, score_stream, telemetry
-from riskengine.streaming.transport import FileChannel, publish, replay, slices_for
+from riskengine.streaming.transport import (
+    FileChannel,
+    LogChannel,
+    publish,
+    replay,
+    run_to_rank,
+    slices_for,
+    start,
+    subscribe,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +45,7 @@ REFERENCE_ROWS, REFERENCE_SAMPLE = 7500, 2000
 SAMPLE_ROWS = 1000
 THRESHOLD = 0.5
 N_BOOTSTRAPS = 1000
+REPLAY_BATCHES = 6
 RECENT = 100
 
 
@@ -542,12 +552,26 @@ def _sent(spark, df: DataFrame) -> FileChannel:
 
 
 def stream_replay(spark, sf_dir):
-    """Replay in time order, read as a stream one slice at a time, land, and read back."""
-    channel = _sent(spark, _payload(transactions(spark, sf_dir)))
-    zone = scratch_path(spark, "zone")
-    raw_zone.ingest(spark, channel, zone, scratch_path(spark, "state"), per_trigger=1).awaitTermination()
-    landed = raw_zone.transactions_of(raw_zone.read_zone(spark, zone))
-    return landed.select(ROW_ID, "Time", "Amount", LABEL)
+    """Replay in time order as an ordered log, read as a stream; each row with its rank and batch.
+
+    The query is stopped half way and started again from its checkpoint.
+    """
+    channel = LogChannel(scratch_path(spark, "log"))
+    txn = _payload(transactions(spark, sf_dir))
+    replay(txn, channel)
+    n_rows = txn.count()
+    size = max(1, -(-n_rows // REPLAY_BATCHES))
+    landed, state = scratch_path(spark, "landed"), scratch_path(spark, "state")
+
+    def land(batch: DataFrame, number: int) -> None:
+        rows = messages.decode(batch, keep=("rank",)).select("rank", ROW_ID, "Time", "Amount", LABEL)
+        rows.write.mode("overwrite").parquet(f"{landed}/batch={number}")
+
+    for until in (size * (REPLAY_BATCHES // 2), n_rows):
+        writer = subscribe(spark, channel, per_trigger=size).writeStream.foreachBatch(land)
+        run_to_rank(start(writer, state, interval="0 seconds"), min(until, n_rows))
+    out = spark.read.parquet(landed)
+    return out.select("rank", F.col("batch").cast("long").alias("batch"), ROW_ID, "Time", "Amount", LABEL)
 
 
 def stream_score(spark, sf_dir):
