@@ -6,7 +6,8 @@ They are written for one machine: unpartitioned windows and self joins are fine
 from __future__ import annotations
 
 from riskengine import queries as q
-from riskengine.operators.bootstrap import KEY_SCALE, REPORT_PERCENTILES, UNIT_CDF, UNIT_ROWS
+from riskengine.functions.resampling import GAMMA, MIX, REP_SHIFT, RESERVE, TERMS, stream
+from riskengine.operators.bootstrap import KEY_DIGITS, KEY_SCALE, REPORT_PERCENTILES
 from riskengine.operators.curves import CANDIDATE_THRESHOLDS
 from riskengine.schema import FEATURES, KEY_FEATURES, PCA_FEATURES, RAW_COLUMNS
 
@@ -376,23 +377,39 @@ def _spelled(score: str) -> str:
     return ", ".join(parts)
 
 
-_UNIT = _uniform("'42'", "rep", "cell", "i")
-_U1, _U2 = (_uniform("'42'", "rep", "cell", f"'{u}'") for u in ("u1", "u2"))
+
+
+def _wrap(left: str, right: int) -> str:
+    return f"CAST((CAST({left} AS UHUGEINT) * CAST({right} AS UHUGEINT)) % CAST({2**64} AS UHUGEINT) AS UBIGINT)"
+
+
+def _numbers(src: str, counter: str, purpose: int) -> str:
+    """The query `src` with `u`, the uniform number of its rep and counter."""
+    start, at = stream(42, purpose, 0), f"(CAST(rep AS UBIGINT) * {2**REP_SHIFT} + CAST({counter} AS UBIGINT))"
+    first = f"CAST((CAST({_wrap(at, GAMMA)} AS UHUGEINT) + CAST({start} AS UHUGEINT)) % CAST({2**64} AS UHUGEINT) AS UBIGINT)"
+    return f"""(SELECT * EXCLUDE (z, z1, z2), CAST(xor(z2, z2 >> 31) >> 11 AS DOUBLE) / CAST({2**53} AS DOUBLE) AS u
+      FROM (SELECT *, {_wrap("xor(z1, z1 >> 27)", MIX[1])} AS z2
+      FROM (SELECT *, {_wrap("xor(z, z >> 30)", MIX[0])} AS z1 FROM (SELECT *, {first} AS z FROM {src}))))"""
+
+
 _BOOT = _with(
     TXN,
     SCORED,
     _ranked("scored"),
-    f"""held AS (SELECT p, p_b, Class AS y, count(*) OVER cell_rows AS rows,
-      row_number() OVER cell_rows AS i, concat_ws(':', {_spelled("p")}, {_spelled("p_b")}, Class) AS cell
-      FROM ranked WHERE NOT ({_TRAIN}) WINDOW cell_rows AS (PARTITION BY p, p_b, Class))""",
-    f"""paired AS (SELECT * FROM held CROSS JOIN range(0, {q.N_BOOTSTRAPS}) r(rep)
-      WHERE rows <= {UNIT_ROWS} OR i = 1)""",
-    f"""spun AS (SELECT rep, p, p_b, y, rows, {_UNIT} AS u,
-      sqrt({D(-2)} * ln({_U1})) * cos(2 * pi() * ({_U2})) AS z FROM paired)""",
-    f"""drawn AS (SELECT rep, p, p_b, y, CASE WHEN rows <= {UNIT_ROWS}
-      THEN {" + ".join(f"CAST(u > {D(repr(c))} AS INT)" for c in UNIT_CDF)}
-      ELSE greatest(0, CAST(floor(rows + sqrt(CAST(rows AS DOUBLE)) * z
-        + (z * z - 1) / 6 + CAST(0.5 AS DOUBLE)) AS BIGINT)) END AS w FROM spun)""",
+    f"""held AS (SELECT p, p_b, Class AS y, concat_ws(':', {_spelled("p")}, {_spelled("p_b")}, Class) AS cell
+      FROM ranked WHERE NOT ({_TRAIN}))""",
+    f"""placed AS (SELECT p, p_b, y,
+      row_number() OVER (ORDER BY {_draw(chr(39) + "42" + chr(39), "cell", digits=KEY_DIGITS)}, p, p_b, y) - 1 AS place FROM held)""",
+    f"""size AS (SELECT n, greatest(0, 1 - {D(RESERVE)} / sqrt(CAST(n AS DOUBLE))) AS lam FROM (SELECT count(*) AS n FROM held))""",
+    f"""cdf AS (SELECT n, list_transform(range(1, {TERMS + 1}), lambda k: list_sum(terms[1:k])) AS cdf
+      FROM (SELECT n, list_transform(range({TERMS}), lambda k: exp(-lam) * pow(lam, k) / factorial(CAST(k AS INT))) AS terms FROM size))""",
+    f"""weighed AS (SELECT rep, place, n, len(list_filter(cdf, lambda c: c < u)) AS w
+      FROM {_numbers(f"(SELECT * FROM placed CROSS JOIN cdf CROSS JOIN range(0, {q.N_BOOTSTRAPS}) r(rep))", "place", 0)})""",
+    f"""late AS (SELECT rep, CAST(floor(u * n) AS BIGINT) AS place, count(*) AS w
+      FROM {_numbers("(SELECT rep, n, unnest(range(CAST(n - sum(w) AS BIGINT))) AS k FROM weighed GROUP BY rep, n)", "k", 1)}
+      GROUP BY ALL)""",
+    """drawn AS (SELECT rep, p, p_b, y, sum(w) AS w
+      FROM (SELECT rep, place, w FROM weighed UNION ALL SELECT * FROM late) JOIN placed USING (place) GROUP BY ALL)""",
     _ap("p"),
     _ap("p_b"),
     """samples AS (SELECT rep + 1 AS iteration, a.auc AS auc_pr_a, b.auc AS auc_pr_b,

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from riskengine.functions import resampling as rs
 from riskengine.operators import bootstrap as b
 from riskengine.operators import curves as cv
 from riskengine.operators import slices as sl
@@ -133,49 +134,76 @@ def test_hour_slices_need_the_column(scored):
     }
 
 
-@pytest.mark.parametrize("continuous", [False, True])
-def test_bootstrap_curves_follow_the_drawn_weights(spark, scored, scores, continuous):
-    df = scored
-    if continuous:
-        frame = scores.assign(p=np.random.default_rng(1).random(len(scores)))
-        df = spark.createDataFrame(frame)
-    cells = b._cells(df, "p", "p_b", "Class")
-    w = b.resample_weights(cells, 8).toPandas()
-    assert w["rep"].nunique() == 8
-    samples = b.bootstrap_samples(df, n_bootstraps=8).orderBy("iteration").toPandas()
-    for r in range(8):
-        part = w[w["rep"] == r]
+def drawn_weights(pieces, n_bootstraps, seed=42, attempt=0):
+    """Each rank's weight in each resample, from the published generator alone."""
+    n = int(pieces["rows"].sum())
+    reps, cdf = np.arange(n_bootstraps), np.array(rs.poisson_cdf(rs.mean_of(n)))
+    w = rs.counts(rs.stream(seed, 0, attempt), cdf, reps, np.arange(n))
+    for r in reps:
+        k = np.arange(max(0, n - w[r].sum()))
+        late = np.floor(rs.uniforms(rs.stream(seed, 1, attempt), np.array([r]), k)[0] * n).astype(int)
+        np.add.at(w[r], late, 1)
+    return w
+
+
+def pieces_of(df):
+    return b.ranked_pieces(b._cells(df, "p", "p_b", "Class"), 42).toPandas().sort_values("first").reset_index(drop=True)
+
+
+def check_samples(df, n_bootstraps=8):
+    pieces = pieces_of(df)
+    starts = pieces["first"].to_numpy()
+    assert starts[0] == 0 and (starts[1:] == (starts + pieces["rows"])[:-1]).all()
+    w = np.add.reduceat(drawn_weights(pieces, n_bootstraps), starts, axis=1)
+    assert (w.sum(1) == pieces["rows"].sum()).all()
+    y = (pieces["y"] == 1).to_numpy().astype(float)
+    samples = b.bootstrap_samples(df, n_bootstraps=n_bootstraps).orderBy("iteration").toPandas()
+    for r in range(n_bootstraps):
         for col, out in (("a", "auc_pr_a"), ("b", "auc_pr_b")):
-            want = average_precision(part["y"].to_numpy(), part[col].to_numpy(), part["w"].to_numpy())
+            held = (w[r] > 0) & pieces[col].notna().to_numpy()
+            want = average_precision(y[held], pieces[col].to_numpy()[held], w[r][held])
             assert samples.loc[r, out] == pytest.approx(want, abs=1e-12)
 
 
-@pytest.mark.parametrize("rows", [1, 7, 16, 17, 400, 10**9])
-def test_cell_weights_are_poisson(spark, rows):
-    """Mean and variance are the rows of the cell; one row follows the Poisson(1) frequencies."""
-    cells = spark.range(4000).select(F.col("id").alias("cell"), F.lit(rows).cast("long").alias("rows"), F.lit(3).alias("rep"))
-    w = cells.select(b.cell_weight("42").alias("w")).toPandas()["w"].to_numpy(dtype=float)
-    assert abs(w.mean() - rows) < 5 * np.sqrt(rows / 4000)
-    assert w.var() == pytest.approx(rows, rel=0.15)
-    if rows == 1:
-        want = [np.exp(-1), np.exp(-1), np.exp(-1) / 2, np.exp(-1) / 6]
-        assert np.allclose([(w == k).mean() for k in range(4)], want, atol=0.03)
+@pytest.mark.parametrize("continuous", [False, True])
+def test_bootstrap_curves_follow_the_drawn_weights(spark, scored, scores, continuous):
+    check_samples(spark.createDataFrame(scores.assign(p=np.random.default_rng(1).random(len(scores)))) if continuous else scored)
+
+
+def test_bootstrap_of_hot_scores_and_missing_ones(spark, scores, monkeypatch):
+    """A third of all rows share a score, some have none, and cells are longer than a piece."""
+    monkeypatch.setattr(b, "HOT_ROWS", 40)
+    monkeypatch.setattr(b, "PIECE_BITS", 4)
+    monkeypatch.setattr(b, "CHUNK", 64)
+    rng = np.random.default_rng(2)
+    frame = scores.assign(p_b=np.round(rng.random(len(scores)), 2))
+    frame.loc[frame.index % 3 == 0, "p"] = 0.5
+    frame.loc[frame.index % 50 == 7, "p_b"] = np.nan
+    check_samples(spark.createDataFrame(frame))
+
+
+@pytest.mark.parametrize("n", [5, 30, 2_000, 50_000])
+def test_weights_are_n_draws_with_replacement(n):
+    w = drawn_weights(pd.DataFrame({"rows": [n]}), 200)
+    assert (w.sum(1) == n).all()
+    # Multinomial: mean 1, variance 1 - 1 / n, covariance -1 / n.
+    assert w.var() == pytest.approx(1 - 1 / n, rel=0.05)
+    assert (w == 0).mean() == pytest.approx((1 - 1 / n) ** n, rel=0.05)
+    halves = w[:, : n // 2].sum(1)
+    share = (n // 2) / n
+    assert halves.var() == pytest.approx(n * share * (1 - share), rel=0.35)
+    assert abs(np.corrcoef(w[0], w[1])[0, 1]) < 5 / np.sqrt(n) or n < 100
 
 
 def test_samples_do_not_depend_on_partitions_or_size(spark, scored):
-    """The same draws at 4 and 40 shuffle partitions, and for a cell whatever stands beside it."""
-    cells = b._cells(scored, "p", "p_b", "Class")
+    """The same draws at 4 and 40 shuffle partitions, and however many resamples stand beside them."""
     base = np.array(sorted(b.bootstrap_samples(scored, n_bootstraps=6).collect()))
-    drawn = {tuple(r) for r in b.resample_weights(cells, 6).collect()}
     was = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     try:
         # Sums of doubles may differ in their last digit.
-        again = np.array(sorted(b.bootstrap_samples(scored, n_bootstraps=6).collect()))
-        assert np.allclose(again, base, rtol=0, atol=1e-14)
-        whole = {tuple(r) for r in b.resample_weights(cells, 6).collect()}
-        part = {tuple(r) for r in b.resample_weights(cells.where("a > 0.5 OR y = 1"), 6).collect()}
-        assert part and part <= whole and whole == drawn
+        again = np.array(sorted(b.bootstrap_samples(scored, n_bootstraps=9).collect()))
+        assert np.allclose(again[:6], base, rtol=0, atol=1e-14)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", was)
 
