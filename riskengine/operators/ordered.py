@@ -20,8 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.functions.values import is_missing
-
 BUCKET = "bucket"
 MIN_BUCKETS, MAX_BUCKETS = 16, 16_384
 BUCKET_ROWS = 10_000_000
@@ -265,61 +263,6 @@ def exact_quantiles(
     )
 
 
-def before_rank(
-    df: DataFrame,
-    rank: int | Callable[[int], int],
-    order: tuple[str, ...] = ("Time", "txn_id"),
-) -> Column:
-    """A row predicate that holds for exactly the first `rank` rows in the given order.
-
-    `rank` may be a function of the row count. The last order column must be unique. Missing
-    values sort last. The result is a plain range filter; the cut row is found by rank selection,
-    one column at a time. A column of integers that a double cannot tell apart is compared as its
-    upper and lower half.
-    """
-    whole = [c for c in order if isinstance(df.schema[c].dataType, T.LongType)]
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in whole for f in (F.min, F.max)]
-    seen = df.agg(F.count(F.lit(1)).alias("n_rows"), *ends).first()
-    n_rows = seen["n_rows"]
-    if callable(rank):
-        rank = rank(n_rows)
-    if rank <= 0:
-        return F.lit(False)
-    if rank >= n_rows:
-        return F.lit(True)
-    keys: list[Column] = []
-    for c in order:
-        ends = (seen[f"min_{c}"], seen[f"max_{c}"]) if c in whole else ()
-        if any(abs(e) >= 2**53 for e in ends if e is not None):
-            keys += [F.shiftright(c, 32), F.col(c).bitwiseAND(F.lit(2**32 - 1))]
-        else:
-            keys.append(F.col(c))
-    return _before(df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), rank, keys, 0)
-
-
-def _before(rows: DataFrame, rank: int, keys: list[Column], i: int) -> Column:
-    """before_rank by keys[i:] for 0 < rank < number of rows; `rows` holds key i as column k<i>."""
-    name, key, last = f"k{i}", keys[i], i + 1 == len(keys)
-    hit = select_ranks(rows, [name], lambda _c, _n: [Want(rank, "cut")]).first()
-    if hit is None:  # the cut lies among the rows without a value
-        tail = is_missing(key.cast("double"))
-        absent = is_missing(F.col(name).cast("double"))
-        valid = rows.where(~absent).count()
-        if rank == valid or last:
-            return ~tail
-        return ~tail | _before(rows.where(absent), rank - valid, keys, i + 1)
-    kind = rows.schema[name].dataType
-    value = hit["value"]
-    cut = F.lit(int(value) if isinstance(kind, T.LongType) else value).cast(kind)
-    left = rank - hit["below"]
-    # NaN compares above every number, so it stays out; NULL is settled by coalesce.
-    head = F.coalesce(key < cut, F.lit(False))
-    if left == 0 or last:
-        return head
-    ties = rows.where(F.col(name) == cut)
-    return head | (F.coalesce(key == cut, F.lit(False)) & _before(ties, left, keys, i + 1))
-
-
 def hot_key_buckets(
     df: DataFrame, keys: list[str], order: str, hot_rows: int, n_buckets: int | None = None
 ) -> tuple[DataFrame, bool]:

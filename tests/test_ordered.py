@@ -56,38 +56,6 @@ def test_quantiles_of_an_empty_table(spark):
     assert o.exact_quantiles(df, ["x"], {"m": 0.5}).collect() == []
 
 
-@pytest.mark.parametrize("rank", [0, 1, 700, 1500, 2999, 3000, 5000])
-def test_before_rank_takes_exactly_the_first_rows(hot, rank):
-    v, df = hot
-    got = {r["txn_id"] for r in df.where(o.before_rank(df, rank, ("x", "txn_id"))).collect()}
-    order = sorted(range(len(v)), key=lambda i: (v[i], i))
-    assert got == set(order[:rank])
-
-
-@pytest.mark.parametrize("rank", [1, 2, 3, 4, 5])
-def test_before_rank_puts_missing_values_last(spark, rank):
-    rows = [(0, 2.0), (1, None), (2, 1.0), (3, float("nan")), (4, 2.0)]
-    df = spark.createDataFrame(rows, "txn_id long, x double")
-    cond = o.before_rank(df, rank, ("x", "txn_id"))
-    got = {r["txn_id"] for r in df.where(cond).collect()}
-    rest = {r["txn_id"] for r in df.where(~cond).collect()}
-    assert got == set([2, 0, 4, 1, 3][:rank])
-    assert rest == set(range(5)) - got
-
-
-@pytest.mark.parametrize("rank", [1, 5, 37, 99, 100])
-def test_before_rank_tells_large_integers_apart(spark, rank):
-    ids = [s * (2**60 + i) for i in range(50) for s in (1, -1)]
-    df = spark.createDataFrame([(i, 1.0) for i in ids], "txn_id long, Time double")
-    got = {r["txn_id"] for r in df.where(o.before_rank(df, rank)).collect()}
-    assert got == set(sorted(ids)[:rank])
-
-
-def test_before_rank_accepts_a_function_of_the_row_count(hot):
-    v, df = hot
-    assert df.where(o.before_rank(df, lambda n: int(n * 0.8), ("x", "txn_id"))).count() == 2400
-
-
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_match_a_global_window(hot, descending):
     v, df = hot
@@ -152,8 +120,6 @@ def test_results_do_not_depend_on_the_edges(hot, monkeypatch):
     monkeypatch.setattr(o, "EDGE_ROWS_PER_BUCKET", 1)
     r = o.exact_quantiles(df, ["x"], {"m": 0.3}, n_buckets=8).first()
     assert r["m"] == pytest.approx(np.percentile(v, 30), abs=1e-12)
-    got = {x["txn_id"] for x in df.where(o.before_rank(df, 1234, ("x", "txn_id"))).collect()}
-    assert got == set(sorted(range(len(v)), key=lambda i: (v[i], i))[:1234])
 
 
 def test_more_rows_mean_more_buckets(spark):
