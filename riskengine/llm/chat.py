@@ -129,7 +129,10 @@ class _Digest:
 
 def read_back(pieces: DataFrame) -> DataFrame:
     """Digests per conversation, recovered from the formatted pieces alone."""
-    ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "piece")
+    # Turns with equal numbers go by their text, as it was before it was escaped.
+    content = F.regexp_extract("piece", r"(?s)^[^\n]*\n(.*)<\|im_end\|>\n$", 1)
+    text = F.regexp_replace(content, r"<\\(\\*)\|", r"<$1|")
+    ordered = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", text)
     kind = pieces.schema["conv_id"].dataType.simpleString()
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"

@@ -7,7 +7,8 @@ from riskengine.llm.lexical import LENGTH_SHARE, M_UNIT, TF_SCALE, TF_UNIT, TOP
 from riskengine.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
 from riskengine.llm.linededup import MIN_CHARS, MIN_DOCS
 from riskengine.llm.mixing import BLOCK_DOCS, PERIOD, SLOTS_PER_SOURCE
-from riskengine.llm.queries import INJECTION, SPAM_HOSTS
+from riskengine.llm.queries import INJECTION
+from riskengine.llm.urls import CHARS_PER_LINK, LINK
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACED = rf"list_filter(regexp_split_to_array({_LOWER}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -120,7 +121,7 @@ FROM x, ends
 _PHRASE_ROWS = ", ".join(f"('{p}', '{label}')" for p, label in PHRASES.items())
 _TEMPLATE_ROWS = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES.items())
 OP9 = f"""
-WITH docs AS (SELECT doc_id, {_WORDS} AS w, {_LOWER} AS low FROM documents),
+WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 phrases AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES {_PHRASE_ROWS}) v(p, label)),
 places AS (
   SELECT doc_id, i - 1 AS pos, label
@@ -128,16 +129,21 @@ places AS (
   WHERE w[i:i + len(p) - 1] = p
 ),
 templates AS (
-  SELECT label, list_distinct({_SYMBOL.format("lower(text)")}) AS t FROM (VALUES {_TEMPLATE_ROWS}) v(label, text)
+  SELECT label, list_distinct(words) AS t, ceil(round(len(words) / {THRESHOLD}, 6)) AS longest
+  FROM (SELECT label, {_SYMBOL.format("lower(text)")} AS words FROM (VALUES {_TEMPLATE_ROWS}) v(label, text))
 ),
-lines AS (
-  SELECT doc_id, list_distinct({_SYMBOL.format("line")}) AS b
-  FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM docs)
+-- A block is a window of words; the best one starts with a word of the template.
+held AS (
+  SELECT doc_id, i, label, word, longest, len(t) AS size, ceil(round({THRESHOLD} * len(t), 6)) AS need
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs)
+  JOIN (SELECT *, unnest(t) AS word FROM templates) USING (word)
 ),
-finds AS (
-  SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS share FROM lines, templates
-  WHERE len(list_intersect(b, t)) >= ceil(round({THRESHOLD} * len(t), 6))
+blocks AS (
+  SELECT a.doc_id, a.label, a.i, a.size, a.need, count(DISTINCT b.word) AS common
+  FROM held a JOIN held b ON a.doc_id = b.doc_id AND a.label = b.label AND b.i BETWEEN a.i AND a.i + a.longest - 1
+  GROUP BY ALL
 ),
+finds AS (SELECT doc_id, label, common / size AS share FROM blocks WHERE common >= need),
 base AS (
   SELECT doc_id, count(*) AS n, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM places GROUP BY 1
@@ -154,25 +160,33 @@ FROM docs d LEFT JOIN base b ON b.doc_id = d.doc_id LEFT JOIN every e ON e.doc_i
 LEFT JOIN best x ON x.doc_id = d.doc_id
 """
 
-_SPAM = " OR ".join(f"host = '{h}' OR ends_with(host, '.{h}')" for h in SPAM_HOSTS)
 OP10 = rf"""
 WITH u AS (
   SELECT page_id,
          translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+         list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+                   lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))) AS params,
+         (length(coalesce(html, '')) - length(replace(coalesce(html, ''), '{LINK}', ''))) // {len(LINK)} AS links,
+         length(coalesce(html, '')) AS chars
   FROM pages
+), c AS (
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(regexp_replace(host, '^www\.', ''), ':(80|443)?$', '')
+    || regexp_replace(path, '/+$', '') || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS key
+  FROM u
+), farms AS (SELECT DISTINCT key AS farm FROM c WHERE links * {CHARS_PER_LINK} > chars AND key IS NOT NULL
 ), r AS (
   SELECT *, CASE
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
     WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
-  FROM u
+  FROM c LEFT JOIN farms ON farm = key
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN {_SPAM} THEN 'block' ELSE 'allow' END AS verdict
+    WHEN farm IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
 FROM r
 """
 

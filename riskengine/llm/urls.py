@@ -34,6 +34,18 @@ WORDS, WORD_BITS = 8, 5
 TRACKING = r"^(?:utm_[^=]*|ref|fbclid|gclid)(?:=|$)"
 
 
+# Pages with less HTML for each link than this are taken for link farms.
+CHARS_PER_LINK = 200
+LINK = "<a "
+
+
+def link_farms(pages: DataFrame, chars_per_link: int = CHARS_PER_LINK) -> DataFrame:
+    """url of the pages (url, html) that are mostly links; a null html has none."""
+    html = whole_text("html")
+    links = (F.length(html) - F.length(F.replace(html, F.lit(LINK)))) / len(LINK)
+    return kept_as(pages, url="url", html="html").where(links * chars_per_link > F.length(html)).select("url")
+
+
 def url_host(url: Column) -> Column:
     return ascii_lower(F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1))
 

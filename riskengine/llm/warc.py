@@ -173,8 +173,8 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
     unreached = links.join(reachable(links), ["file", "at"], "left_anti")
     rejected = materialize(unreached.groupBy("file").agg(F.collect_list("at").alias("skip")), "warc-rejected")
     files = _files(spark, path).join(rejected, F.xxhash64("path") == F.col("file"), "left").select("path", "content", "skip")
-    names = ["file", "at", "record_type", "page_id", "refers_to", "uri", "payload_bytes", "payload_digest", "intact", "payload"]
-    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.binary()]
+    names = ["file", "at", "record_type", "page_id", "refers_to", "uri", "payload_bytes", "payload_digest", "stated_digest", "intact", "payload"]
+    types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.binary()]
 
     def fields_of(header: bytes) -> dict[str, str]:
         return {m[1].decode().lower(): m[2].decode() for m in _FIELD.finditer(header)}
@@ -197,12 +197,13 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
                     rows.append(
                         (file.as_py(), at, kind, page_of(fields.get("warc-record-id")), page_of(fields.get("warc-refers-to")),
                          fields.get("warc-target-uri"), len(payload), digest,
+                         fields.get("warc-payload-digest", "").removeprefix("sha256:"),
                          kind == "revisit" or fields.get("warc-payload-digest") == f"sha256:{digest}",
                          payload if with_payload else None)
                     )
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names)
 
-    schema = "file string, at long, record_type string, page_id long, refers_to long, uri string, payload_bytes long, payload_digest string, intact boolean, payload binary"
+    schema = "file string, at long, record_type string, page_id long, refers_to long, uri string, payload_bytes long, payload_digest string, stated_digest string, intact boolean, payload binary"
     records = files.mapInArrow(work, schema)
     return records if with_payload else records.drop("payload")
 
@@ -217,14 +218,15 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     write_warc(pages, path)
     records = materialize(read_warc(spark, path), "warc-records")
     stored = records.where("record_type = 'response'")
-    # Responses that share a page_id and are referred to hold the same payload.
+    # Responses may share a page_id, so a revisit is resolved by the digest that it states, too.
     referred = (
         stored.where(F.col("payload_bytes") >= MIN_SHARED_BYTES)
         .select(F.col("page_id").alias("r_id"), F.col("payload_bytes").alias("r_bytes"), F.col("payload_digest").alias("r_digest"))
-        .dropDuplicates(["r_id"])
+        .dropDuplicates(["r_id", "r_digest"])
     )
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    revisits = records.where("record_type = 'revisit'").join(referred, F.col("refers_to") == F.col("r_id"), "left")
+    same = (F.col("refers_to") == F.col("r_id")) & (F.col("stated_digest") == F.col("r_digest"))
+    revisits = records.where("record_type = 'revisit'").join(referred, same, "left")
     resolved = revisits.select(
         "page_id", F.col("r_bytes").alias("payload_bytes"), F.col("r_digest").alias("payload_digest"), "record_type", "refers_to"
     )
