@@ -488,18 +488,6 @@ ORACLES["batch_score"] = _with(TXN, SCORED, COST, _SWEEP) + f"""SELECT txn_id, T
 FROM scored CROSS JOIN (SELECT threshold FROM best)"""
 ORACLES["stream_score"] = ORACLES["batch_score"]
 
-# What SQL can know of trained models: the rows they score and the range of their output.
-_HELD_OUT = _with(TXN, _ranked("txn")) + f"SELECT txn_id, Class, true AS p_valid FROM ranked WHERE NOT ({_TRAIN})"
-ORACLES |= {
-    "gbt_train_score": _HELD_OUT,
-    "ensemble_train_score": _HELD_OUT,
-    "recon_error": _with(TXN, _ranked("txn"))
-    + f"""SELECT txn_id, Class, CASE WHEN {_TRAIN} THEN 'train' ELSE 'test' END AS split,
-  true AS error_valid FROM ranked""",
-    "recon_error_by_class": """SELECT 'train' AS split, true AS errors_valid, true AS below_variance,
-  true AS ratio_valid UNION ALL SELECT 'test', true, NULL, true""",
-}
-
 # --- drift ---------------------------------------------------------------------------------
 
 _SIDES = f"""sides AS (
