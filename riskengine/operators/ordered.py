@@ -1,4 +1,4 @@
-"""Ordered work (ranks, quantiles, running totals) without a single-task window.
+"""Ordered work (buckets, running totals) without a single-task window.
 
 A window with only an ORDER BY puts every row in one task. Here rows are first put in buckets
 by value; a bucket is a pure function of the value, so recomputed tasks agree and equal values
@@ -12,13 +12,11 @@ before any shuffle.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from collections.abc import Iterable
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKET = "bucket"
 MIN_BUCKETS, MAX_BUCKETS = 16, 16_384
@@ -146,123 +144,6 @@ def running_totals(
     )
 
 
-@dataclass(frozen=True)
-class Want:
-    """A 0-based ascending rank to look up, tagged, with a weight for interpolation."""
-
-    rank: int
-    tag: str
-    weight: float = 1.0
-
-
-def select_ranks(
-    df: DataFrame,
-    cols: list[str],
-    wants: Callable[[str, int], list[Want]],
-    n_buckets: int | None = None,
-) -> DataFrame:
-    """Exact order statistics of many columns at once.
-
-    `wants(column, number of non-missing values)` names the ranks. Returns (feature, tag, weight,
-    rank, value, below, at): the value at each rank among the non-missing values, how many values
-    lie below it and how many equal it. Bucket counts locate the buckets that matter; only those
-    rows are shuffled.
-    """
-    spark = df.sparkSession
-    long = melt(df, cols, edges=find_edges(df, cols, n_buckets))
-    counts: dict[str, dict[int, int]] = {c: {} for c in cols}
-    # Bounded: at most cols x n_buckets rows.
-    for r in long.groupBy("feature", BUCKET).count().collect():
-        counts[r["feature"]][r[BUCKET]] = r["count"]
-
-    located = []
-    for c in cols:
-        todo = sorted(wants(c, sum(counts[c].values())), key=lambda w: w.rank)
-        base, i = 0, 0
-        for b in sorted(counts[c]):
-            here = []
-            while i < len(todo) and todo[i].rank < base + counts[c][b]:
-                here.append((todo[i].rank, todo[i].tag, float(todo[i].weight)))
-                i += 1
-            if here:
-                located.append((c, b, base, here))
-            base += counts[c][b]
-    target_type = T.StructType(
-        [
-            T.StructField("feature", T.StringType()),
-            T.StructField(BUCKET, T.IntegerType()),
-            T.StructField("base", T.LongType()),
-            T.StructField(
-                "want",
-                T.ArrayType(
-                    T.StructType(
-                        [
-                            T.StructField("rank", T.LongType()),
-                            T.StructField("tag", T.StringType()),
-                            T.StructField("weight", T.DoubleType()),
-                        ]
-                    )
-                ),
-            ),
-        ]
-    )
-    # Bounded by the number of ranks asked for.
-    targets = F.broadcast(spark.createDataFrame(located, target_type))
-    groups = (
-        long.join(targets.select("feature", BUCKET), ["feature", BUCKET])
-        .groupBy("feature", BUCKET, "value")
-        .agg(F.count(F.lit(1)).alias("at"))
-    )
-    inside = (
-        Window.partitionBy("feature", BUCKET)
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    hits = (
-        groups.withColumn("upto", F.sum("at").over(inside))
-        .join(targets, ["feature", BUCKET])
-        .withColumn("upto", F.col("upto") + F.col("base"))
-        .withColumn("below", F.col("upto") - F.col("at"))
-        .withColumn(
-            "want",
-            F.filter("want", lambda w: (w["rank"] >= F.col("below")) & (w["rank"] < F.col("upto"))),
-        )
-    )
-    return hits.select("feature", "value", "below", "at", F.explode("want").alias("w")).select(
-        "feature", "w.tag", "w.weight", "w.rank", "value", "below", "at"
-    )
-
-
-def quantile_wants(probs: dict[str, float]) -> Callable[[str, int], list[Want]]:
-    """Ranks and weights of linearly interpolated quantiles."""
-
-    def wants(_: str, n: int) -> list[Want]:
-        out = []
-        for tag, q in probs.items() if n else ():
-            at = q * (n - 1)
-            lo = math.floor(at)
-            frac = at - lo
-            out.append(Want(lo, tag, 1.0 - frac))
-            if frac > 0:
-                out.append(Want(lo + 1, tag, frac))
-        return out
-
-    return wants
-
-
-def exact_quantiles(
-    df: DataFrame, cols: list[str], probs: dict[str, float], n_buckets: int | None = None
-) -> DataFrame:
-    """Interpolated quantiles, one row per column: (feature, <tag>...)."""
-    picked = select_ranks(df, cols, quantile_wants(probs), n_buckets)
-    return picked.groupBy("feature").agg(
-        *[
-            F.sum(F.when(F.col("tag") == tag, F.col("weight") * F.col("value"))).alias(tag)
-            for tag in probs
-        ]
-    )
-
-
 def hot_key_buckets(
     df: DataFrame, keys: list[str], order: str, hot_rows: int, n_buckets: int | None = None
 ) -> tuple[DataFrame, bool]:

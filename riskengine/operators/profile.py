@@ -12,8 +12,9 @@ from riskengine.functions.values import (
     sample_kurtosis,
     sample_skewness,
 )
-from riskengine.operators.ordered import exact_quantiles, melt
+from riskengine.operators.ordered import melt
 from riskengine.operators.quality import null_audit
+from riskengine.operators.summaries import exact_quantiles, summarize
 from riskengine.schema import LABEL, RAW_COLUMNS, TXN_SCHEMA
 
 # The quantiles of a profile row and of the outlier report.
@@ -70,27 +71,26 @@ def column_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def statistical_profile(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> DataFrame:
-    """13 statistics per column. Moments take one pass; quantiles are exact order statistics."""
-    moments = (
-        melt(df, cols)
-        .groupBy("feature")
-        .agg(
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            sample_skewness("value").alias("skewness"),
-            sample_kurtosis("value").alias("kurtosis"),
-        )
-    )
-    # Both sides hold one row per column.
-    return moments.join(exact_quantiles(df, cols, PROFILE_QUANTILES), "feature").select(
-        "feature", "mean", "std", "median", "min", "max", "skewness", "kurtosis",
+def _profile(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    moments = {
+        "mean": F.avg("value"),
+        "std": F.stddev_samp("value"),
+        "min": F.min("value"),
+        "max": F.max("value"),
+        "skewness": sample_skewness("value"),
+        "kurtosis": sample_kurtosis("value"),
+    }
+    return summarize(df, cols, PROFILE_QUANTILES, by, moments).select(
+        *by, "feature", "mean", "std", "median", "min", "max", "skewness", "kurtosis",
         "p1", "p5", "p25", "p75", "p95", "p99",
     )
 
 
+def statistical_profile(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> DataFrame:
+    """13 statistics per column; quantiles are exact order statistics."""
+    return _profile(df, cols, [])
+
+
 def class_comparison(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> DataFrame:
     """Fraud against legit means per column, from one pass; undefined when legit has no spread."""
     fraud = F.when(F.col(LABEL) == 1, F.col("value"))
@@ -118,11 +118,9 @@ def class_comparison(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> DataFrame:
 
 
 def class_profiles(df: DataFrame, cols: list[str] = RAW_COLUMNS) -> tuple[DataFrame, DataFrame]:
-    """The full profile of the fraud rows and of the legit rows."""
-    return (
-        statistical_profile(df.where(F.col(LABEL) == 1), cols),
-        statistical_profile(df.where(F.col(LABEL) == 0), cols),
-    )
+    """The full profile of the fraud rows and of the legit rows, found together."""
+    both = _profile(df.where(F.col(LABEL).isin(0, 1)), cols, [LABEL])
+    return tuple(both.where(F.col(LABEL) == y).drop(LABEL) for y in (1, 0))
 
 
 def amount_outliers(df: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskengine.functions.values import count_where, ratio
 from riskengine.operators.curves import flagged
-from riskengine.operators.ordered import exact_quantiles
+from riskengine.operators.summaries import exact_quantiles
 from riskengine.schema import LABEL
 
 # Fixed values.

@@ -24,38 +24,6 @@ def hot(spark):
     return v, spark.createDataFrame(pd.DataFrame({"txn_id": np.arange(len(v)), "x": v, "y": np.round(v, 1)}))
 
 
-def test_select_ranks_matches_sorted_values(hot):
-    v, df = hot
-    ranks = [0, 1, 999, 1500, 2999]
-    got = o.select_ranks(df, ["x"], lambda _c, _n: [o.Want(r, str(r)) for r in ranks], n_buckets=8)
-    s = np.sort(v)
-    for r in got.collect():
-        assert r["value"] == s[r["rank"]]
-        assert r["below"] == (v < r["value"]).sum()
-        assert r["at"] == (v == r["value"]).sum()
-    assert sorted(r["rank"] for r in got.collect()) == ranks
-
-
-def test_exact_quantiles_interpolate_like_numpy(hot):
-    v, df = hot
-    probs = {"a": 0.01, "b": 0.5, "c": 0.777, "d": 1.0, "e": 0.0}
-    for r in o.exact_quantiles(df, ["x", "y"], probs, n_buckets=8).collect():
-        col = v if r["feature"] == "x" else np.round(v, 1)
-        for tag, q in probs.items():
-            assert r[tag] == pytest.approx(np.percentile(col, q * 100), abs=1e-12)
-
-
-def test_quantiles_skip_missing_and_accept_constant_columns(spark):
-    df = spark.createDataFrame([(1.0, 5.0), (None, 5.0), (float("nan"), 5.0), (3.0, 5.0)], "x double, y double")
-    got = {r["feature"]: r["m"] for r in o.exact_quantiles(df, ["x", "y"], {"m": 0.5}).collect()}
-    assert got == {"x": 2.0, "y": 5.0}
-
-
-def test_quantiles_of_an_empty_table(spark):
-    df = spark.createDataFrame([], "x double")
-    assert o.exact_quantiles(df, ["x"], {"m": 0.5}).collect() == []
-
-
 @pytest.mark.parametrize("descending", [False, True])
 def test_running_totals_match_a_global_window(hot, descending):
     v, df = hot
@@ -113,15 +81,6 @@ def test_no_row_level_single_partition_exchange(hot):
     assert "SinglePartition" not in plan
 
 
-def test_results_do_not_depend_on_the_edges(hot, monkeypatch):
-    """Edges found on a few rows, or on none worth having, only change how the work is spread."""
-    v, df = hot
-    monkeypatch.setattr(o, "EDGE_ROWS", 40)
-    monkeypatch.setattr(o, "EDGE_ROWS_PER_BUCKET", 1)
-    r = o.exact_quantiles(df, ["x"], {"m": 0.3}, n_buckets=8).first()
-    assert r["m"] == pytest.approx(np.percentile(v, 30), abs=1e-12)
-
-
 def test_more_rows_mean_more_buckets(spark):
     assert o.bucket_number(spark, 0) == 16
     assert o.bucket_number(spark, 10**10) == 1000
