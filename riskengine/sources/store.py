@@ -1,12 +1,18 @@
-"""Versioned feature tables: one immutable Parquet folder per version and a manifest table."""
+"""Versioned feature tables: one immutable Parquet folder and one commit file per version."""
 
 from __future__ import annotations
 
+import json
+import threading
+import uuid
+from datetime import datetime, timezone
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskengine.sources.files import numbered_folders, path_exists
+from riskengine.sources.files import path_exists
 
 MANIFEST_SCHEMA = T.StructType(
     [
@@ -21,24 +27,60 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
+# Hadoop's local file system looks before it renames; threads of one driver take turns here.
+_CLAIM = threading.Lock()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def _claim(spark: SparkSession, written: str, name: str) -> bool:
+    """Give a written file a name that nobody has taken; False if somebody has."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(name)
+    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    kind = getattr(hadoop, "Options$Rename")
+    never = spark.sparkContext._gateway.new_array(kind, 1)
+    never[0] = kind.NONE
+    try:
+        with _CLAIM:
+            context.rename(hadoop.Path(written), target, never)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 class FeatureStore:
-    """Time travel over feature tables; writing moves the current version to the newest."""
+    """Time travel over feature tables; writing moves the current version to the newest.
+
+    A version is its data, in a folder of a name of its own, and a commit file named by its number.
+    The commit is written aside and renamed without overwriting, so that of two writers one gets
+    the number and the other tries the next one. Data without a commit is never seen.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
     @property
-    def _manifest_path(self) -> str:
-        return f"{self.root}/manifest"
+    def _commits(self) -> str:
+        return f"{self.root}/commits"
 
     def list_versions(self) -> DataFrame:
         """One row per version with `is_current`; empty when nothing was written."""
-        if path_exists(self.spark, self._manifest_path):
-            rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(self._manifest_path)
+        if path_exists(self.spark, self._commits):
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).json(self._commits)
         else:
             rows = self.spark.createDataFrame([], MANIFEST_SCHEMA)
-        # The manifest holds one small row per version.
+        # There is one small commit per version.
         current = rows.agg(F.max("version")).first()[0]
         return rows.withColumn("is_current", F.col("version") == F.lit(current))
 
@@ -46,24 +88,26 @@ class FeatureStore:
         return self.list_versions().agg(F.max("version")).first()[0]
 
     def write_new_version(self, df: DataFrame, description: str) -> int:
-        """Write df as the next version. An existing folder is an error, never overwritten."""
-        # A folder without a manifest row is left from a write that did not finish.
-        taken = numbered_folders(self.spark, self.root, "v=")
-        version = max([self.current_version() or 0, *taken]) + 1
-        path = f"{self.root}/v={version}"
+        """Write df as the next version. Writers at once get different numbers, none is lost."""
+        token = uuid.uuid4().hex
+        path = f"{self.root}/data/{token}"
         df.write.mode("errorifexists").parquet(path)
-        written = self.spark.read.schema(df.schema).parquet(path)
-        entry = self.spark.range(1).select(
-            F.lit(version).cast("long").alias("version"),
-            F.lit(path).alias("path"),
-            F.current_timestamp().alias("created_at"),
-            F.lit(description).alias("description"),
-            F.lit(written.count()).cast("long").alias("n_rows"),
-            F.lit(len(df.columns)).cast("long").alias("n_columns"),
-            F.array(*[F.lit(c) for c in df.columns]).alias("columns"),
-        )
-        entry.coalesce(1).write.mode("append").parquet(self._manifest_path)
-        return version
+        entry = {
+            "path": path,
+            "created_at": datetime.now(timezone.utc).isoformat(),
+            "description": description,
+            "n_rows": self.spark.read.schema(df.schema).parquet(path).count(),
+            "n_columns": len(df.columns),
+            "columns": df.columns,
+        }
+        version = self.current_version() or 0
+        while True:
+            version += 1
+            # The name begins with a dot, so that readers pass over it.
+            aside = f"{self._commits}/.{token}-{version}"
+            _write_text(self.spark, aside, json.dumps({"version": version, **entry}))
+            if _claim(self.spark, aside, f"{self._commits}/{version:012d}.json"):
+                return version
 
     def get_version(self, version: int) -> DataFrame:
         row = self.list_versions().where(F.col("version") == version).first()

@@ -1,6 +1,7 @@
 """Files, the feature store, learners and the end-to-end plans."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
@@ -14,7 +15,7 @@ from riskengine.plans.training import load_serving_model, save_result, train_and
 from riskengine.schema import FEATURES, KEYED_SCHEMA
 from riskengine.session import scratch_path
 from riskengine.sources import files
-from riskengine.sources.store import FeatureStore
+from riskengine.sources.store import FeatureStore, _claim, _write_text
 from riskengine.streaming import score_stream
 from riskengine.streaming.transport import FileChannel, replay
 from conftest import make_frame
@@ -54,9 +55,29 @@ def test_feature_store_time_travel(spark, txn):
     assert rows[2]["columns"] == ["txn_id", *FEATURES]
     with pytest.raises(LookupError):
         store.get_version(9)
-    # A write that died before its manifest row does not block the next one.
-    feats.limit(1).write.parquet(f"{store.root}/v=3")
-    assert store.write_new_version(feats, "third") == 4 and store.list_versions().count() == 3
+    # A write that died before its commit is not seen and does not block the next one.
+    feats.limit(1).write.parquet(f"{store.root}/data/unfinished")
+    _write_text(spark, f"{store.root}/commits/.unfinished", "{")
+    assert store.write_new_version(feats, "third") == 3 and store.list_versions().count() == 3
+    assert rows[2]["created_at"] >= rows[1]["created_at"]
+
+
+def test_writers_at_once_get_different_versions(spark, txn):
+    store = FeatureStore(spark, scratch_path(spark, "store"))
+    parts = [txn.limit(10 * k) for k in range(1, 5)]
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(lambda part: store.write_new_version(part, "parallel"), parts))
+    assert sorted(versions) == [1, 2, 3, 4]
+    assert [store.get_version(v).count() for v in versions] == [10, 20, 30, 40]
+    assert store.current_version() == 4 and store.list_versions().count() == 4
+
+
+def test_a_taken_number_is_not_overwritten(spark):
+    root = scratch_path(spark, "store")
+    for k in range(2):
+        _write_text(spark, f"{root}/commits/.aside{k}", '{"version": 1, "description": "%d"}' % k)
+    assert [_claim(spark, f"{root}/commits/.aside{k}", f"{root}/commits/1.json") for k in range(2)] == [True, False]
+    assert [r["description"] for r in FeatureStore(spark, root).list_versions().collect()] == ["0"]
 
 
 def test_threshold_config(spark):
