@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,17 @@ def kept_as(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{old}`").alias(new) for new, old in columns.items()))
 
 
+def carrying(docs: DataFrame, needed: tuple[str, ...], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`work` on `docs`, whose columns that are not `needed` go through it under names of no one else.
+
+    No helper column has a space in its name, so none can clash with a column of the caller's.
+    """
+    aside = {c: f"carried {i}" for i, c in enumerate(docs.columns) if c not in needed}
+    done = work(docs.select(*(F.col(f"`{c}`").alias(aside.get(c, c)) for c in docs.columns)))
+    back = {v: k for k, v in aside.items()}
+    return done.select(*(F.col(f"`{c}`").alias(back.get(c, c)) for c in done.columns))
+
+
 def document_frequency(tokens: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """word, df: how many rows of the whole corpus (column `tokens`) hold each word of `vocabulary`.
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskengine.llm.common import document_frequency, kept_as, symbol_words, whole_text
+from riskengine.llm.common import carrying, document_frequency, kept_as, symbol_words, whole_text
 from riskengine.session import materialize
 
 WINDOW_WORDS = 10
@@ -156,6 +156,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, words: int = WINDOW_WORDS)
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents in which no benchmark window occurs, with all their columns."""
+    return carrying(docs, ("doc_id", "text"), lambda named: _without_contaminated(named, items))
+
+
+def _without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     bad = (
         decontaminate(docs, items)
         .where("contaminated")

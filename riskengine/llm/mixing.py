@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskengine.llm.common import carrying
 from riskengine.session import materialize
 
 BLOCK_DOCS = 8
@@ -152,7 +153,10 @@ def pfair_mix(
     `parts` (source, parts, period) are target weights as integer parts of a period; by default
     they follow the root of the source's size.
     """
-    docs = docs.drop(*RESULT)
+    return carrying(docs.drop(*RESULT), (doc_id, source), lambda named: _mixed(named, parts, doc_id, source, block_docs))
+
+
+def _mixed(docs: DataFrame, parts: DataFrame | None, doc_id: str, source: str, block_docs: int) -> DataFrame:
     counts = docs.groupBy(F.col(source).alias("source")).agg(F.count("*").alias("n"))
     counts = materialize(counts, "mix-counts")
     plan = materialize(period_schedule(temperature_parts(counts) if parts is None else parts), "mix-plan")

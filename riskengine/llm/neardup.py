@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskengine.llm.common import kept_as
+from riskengine.llm.common import carrying, kept_as
 from riskengine.llm.components import components
 from riskengine.llm.hyperminhash import (
     BUCKETS,
@@ -233,6 +233,10 @@ def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     Of rows that share a kept doc_id the one with the smallest text hash stays; rows without a
     doc_id all stay.
     """
+    return carrying(docs, ("doc_id", "text"), lambda named: _one_of_each(named, words, percent))
+
+
+def _one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
     found = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"), "dedup-kept")
     # Written first: where few documents go, these are known to be small and texts are not shuffled.
     gone = materialize(found.where("not kept").select("doc_id").distinct(), "dedup-gone")

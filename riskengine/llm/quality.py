@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskengine.llm.common import kept_as
+from riskengine.llm.common import carrying, kept_as
 
 GRAM_BYTES = 4
 BYTE_COLUMNS = 1 << 16
@@ -222,5 +222,9 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier does not reject, with all their columns."""
-    scored = score_documents(docs, train(docs, labels), name="_quality")
-    return scored.where(F.col("_quality") >= threshold).drop("_quality")
+
+    def work(docs: DataFrame) -> DataFrame:
+        scored = score_documents(docs, train(docs, labels), name="_quality")
+        return scored.where(F.col("_quality") >= threshold).drop("_quality")
+
+    return carrying(docs, ("doc_id", "text"), work)

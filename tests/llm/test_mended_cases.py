@@ -4,7 +4,7 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from riskengine.llm import chat, licenses, urls, warc
+from riskengine.llm import chat, decontaminate, licenses, mixing, neardup, pii, quality, urls, warc
 
 
 def test_revisits_are_resolved_by_id_and_digest(spark):
@@ -58,3 +58,26 @@ def test_wrapped_notice_agrees_with_the_sql(spark, tmp_path):
     rows = sorted(tuple(r) for r in got.collect())
     assert rows == want
     assert [r[got.columns.index("score")] for r in rows][:2] == [1.0, 1.0] and label in rows[0][got.columns.index("labels")]
+
+
+def test_helper_names_do_not_clash_with_columns(spark):
+    """Columns named like the operators' own helpers come back with their values."""
+    text = " ".join(f"word{i}" for i in range(60))
+    names = ["_quality", "_copy", "_n", "_s_id", "_s_key", "_spans", "_bad_id", "_bad_key", "_s", "_parts", "_k", "_mix_n", "_p_source", "kept", "spans"]
+    rows = [(i, f"{text} {i} " + f"tail{i} " * 50 + "mail a.b@example.org", "web", *[f"v{i}"] * len(names)) for i in range(6)]
+    rows += [rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    items = spark.createDataFrame([(1, " ".join(f"tail{2}" for _ in range(12)))], "item_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)], "doc_id long, quality int")
+
+    def values(frame):
+        assert set(names) <= set(frame.columns)
+        return {r["doc_id"]: {r[n] for n in names} for r in frame.select("doc_id", *names).collect()}
+
+    whole = {i: {f"v{i}"} for i in range(6)}
+    assert values(neardup.keep_one_of_each(docs)).items() <= whole.items()
+    assert values(decontaminate.drop_contaminated(docs, items)) == {i: v for i, v in whole.items() if i != 2}
+    assert values(mixing.pfair_mix(docs)) == whole
+    assert values(quality.keep_good(docs, labels, threshold=0.0)) == whole
+    redacted = pii.redact(docs)
+    assert values(redacted) == whole and redacted.where("text like '%[EMAIL]%'").count() == 7
