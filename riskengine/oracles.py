@@ -487,6 +487,13 @@ _SCORE_OUT = """ROUND(p, 6) AS fraud_probability, p >= threshold AS is_fraud, th
 ORACLES["batch_score"] = _with(TXN, SCORED, COST, _SWEEP) + f"""SELECT txn_id, Time, {V}, Amount, {_SCORE_OUT}
 FROM scored CROSS JOIN (SELECT threshold FROM best)"""
 ORACLES["stream_score"] = ORACLES["batch_score"]
+ORACLES["stream_fan_out"] = _with(TXN, SCORED) + f"""SELECT
+  CASE WHEN txn_id % 10 <> 3 THEN txn_id END AS txn_id,
+  CASE WHEN txn_id % 10 NOT IN (3, 5, 7) THEN ROUND(p, 6) END AS fraud_probability,
+  CASE WHEN txn_id % 10 NOT IN (3, 5, 7) THEN p >= {q.THRESHOLD} END AS is_fraud,
+  CASE txn_id % 10 WHEN 3 THEN 'bad_json' WHEN 5 THEN 'missing:V14' WHEN 7 THEN 'missing:Amount' END
+    AS problem
+FROM scored"""
 
 # --- drift ---------------------------------------------------------------------------------
 

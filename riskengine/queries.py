@@ -589,6 +589,25 @@ def stream_dead_letters(spark, sf_dir):
     return spark.read.parquet(path).groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_fan_out(spark, sf_dir):
+    """Damaged messages through one consumer: the scored records, and the dead letters by problem."""
+    source = FileChannel(scratch_path(spark, "topic"))
+    damaged = _damaged(_payload(transactions(spark, sf_dir)))
+    publish(damaged.repartition(slices_for(damaged)), source)
+    out, state = scratch_path(spark, "fan-out"), scratch_path(spark, "state")
+    score_stream.run_fan_out(
+        spark, source, out, state, add_formula_score, THRESHOLD, per_trigger=2
+    ).awaitTermination()
+    records, dead = score_stream.read_fan_out(spark, out)
+    # The same columns; a message that is not JSON has no txn_id.
+    letters = dead.select(ROW_ID, "problem").withColumns(
+        {"fraud_probability": F.lit(None).cast("double"), "is_fraud": F.lit(None).cast("boolean")}
+    )
+    return records.select(ROW_ID, "fraud_probability", "is_fraud").withColumn(
+        "problem", F.lit(None).cast("string")
+    ).unionByName(letters)
+
+
 def _published(spark, sf_dir) -> DataFrame:
     """Batch payload with the event time as scoring time, so that results are reproducible."""
     return scoring.score_payload(
@@ -660,7 +679,7 @@ QUERIES: dict[str, Query] = {
         drift_ks, drift_pvalue, drift_wasserstein, drift_moments, drift_decision,
         drift_by_window, drift_decision_by_window, retrain_decision,
         promotion_gate, registry_stages, register_versions,
-        stream_replay, stream_score, stream_dead_letters, scoring_stats, stream_scoring_stats,
+        stream_replay, stream_score, stream_dead_letters, stream_fan_out, scoring_stats, stream_scoring_stats,
         recent_n, stream_recent, flagship,
     )
 }

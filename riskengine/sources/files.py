@@ -31,6 +31,12 @@ def numbered_folders(
     return [n for n in found if not finished or path_exists(spark, f"{path}/{prefix}{n}/_SUCCESS")]
 
 
+def last_finished(spark: SparkSession, path: str, prefix: str) -> int | None:
+    """The largest N of a finished `<prefix>N`; looks at as few folders as it can."""
+    newest_first = reversed(numbered_folders(spark, path, prefix))
+    return next((n for n in newest_first if path_exists(spark, f"{path}/{prefix}{n}/_SUCCESS")), None)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import json
-import threading
 import uuid
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskengine.sources.commits import claim, write_text
 from riskengine.sources.files import path_exists
 
 MANIFEST_SCHEMA = T.StructType(
@@ -27,37 +26,6 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-# Hadoop's local file system looks before it renames; threads of one driver take turns here.
-_CLAIM = threading.Lock()
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-
-
-def _claim(spark: SparkSession, written: str, name: str) -> bool:
-    """Give a written file a name that nobody has taken; False if somebody has."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(name)
-    context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    kind = getattr(hadoop, "Options$Rename")
-    never = spark.sparkContext._gateway.new_array(kind, 1)
-    never[0] = kind.NONE
-    try:
-        with _CLAIM:
-            context.rename(hadoop.Path(written), target, never)
-    except Py4JJavaError as error:
-        if "FileAlreadyExists" in error.java_exception.getClass().getName():
-            return False
-        raise
-    return True
-
-
 class FeatureStore:
     """Time travel over feature tables; writing moves the current version to the newest.
 
@@ -105,8 +73,8 @@ class FeatureStore:
             version += 1
             # The name begins with a dot, so that readers pass over it.
             aside = f"{self._commits}/.{token}-{version}"
-            _write_text(self.spark, aside, json.dumps({"version": version, **entry}))
-            if _claim(self.spark, aside, f"{self._commits}/{version:012d}.json"):
+            write_text(self.spark, aside, json.dumps({"version": version, **entry}))
+            if claim(self.spark, aside, f"{self._commits}/{version:012d}.json"):
                 return version
 
     def get_version(self, version: int) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import chain
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from riskengine.functions.values import count_where
 from riskengine.operators.scoring import RECENT_LIMIT, stats_from_histogram
@@ -17,6 +22,8 @@ from riskengine.streaming.transport import start
 BATCH = "batch="
 # Snapshots kept, so that a reader of the newest one is never cut off.
 KEEP_BATCHES = 20
+# Newest first, by the time of scoring; ties by transaction.
+NEWEST = [("scored_at", "descending"), ("txn_id", "descending")]
 
 
 def _write_snapshot(rows: DataFrame, out: str, number: int) -> None:
@@ -63,6 +70,50 @@ def run_stats(
         return start(writer, checkpoint, interval)
 
 
+class _Newest(StatefulProcessor):
+    """A list state of the newest records, replaced by the newest of it and of each batch."""
+
+    def __init__(self, schema: T.StructType, limit: int):
+        self._schema = schema
+        self._limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._held = handle.getListState("newest", self._schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        names = self._schema.fieldNames()
+        place = [names.index(c) for c, _ in NEWEST]
+
+        def order(record: tuple) -> tuple:
+            # A missing value is older than any other.
+            return tuple((record[i] is not None, record[i]) for i in place)
+
+        fresh = (tuple(row[c] for c in names) for row in rows)
+        newest = heapq.nlargest(self._limit, chain(map(tuple, self._held.get()), fresh), key=order)
+        self._held.put(newest)
+        for record in newest:
+            yield Row(**dict(zip(names, record)))
+
+    def close(self) -> None:
+        pass
+
+
+def _newest_of_part(limit: int):
+    """The newest `limit` records of a partition; no more than those and one batch are held."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if best is None else pa.concat_tables([best, rows])
+            at = pc.sort_indices(rows, sort_keys=NEWEST, null_placement="at_end")
+            best = rows.take(at[:limit])
+        if best is not None:
+            yield from best.to_batches()
+
+    return pick
+
+
 def run_recent(
     scored: DataFrame,
     out: str,
@@ -70,20 +121,35 @@ def run_recent(
     interval: str | None = None,
     limit: int = RECENT_LIMIT,
 ) -> StreamingQuery:
-    """Keep the newest `limit` records: each batch merges its own newest with the previous table.
+    """Keep the newest `limit` records in a list state; each batch writes them as its snapshot.
 
-    Every partition keeps at most `limit` rows before they meet, so nothing unbounded is gathered.
+    Every partition of a batch passes on its own newest `limit` alone, so the one task that holds
+    the state reads `limit` records a partition, whatever the length of the batch. Nothing is kept
+    for a `limit` of 0 or less. A batch without records leaves the snapshot before it the newest.
     """
-    newest = [F.desc("scored_at"), F.desc("txn_id")]
-
-    def merge(batch: DataFrame, number: int) -> None:
-        rows = batch
-        if number > 0:
-            before = f"{out}/{BATCH}{number - 1}"
-            rows = rows.unionByName(batch.sparkSession.read.schema(batch.schema).parquet(before))
-        _write_snapshot(rows.orderBy(*newest).limit(limit), out, number)
+    limit = max(0, limit)
+    # Python's times depend on the zone of its process: the state holds microseconds.
+    times = [f.name for f in scored.schema if f.dataType == T.TimestampType()]
+    plain = scored.withColumns({c: F.unix_micros(c) for c in times})
+    newest = (
+        plain.mapInArrow(_newest_of_part(limit), plain.schema)
+        .withColumn("all__", F.lit(0))
+        .groupBy("all__")
+        .transformWithState(_Newest(plain.schema, limit), plain.schema, "Update", "None")
+        .withColumns({c: F.timestamp_micros(c) for c in times})
+    )
 
-    return start(scored.writeStream.foreachBatch(merge), checkpoint, interval)
+    def snapshot(batch: DataFrame, number: int) -> None:
+        held = batch.persist()  # `limit` records
+        try:
+            if number == 0 or not held.isEmpty():
+                _write_snapshot(held, out, number)
+        finally:
+            held.unpersist()
+
+    with _shuffle_partitions(scored.sparkSession, 1):  # one key, one state
+        writer = newest.writeStream.outputMode("update").foreachBatch(snapshot)
+        return start(writer, checkpoint, interval)
 
 
 def latest(spark: SparkSession, out: str) -> DataFrame:

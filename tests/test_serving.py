@@ -1,6 +1,8 @@
 """Published records, statistics, recent records, and their streaming twins."""
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from riskengine.operators import scoring as sc
@@ -130,3 +132,70 @@ def test_bounded_runs_stop_after_records_or_idle_time(spark, txn, limits, least,
     replay(txn, channel, slices=4)
     query = publish_stream(subscribe(spark, channel, per_trigger=1), sink, scratch_path(spark, "state"), interval="1 second")
     assert least <= run_bounded(query, **limits) <= most and not query.isActive
+
+
+def test_recent_state_outlives_a_restart(spark):
+    rows = payload(spark, [(i, 1.0, i % 2 == 0) for i in range(60)]).withColumn(
+        "scored_at", F.when(F.col("txn_id") % 6 != 0, F.timestamp_seconds(F.floor(F.col("txn_id") / 4)))
+    )
+    channel, out, state = (FileChannel(scratch_path(spark, "in")), scratch_path(spark, "recent"), scratch_path(spark, "state"))
+    files = [rows.where("txn_id < 40").repartition(3), rows.where("txn_id >= 50"), rows.where("txn_id >= 40 AND txn_id < 50")]
+    for k, part in enumerate(files):
+        part.write.mode("append").parquet(channel.path)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(channel.path)
+        telemetry.run_recent(stream, out, state, limit=9).awaitTermination()
+        seen = rows.where("txn_id < 40" if k == 0 else "txn_id < 40 OR txn_id >= 50" if k == 1 else "true")
+        got = telemetry.latest(spark, out)
+        assert sorted(got.collect()) == sorted(sc.recent(seen, 9).select(got.columns).collect())
+    rows.limit(0).write.mode("append").parquet(channel.path)
+    telemetry.run_recent(stream, out, state, limit=9).awaitTermination()
+    assert telemetry.latest(spark, out).count() == 9
+
+
+def test_recent_keeps_records_without_a_time_last_and_none_for_no_limit(spark):
+    rows = payload(spark, [(i, 1.0, False) for i in range(4)]).withColumn("scored_at", F.lit(None).cast("timestamp"))
+    path = scratch_path(spark, "in")
+    rows.write.parquet(path)
+    for limit, want in ((3, [1, 2, 3]), (0, []), (-2, [])):
+        out = scratch_path(spark, "recent")
+        telemetry.run_recent(spark.readStream.schema(rows.schema).parquet(path), out, scratch_path(spark, "state"), limit=limit).awaitTermination()
+        assert sorted(r["txn_id"] for r in telemetry.latest(spark, out).collect()) == want
+
+
+@pytest.mark.parametrize("stopped_in", ["scored", "dead"])
+def test_fan_out_loses_and_doubles_nothing_over_a_stop(spark, txn, monkeypatch, stopped_in):
+    channel = channel_of(spark, txn, extra=["{broken", '{"txn_id": 5}', "{also broken"])
+    out, state = scratch_path(spark, "fan-out"), scratch_path(spark, "state")
+    judged = []
+
+    def score(rows):
+        judged.append(1)
+        if len(judged) == 2 and stopped_in == "scored":
+            raise RuntimeError("stopped before the second batch is scored")
+        return add_formula_score(rows)
+
+    def dies_between(self, path, *args, **kwargs):
+        if "/dead/" in path and "batch=1" in path:
+            raise RuntimeError("stopped between the two writes")
+        return parquet(self, path, *args, **kwargs)
+
+    parquet = DataFrameWriter.parquet
+    if stopped_in == "dead":
+        monkeypatch.setattr(DataFrameWriter, "parquet", dies_between)
+    with pytest.raises(StreamingQueryException):
+        score_stream.run_fan_out(spark, channel, out, state, score, 0.6, per_trigger=1).awaitTermination()
+    # What a reader sees now is the first batch alone, though the second may be half written.
+    records, dead = score_stream.read_fan_out(spark, out)
+    assert {r["batch"] for r in records.select("batch").union(dead.select("batch")).collect()} == {0}
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    score_stream.run_fan_out(spark, channel, out, state, score, 0.6, per_trigger=1).awaitTermination()
+    records, dead = score_stream.read_fan_out(spark, out)
+    assert records.count() == 200 and dead.count() == 3
+    batch = sc.score_payload(add_formula_score(txn).drop("p_b"), 0.6, latency=F.col("scoring_latency_ms"))
+    assert records.drop("scored_at", "batch").orderBy("txn_id").collect() == batch.drop("scored_at").orderBy("txn_id").collect()
+    assert sorted(r["problem"].split(":")[0] for r in dead.collect()) == ["bad_json", "bad_json", "missing"]
+
+
+def test_fan_out_of_nothing(spark):
+    records, dead = score_stream.read_fan_out(spark, scratch_path(spark, "fan-out"))
+    assert records.count() == dead.count() == 0

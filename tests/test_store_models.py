@@ -15,7 +15,8 @@ from riskengine.plans.training import load_serving_model, save_result, train_and
 from riskengine.schema import FEATURES, KEYED_SCHEMA
 from riskengine.session import scratch_path
 from riskengine.sources import files
-from riskengine.sources.store import FeatureStore, _claim, _write_text
+from riskengine.sources.commits import claim, write_text
+from riskengine.sources.store import FeatureStore
 from riskengine.streaming import score_stream
 from riskengine.streaming.transport import FileChannel, replay
 from conftest import make_frame
@@ -57,7 +58,7 @@ def test_feature_store_time_travel(spark, txn):
         store.get_version(9)
     # A write that died before its commit is not seen and does not block the next one.
     feats.limit(1).write.parquet(f"{store.root}/data/unfinished")
-    _write_text(spark, f"{store.root}/commits/.unfinished", "{")
+    write_text(spark, f"{store.root}/commits/.unfinished", "{")
     assert store.write_new_version(feats, "third") == 3 and store.list_versions().count() == 3
     assert rows[2]["created_at"] >= rows[1]["created_at"]
 
@@ -75,8 +76,8 @@ def test_writers_at_once_get_different_versions(spark, txn):
 def test_a_taken_number_is_not_overwritten(spark):
     root = scratch_path(spark, "store")
     for k in range(2):
-        _write_text(spark, f"{root}/commits/.aside{k}", '{"version": 1, "description": "%d"}' % k)
-    assert [_claim(spark, f"{root}/commits/.aside{k}", f"{root}/commits/1.json") for k in range(2)] == [True, False]
+        write_text(spark, f"{root}/commits/.aside{k}", '{"version": 1, "description": "%d"}' % k)
+    assert [claim(spark, f"{root}/commits/.aside{k}", f"{root}/commits/1.json") for k in range(2)] == [True, False]
     assert [r["description"] for r in FeatureStore(spark, root).list_versions().collect()] == ["0"]
 
 
