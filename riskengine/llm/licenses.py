@@ -4,8 +4,9 @@ Blocks are windows of consecutive words, across the ends of lines: up to |words
 them, so that a wrapped notice is one block and a long line is not. A template is found in a block
 that holds at least THRESHOLD of its distinct words. Template words are put in order of their
 document frequency over the whole corpus; a block that reaches the threshold must hold one of the
-first |T| - need + 1 of them (prefix), must have `need` distinct words itself (length), and from the
-first common word on, the template must still have `need` words (position). Candidates are compared
+first |T| - need + 1 of them (prefix), must have `need` words itself (length), and if that word is
+the first one in common, the block must hold `need` of the template's words from it on (position).
+A block is thus a candidate of its first common word, and of later ones only where enough follow. Candidates are compared
 in full.
 
 Templates are a fixed list, so the join's other side is of fixed size and is broadcast. A text's
@@ -106,6 +107,12 @@ def _surroundings(words: Column, wanted: list[str], reach: int) -> Column:
     )
 
 
+def _enough_follow(near: Column, template: Column, place: Column, need: Column) -> Column:
+    """Positional filter: `need` of the template's words from `place` on, rarest first, are near."""
+    rest = F.slice(template, place + 1, F.size(template))
+    return F.size(F.array_intersect(near, rest)) >= need
+
+
 def scan_licenses(
     docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -171,10 +178,10 @@ def scan_licenses(
     # Templates are a fixed list: the broadcast side is a few hundred words.
     close = (
         by_word.join(F.broadcast(prefixes.unionByName(marker)), "word")
-        .where(F.size("template") - F.col("place") >= F.col("need"))
         .withColumn("before", before - skip)
         .withColumn("near", F.slice("near", skip + 1, before - skip + F.col("longest")))
-        .where((F.size("near") >= F.col("need")) & (F.size(F.array_intersect("near", "template")) >= F.col("need")))
+        .where(F.size("near") >= F.col("need"))
+        .where(_enough_follow(F.col("near"), F.col("template"), F.col("place"), F.col("need")))
     )
     # Every block with the prefix word in it; of the best ones the last to start.
     blocks = F.transform(

@@ -201,37 +201,82 @@ def test_text_statistics_equal_brute_force(spark, odd_docs, no_docs):
     assert outliers.reject_outliers(no_docs).count() == 0
 
 
-def brute_mcd(x, steps):
-    """The same concentration steps in numpy."""
+def brute_mcd(x, starts=(0, 1, 2, 3)):
+    """Centre, covariance and log-determinant of the least determinant over the given starts."""
     granted = np.array(list(outliers.STATISTICS.values()))
-    quantile = lambda b, share: np.sort(b)[math.ceil(share * len(b)) - 1]
+
+    def quantile(bins, share):
+        values, counts = np.unique(bins, return_counts=True)
+        return values[np.argmax(counts.cumsum() >= share * counts.sum())]
+
     centre = np.array([quantile(np.ceil(c * outliers.VALUE_BINS), 0.5) / outliers.VALUE_BINS for c in x.T])
-    cov = np.diag(granted**2)
-    for _ in range(steps + 1):
-        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
-        bins = np.ceil(np.log1p(d) * outliers.DISTANCE_BINS)
-        near = x[bins <= quantile(bins, outliers.SUBSET)]
-        centre, cov = near.mean(axis=0), np.cov(near.T, bias=True) * outliers.CONSISTENCY + np.diag(granted**2)
-    return d
+    z = (x - centre) / granted
+    signs = z / np.maximum(np.sqrt((z**2).sum(axis=1)), 1e-9)[:, None]
+    scaled = lambda u: (u.T @ u) / len(u) * np.outer(granted, granted)
+    shapes = [np.zeros((5, 5)), scaled(signs), scaled(np.tanh(z)), np.cov(x.T, bias=True).reshape(5, 5)]
+    state = {k: [np.inf, x.mean(axis=0) if k == 3 else centre, shapes[k] + np.diag(granted**2), True] for k in starts}
+    for step in range(1, outliers.MAX_STEPS + 1):
+        for held in state.values():
+            if held[3]:
+                d = np.einsum("ij,jk,ik->i", x - held[1], np.linalg.inv(held[2]), x - held[1])
+                bins = np.ceil(np.log1p(d) * outliers.DISTANCE_BINS)
+                near = x[bins <= quantile(bins, outliers.SUBSET)]
+                cov = np.cov(near.T, bias=True).reshape(5, 5) * outliers.CONSISTENCY + np.diag(granted**2)
+                logdet = np.linalg.slogdet(cov)[1]
+                held[3] = held[0] - logdet > outliers.TOLERANCE
+                if logdet < held[0]:
+                    held[:3] = logdet, near.mean(axis=0), cov
+        if step == outliers.TRIAL_STEPS:
+            state = dict(sorted(state.items(), key=lambda s: (s[1][0], s[0]))[: outliers.KEPT])
+    logdet, centre, cov, _ = min(state.values(), key=lambda h: h[0])
+    return centre, cov, logdet
+
+
+def drawn_distances(x, *chain):
+    """Distances of x by the estimate of the last sample of the chain, drawn towards those before."""
+    centre, cov = brute_mcd(chain[0])[:2]
+    for sample in chain[1:]:
+        share = len(sample) / (len(sample) + outliers.SHRINK)
+        own = brute_mcd(sample)[:2]
+        centre, cov = share * own[0] + (1 - share) * centre, share * own[1] + (1 - share) * cov
+    return np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(cov), x - centre)
+
+
+STATS_SCHEMA = "doc_id long, lang string, source string, " + ", ".join(f"{n} double" for n in outliers.STATISTICS)
 
 
 def test_outliers_equal_numpy(spark):
-    rng = np.random.default_rng(7)
-    rows = []
-    for g in (("en", "a"), ("en", None), ("de", "b")):
-        for i in range(120 if g[1] != "b" else 20):
-            x = rng.normal(size=5) * 0.05 + (1.5 if i % 12 == 0 else 0.3)
-            rows.append((len(rows), *g, *map(float, x)))
-    names = list(outliers.STATISTICS)
-    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(f"{n} double" for n in names))
-    found = outliers._with_distance(df, outliers.estimates_of(df)).collect()
-    assert {(r["lang"], r["source"]) for r in found} == {("en", "a"), ("en", None)}
-    for source in ("a", None):
-        part = sorted((r for r in found if r["source"] == source), key=lambda r: r["doc_id"])
-        want = brute_mcd(np.array([[r[n] for n in names] for r in part]), outliers.STEPS)
-        assert np.allclose([r["distance"] for r in part], want, rtol=1e-6)
-        assert {r["doc_id"] for r in part if r["distance"] > outliers.CUTOFF} >= {r["doc_id"] for r in part if r["doc_id"] % 12 == 0}
+    rng = np.random.default_rng(11)
+    groups = [("en", "a", 120), ("en", "b", 20), ("en", None, 7), ("en", "", 3), ("de", "b", 9), (None, "c", 3)]
+    rows = [(*g[:2], *map(float, rng.normal(size=5) * 0.05 + (1.5 if i % 10 == 5 else 0.3))) for g in groups for i in range(g[2])]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    # A group and a language of which no text passes: measured as what they are drawn towards.
+    failing = [(900, "en", "z", *[0.3] * 5), (901, "fr", "z", *[0.3] * 5)]
+    passing = spark.createDataFrame(rows, STATS_SCHEMA)
+    got = {r["doc_id"]: r for r in outliers.measured_rows(spark.createDataFrame(rows + failing, STATS_SCHEMA), passing).collect()}
+    assert {i: (r["lang"], r["source"]) for i, r in got.items()} == {r[0]: r[1:3] for r in rows + failing}
+    vectors = lambda part: np.array([r[3:] for r in part])
+    for lang, source in {r[1:3] for r in rows + failing}:
+        mine = [r for r in rows + failing if r[1:3] == (lang, source)]
+        samples = [rows, [r for r in rows if r[1] == lang], [r for r in rows if r[1:3] == (lang, source)]]
+        want = drawn_distances(vectors(mine), *(vectors(s) for s in samples if s))
+        assert np.allclose([got[r[0]]["distance"] for r in mine], want, rtol=1e-6)
+    assert all((got[r[0]]["distance"] > outliers.CUTOFF) == (r[3] > 0.9) for r in rows)
     assert 1e-11 < outliers.chi2_tail(outliers.CUTOFF) < 1e-10 and abs(outliers.chi2_tail(6.6257) - 0.25) < 1e-4
+    texts = spark.createDataFrame([doc(i, prose(rng_words, 40)) for rng_words in [random.Random(1)] for i in range(12)] + [doc(90, "one two")], DOCS)
+    assert outliers.reject_outliers(texts).where("distance is null").count() == 0
+    assert outliers.reject_outliers(texts.where("doc_id = 90")).where("not kept and distance is null").count() == 1
+
+
+def test_outliers_take_the_start_of_least_determinant(spark):
+    # Two clouds of which neither holds 75 %: where a start ends depends on where it begins.
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(size=(70, 5)) * [0.3, 0.02, 0.02, 0.02, 0.3] + 0.5, rng.normal(size=(60, 5)) * 0.02 + [0.9, 0.1, 0.9, 0.1, 0.9]])
+    df = spark.createDataFrame([(i, "en", "a", *map(float, v)) for i, v in enumerate(x)], STATS_SCHEMA)
+    found = outliers.estimates_of(outliers._with_pools(df)).where("pool like 'group %'").first()
+    each = [brute_mcd(x, (k,))[2] for k in range(4)]
+    assert found["logdet"] == pytest.approx(min(each), abs=1e-6) and found["n"] == 130
+    assert max(each) - min(each) > 0.01
 
 
 def test_mixing_keeps_every_source_within_a_block(spark, odd_docs, no_docs):
@@ -518,28 +563,3 @@ def test_license_blocks_cross_lines_and_are_bounded(spark):
         found += bool(best)
         assert {b["label"] for b in got[i]["blocks"]} == set(best) and got[i]["score"] == max(best.values(), default=0.0)
     assert 50 < found < 150
-
-
-def test_outliers_of_small_groups_are_measured_by_pools(spark):
-    rng = np.random.default_rng(11)
-    groups = [("en", "a", 120), ("en", "b", 20), ("en", None, 7), ("de", "b", 9), (None, "c", 3)]
-    rows = [(*g[:2], *map(float, rng.normal(size=5) * 0.05 + (1.5 if i % 10 == 5 else 0.3))) for g in groups for i in range(g[2])]
-    rows = [(i, *r) for i, r in enumerate(rows)]
-    names = list(outliers.STATISTICS)
-    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, " + ", ".join(f"{n} double" for n in names))
-    got = {r["doc_id"]: r for r in outliers.measured_rows(df, df).collect()}
-    assert {i: (r["lang"], r["source"]) for i, r in got.items()} == {r[0]: r[1:3] for r in rows}
-    pools = [
-        (lambda r: r[1:3] == ("en", "a"), lambda r: r[1:3] == ("en", "a")),
-        (lambda r: r[1] == "en" and r[2] != "a", lambda r: r[1] == "en"),
-        (lambda r: r[1] != "en", lambda r: True),
-    ]
-    for mine, pool in pools:
-        part = [r for r in rows if pool(r)]
-        want = dict(zip([r[0] for r in part], brute_mcd(np.array([r[3:] for r in part]), outliers.STEPS)))
-        ids = [r[0] for r in rows if mine(r)]
-        assert np.allclose([got[i]["distance"] for i in ids], [want[i] for i in ids], rtol=1e-6)
-    assert all((got[r[0]]["distance"] > outliers.CUTOFF) == (r[3] > 0.9) for r in rows)
-    texts = spark.createDataFrame([doc(i, prose(rng_words, 40)) for rng_words in [random.Random(1)] for i in range(12)] + [doc(90, "one two")], DOCS)
-    assert outliers.reject_outliers(texts).where("distance is null").count() == 0
-    assert outliers.reject_outliers(texts.where("doc_id = 90")).where("not kept and distance is null").count() == 1

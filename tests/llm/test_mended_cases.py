@@ -81,3 +81,15 @@ def test_helper_names_do_not_clash_with_columns(spark):
     assert values(quality.keep_good(docs, labels, threshold=0.0)) == whole
     redacted = pii.redact(docs)
     assert values(redacted) == whole and redacted.where("text like '%[EMAIL]%'").count() == 7
+
+
+def test_positional_filter_leaves_a_block_to_its_first_common_word(spark):
+    cases = [
+        ("a b c d x", 0, True),  # four of five from the rarest word on
+        ("a b c d x", 1, False),  # three from the second on: found through the first
+        ("b c d e x", 1, True),
+        ("a b c x y", 0, False),
+    ]
+    df = spark.createDataFrame([(n.split(), list("abcde"), p, w) for n, p, w in cases], "near array<string>, template array<string>, place int, want boolean")
+    held = licenses._enough_follow(F.col("near"), F.col("template"), F.col("place"), F.lit(4))
+    assert df.where(held != F.col("want")).count() == 0
