@@ -208,7 +208,8 @@ def _starts(points: DataFrame) -> DataFrame:
         .groupBy("pool")
         .agg(*(F.max(F.when(F.col("stat") == i, F.col("bin") / VALUE_BINS)).alias(f"m{i}") for i in range(len(names))))
     )
-    centred = points.join(medians, "pool").withColumns(
+    # As with the edges below.
+    centred = points.join(materialize(medians, "outlier-medians"), "pool").withColumns(
         {f"z{i}": (F.col(n) - F.col(f"m{i}")) / F.lit(least[i]) for i, n in enumerate(names)}
     )
     length = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(len(names))), F.lit(0.0)))
@@ -238,7 +239,8 @@ def _concentrate(points: DataFrame, estimates: DataFrame) -> DataFrame:
     """pool, start, m, c of the share of each pool with the smallest distances by each estimate."""
     names, by = list(STATISTICS), ["pool", "start"]
     binned = _with_distance(points, estimates).withColumn("bin", F.ceil(F.log1p("distance") * DISTANCE_BINS))
-    edge = _quantile_bin(binned, by, SUBSET).withColumnRenamed("bin", "edge")
+    # Written first, so that the join knows its size and no row is shuffled by its pool.
+    edge = materialize(_quantile_bin(binned, by, SUBSET).withColumnRenamed("bin", "edge"), "outlier-edges")
     near = binned.join(edge, by).where(F.col("bin") <= F.col("edge"))
     return near.groupBy(*by).agg(
         F.array(*(F.avg(n) for n in names)).alias("m"),
