@@ -13,8 +13,11 @@ buckets, and moved on by the counts of the earlier buckets, so that a hot source
 Defined results: a null source is a source of its own; null or repeated ids take places like any
 other (repeated ids in an order fixed by all their columns); texts are never read by the schedule;
 an empty table gives an empty schedule; other columns are carried unless they clash with the
-result's own names, which replace them. No document is dropped: after the slot at which some source
-first lacks a full block the target weights can no longer hold, and `in_mix` is false from there on.
+result's own names, which replace them. No document is dropped. A source's last block may be partial
+and counts like any other; once a source has none left, its slots stay empty, so that the others go
+on in the proportion of their weights, each within one block of its weight at every slot. `phase` is
+the number of sources used up by a document's slot. `in_mix` marks phase 0, in which all target
+weights hold; a reader who can do without the sources that ended reads on to a later phase.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from riskengine.session import materialize
 BLOCK_DOCS = 8
 PERIOD = 1000
 SLOTS_PER_SOURCE = 20
-RESULT = ("block", "in_block", "slot", "release", "deadline", "in_mix")
+RESULT = ("block", "in_block", "slot", "release", "deadline", "phase", "in_mix")
 
 
 def temperature_parts(counts: DataFrame, period: int = PERIOD) -> DataFrame:
@@ -148,7 +151,7 @@ def pfair_mix(
     source: str = "source",
     block_docs: int = BLOCK_DOCS,
 ) -> DataFrame:
-    """`docs` with block, in_block, slot, release, deadline and in_mix; order by slot, in_block.
+    """`docs` with block, in_block, slot, release, deadline, phase and in_mix; order by slot, in_block.
 
     `parts` (source, parts, period) are target weights as integer parts of a period; by default
     they follow the root of the source's size.
@@ -162,14 +165,16 @@ def _mixed(docs: DataFrame, parts: DataFrame | None, doc_id: str, source: str, b
     plan = materialize(period_schedule(temperature_parts(counts) if parts is None else parts), "mix-plan")
     plan = plan.withColumnsRenamed({"source": "_p_source", "k": "_p_k"})
 
-    # The slot that would need the block after a source's last full one ends the target mix.
-    ends = counts.withColumn("_full", F.floor(F.col("n") / block_docs)).join(
+    # A source ends at the slot that would need the block after its last one.
+    ends = counts.withColumn("_blocks", F.ceil(F.col("n") / block_docs)).join(
         plan,
-        F.col("source").eqNullSafe(F.col("_p_source")) & (F.col("_p_k") == F.col("_full") % F.col("parts")),
+        F.col("source").eqNullSafe(F.col("_p_source")) & (F.col("_p_k") == F.col("_blocks") % F.col("parts")),
     )
-    horizon = ends.agg(
-        F.min(F.floor(F.col("_full") / F.col("parts")) * F.col("period") + F.col("place")).alias("_end")
-    ).first()["_end"]
+    end = F.floor(F.col("_blocks") / F.col("parts")) * F.col("period") + F.col("place")
+    everything = Window.partitionBy(F.lit(1))
+    per_source = ends.select(F.col("source").alias("_s"), F.col("parts").alias("_parts"), end.alias("_end"))
+    per_source = per_source.withColumn("_ends", F.collect_list("_end").over(everything)).drop("_end")
+    per_source = materialize(per_source, "mix-ends")
 
     blocks = (
         numbered(docs, doc_id, source)
@@ -177,17 +182,19 @@ def _mixed(docs: DataFrame, parts: DataFrame | None, doc_id: str, source: str, b
         .withColumn("in_block", (F.col("_mix_n") % block_docs).cast("int"))
     )
     # k depends on the source's parts, so these come first; both tables have a row per part at most.
-    per_source = plan.groupBy(F.col("_p_source").alias("_s")).agg(F.first("parts").alias("_parts"))
     with_k = blocks.join(per_source, F.col(source).eqNullSafe(F.col("_s"))).withColumn(
         "_k", F.col("block") % F.col("_parts")
     )
     cycle = F.floor(F.col("block") / F.col("parts")) * F.col("period")
     placed = with_k.join(plan, F.col(source).eqNullSafe(F.col("_p_source")) & (F.col("_k") == F.col("_p_k")))
-    return placed.select(
+    result = placed.select(
         *(F.col(f"`{c}`") for c in docs.columns),
         "block",
         "in_block",
         (cycle + F.col("place")).alias("slot"),
         (cycle + _released(F.col("_k"), F.col("parts"), F.col("period"))).alias("release"),
         (cycle + _due(F.col("_k"), F.col("parts"), F.col("period"))).alias("deadline"),
-    ).withColumn("in_mix", F.col("slot") < F.lit(horizon))
+        "_ends",
+    )
+    over = F.size(F.filter("_ends", lambda e: e <= F.col("slot"))).cast("long")
+    return result.withColumn("phase", over).drop("_ends").withColumn("in_mix", F.col("phase") == 0)

@@ -106,15 +106,17 @@ run(t, done, b) AS (
   )
 ),
 plan AS (SELECT b AS i, t AS place, row_number() OVER (PARTITION BY b ORDER BY t) - 1 AS k FROM run WHERE t >= 0),
-ends AS (SELECT min((n // {BLOCK_DOCS}) // parts * q + place) AS finish
-         FROM parts JOIN plan ON plan.i = parts.i AND plan.k = (n // {BLOCK_DOCS}) % parts),
+sizes AS (SELECT i, parts, q, (n + {BLOCK_DOCS} - 1) // {BLOCK_DOCS} AS blocks FROM parts),
+ends AS (SELECT list(blocks // parts * q + place) AS each_end
+         FROM sizes JOIN plan ON plan.i = sizes.i AND plan.k = blocks % parts),
 d AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), doc_id) - 1 AS r
       FROM documents),
 b AS (SELECT doc_id, d.source, r // {BLOCK_DOCS} AS block, (r % {BLOCK_DOCS})::INT AS in_block, p.i, p.parts, p.q
       FROM d JOIN parts p ON p.source IS NOT DISTINCT FROM d.source),
 x AS (SELECT b.*, k, block // parts * q AS cycle, place FROM b JOIN plan ON plan.i = b.i AND plan.k = b.block % parts)
 SELECT doc_id, source, block, in_block, cycle + place AS slot, cycle + k * q // parts AS release,
-       cycle + ((k + 1) * q + parts - 1) // parts AS deadline, cycle + place < finish AS in_mix
+       cycle + ((k + 1) * q + parts - 1) // parts AS deadline,
+       len(list_filter(each_end, lambda e: e <= cycle + place)) AS phase, cycle + place < list_min(each_end) AS in_mix
 FROM x, ends
 """
 

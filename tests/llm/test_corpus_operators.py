@@ -5,7 +5,7 @@ import math
 import random
 import re
 import time
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -279,6 +279,19 @@ def test_outliers_take_the_start_of_least_determinant(spark):
     assert max(each) - min(each) > 0.01
 
 
+def test_a_tiny_source_ends_its_own_part_of_the_mix_alone(spark):
+    rows = [(i, "ab"[i % 3 == 0]) for i in range(4000)] + [(4000, "tiny"), (4001, "small"), (4002, "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    parts = spark.createDataFrame([("a", 12, 20), ("b", 6, 20), ("small", 1, 20), ("tiny", 1, 20)], "source string, parts long, period long")
+    out = mixing.pfair_mix(docs, parts, block_docs=2).collect()
+    assert len({r["doc_id"] for r in out}) == len(rows)
+    by_phase = Counter(r["phase"] for r in out)
+    assert by_phase[2] > 3000 and all(r["in_mix"] == (r["phase"] == 0) for r in out)
+    assert all(r["in_mix"] for r in out if r["source"] in ("tiny", "small"))
+    later = Counter(r["source"] for r in out if r["phase"] == 2)
+    assert abs(later["a"] - 2 * later["b"]) <= 6
+
+
 def test_mixing_keeps_every_source_within_a_block(spark, odd_docs, no_docs):
     sizes = {"a": 900, "b": 300, "c": 70, None: 40}
     rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
@@ -294,6 +307,15 @@ def test_mixing_keeps_every_source_within_a_block(spark, odd_docs, no_docs):
     for t, r in enumerate(prefix, 1):
         taken[r["source"]] += 1
         assert all(abs(taken[s] - w * t) < 1 for s, w in weight.items())
+    assert {r["phase"] for r in out} == set(range(len(sizes)))
+    slots, last = defaultdict(list), {}
+    for r in out:
+        slots[r["source"]].append(r["slot"])
+    for s, taken_at in slots.items():
+        assert all(abs(n - weight[s] * (t + 1)) < 1 for n, t in enumerate(taken_at, 1))
+        last[s] = taken_at[-1]
+    # A source still counts as there in the slots between its last block and the one that finds it empty.
+    assert all(r["phase"] <= sum(t < r["slot"] for t in last.values()) for r in out)
     assert mixing.pfair_mix(odd_docs).count() == odd_docs.count() and mixing.pfair_mix(no_docs).count() == 0
     whole = mixing.temperature_parts(docs.groupBy("source").agg(F.count("*").alias("n"))).collect()
     assert sum(r["parts"] for r in whole) == whole[0]["period"] and min(r["parts"] for r in whole) > 0
