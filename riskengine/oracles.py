@@ -105,6 +105,7 @@ ORACLES: dict[str, str] = {
     "csv_scan": _ALL,
     "json_encode": _ALL,
     "raw_zone_ingest": _ALL,
+    "raw_zone_compacted": _ALL,
     "stream_replay": _with(TXN, _ranked("txn"))
     + f"""SELECT rn - 1 AS rank, (rn - 1) // ((n + {q.REPLAY_BATCHES} - 1) // {q.REPLAY_BATCHES}) AS batch,
        txn_id, Time, Amount, Class FROM ranked""",

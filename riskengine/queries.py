@@ -7,6 +7,7 @@ keys and values that come from a single operation are returned as they are.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,6 +130,16 @@ def raw_zone_ingest(spark, sf_dir):
     return landed.drop("date", "hour")
 
 
+def raw_zone_compacted(spark, sf_dir):
+    channel = FileChannel(scratch_path(spark, "topic"))
+    zone, state = scratch_path(spark, "zone"), scratch_path(spark, "state")
+    replay(_payload(transactions(spark, sf_dir)), channel)
+    raw_zone.ingest(spark, channel, zone, state, per_trigger=1).awaitTermination()
+    raw_zone.compact_zone(spark, zone, before=datetime.now(timezone.utc) + timedelta(days=1))
+    landed = raw_zone.transactions_of(raw_zone.read_zone(spark, zone))
+    return landed.drop("date", "hour")
+
+
 def _damaged(txn: DataFrame) -> DataFrame:
     """Messages of all transactions, some of them cut short, incomplete or without a number."""
     kind = F.pmod(F.col(ROW_ID), F.lit(10))
@@ -666,7 +677,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         csv_scan, replay_slice, reference_scan, feature_store_roundtrip, feature_store_versions,
-        json_encode, raw_zone_ingest, dead_letter_split, predictions_sink,
+        json_encode, raw_zone_ingest, raw_zone_compacted, dead_letter_split, predictions_sink,
         compute_features, null_audit, inf_audit, amount_log, hour_of_day, prepare_features,
         feature_matrix, prescale_check, synthetic_drift,
         time_split, split_stats, sample_n, top_effects, weakest_effects,

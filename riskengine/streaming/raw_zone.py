@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskengine.schema import KEYED_SCHEMA
+from riskengine.sources import compaction
 from riskengine.sources.messages import RAW_TEXT, decode
 from riskengine.streaming.transport import Channel, start, subscribe
 
@@ -38,9 +41,8 @@ def ingest(
     return start(writer, checkpoint, interval)
 
 
-def read_zone(spark: SparkSession, zone: str, schema: T.StructType = KEYED_SCHEMA) -> DataFrame:
-    """All landed messages with their partition columns; filters on those prune folders."""
-    landed = T.StructType(
+def _landed(schema: T.StructType) -> T.StructType:
+    return T.StructType(
         [
             *schema.fields,
             T.StructField(RAW_TEXT, T.StringType()),
@@ -48,7 +50,22 @@ def read_zone(spark: SparkSession, zone: str, schema: T.StructType = KEYED_SCHEM
             T.StructField("hour", T.IntegerType()),
         ]
     )
-    return spark.read.schema(landed).parquet(zone)
+
+
+def read_zone(spark: SparkSession, zone: str, schema: T.StructType = KEYED_SCHEMA) -> DataFrame:
+    """All landed messages with their partition columns; filters on those prune folders."""
+    return compaction.read_merged(spark, zone, _landed(schema))
+
+
+def compact_zone(
+    spark: SparkSession,
+    zone: str,
+    before: datetime | None = None,
+    target_bytes: int = compaction.TARGET_BYTES,
+    schema: T.StructType = KEYED_SCHEMA,
+) -> int:
+    """Merge the small files of closed hours; see `compaction.compact`. Readers miss no message meanwhile."""
+    return compaction.compact(spark, zone, _landed(schema), before, target_bytes)
 
 
 def transactions_of(zone: DataFrame) -> DataFrame:
