@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from riskengine.functions.values import count_where
 from riskengine.operators.scoring import RECENT_LIMIT, stats_from_histogram
+from riskengine.session import ROCKSDB, STATE_STORE_KEY
 from riskengine.sources.files import drop_folder, numbered_folders
 from riskengine.streaming.transport import start
 
@@ -34,16 +35,18 @@ def _write_snapshot(rows: DataFrame, out: str, number: int) -> None:
 
 
 @contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
-    """A stream fixes its number of state partitions when it starts."""
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    if n:
-        spark.conf.set(name, str(n))
+def _stream_settings(spark: SparkSession, state_partitions: int | None, provider: str | None = None) -> Iterator[None]:
+    """A stream fixes its number of state partitions and its state store when it starts."""
+    settings = {"spark.sql.shuffle.partitions": state_partitions, STATE_STORE_KEY: provider}
+    wanted = {name: str(value) for name, value in settings.items() if value}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def run_stats(
@@ -65,7 +68,7 @@ def run_stats(
     def snapshot(batch: DataFrame, number: int) -> None:
         _write_snapshot(stats_from_histogram(batch), out, number)
 
-    with _shuffle_partitions(scored.sparkSession, state_partitions):
+    with _stream_settings(scored.sparkSession, state_partitions):
         writer = cells.writeStream.outputMode("complete").foreachBatch(snapshot)
         return start(writer, checkpoint, interval)
 
@@ -126,6 +129,7 @@ def run_recent(
     Every partition of a batch passes on its own newest `limit` alone, so the one task that holds
     the state reads `limit` records a partition, whatever the length of the batch. Nothing is kept
     for a `limit` of 0 or less. A batch without records leaves the snapshot before it the newest.
+    The state is held in RocksDB, whatever state store the session has: the default one has no lists.
     """
     limit = max(0, limit)
     # Python's times depend on the zone of its process: the state holds microseconds.
@@ -147,7 +151,7 @@ def run_recent(
         finally:
             held.unpersist()
 
-    with _shuffle_partitions(scored.sparkSession, 1):  # one key, one state
+    with _stream_settings(scored.sparkSession, 1, ROCKSDB):  # one key, one state
         writer = newest.writeStream.outputMode("update").foreachBatch(snapshot)
         return start(writer, checkpoint, interval)
 

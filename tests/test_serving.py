@@ -162,6 +162,21 @@ def test_recent_keeps_records_without_a_time_last_and_none_for_no_limit(spark):
         assert sorted(r["txn_id"] for r in telemetry.latest(spark, out).collect()) == want
 
 
+def test_recent_runs_whatever_state_store_the_session_has(spark):
+    """Spark's default store has no list states; a session that keeps it gets the same records."""
+    key, default = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rows, path, out = payload(spark, [(i, 1.0, False) for i in range(30)]), scratch_path(spark, "in"), scratch_path(spark, "recent")
+    rows.repartition(3).write.parquet(path)
+    before, partitions = spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, default)
+    try:
+        telemetry.run_recent(spark.readStream.schema(rows.schema).parquet(path), out, scratch_path(spark, "state"), limit=5).awaitTermination()
+        assert (spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")) == (default, partitions)
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(r["txn_id"] for r in telemetry.latest(spark, out).collect()) == [25, 26, 27, 28, 29]
+
+
 @pytest.mark.parametrize("stopped_in", ["scored", "dead"])
 def test_fan_out_loses_and_doubles_nothing_over_a_stop(spark, txn, monkeypatch, stopped_in):
     channel = channel_of(spark, txn, extra=["{broken", '{"txn_id": 5}', "{also broken"])
