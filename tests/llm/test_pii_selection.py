@@ -66,3 +66,24 @@ def test_thresholds_ask_for_precision_beyond_the_base_rule(spark):
     rows = [(i, True, True, 1.0) for i in range(3000)] + [(3000 + i, False, i % 10 != 0, 1.0) for i in range(200)]
     rows += [(4000 + i, False, False, 0.0) for i in range(400)]
     assert pii.learned_spans(_proposals(spark, rows)).count() == 0
+
+
+def _proposals_of(rows):
+    x = f"concat(array(mark), array_repeat(0D, {len(pii.FEATURES)}))"
+    return rows.selectExpr("doc_id", "xxhash64(doc_id) AS text_key", "'phone' AS kind", "0 AS start", "9 AS end", "base", "label", f"{x} AS x")
+
+
+def test_trees_and_thresholds_see_every_labelled_proposal(spark):
+    """Nine wrong proposals of a form of their own, among 120,000 of another, are learned from."""
+    rows = spark.range(120_000).selectExpr("id AS doc_id", "false AS base", "false AS label", "0D AS mark")
+    rows = rows.unionAll(spark.range(200_018, 200_027).selectExpr("id", "false", "false", "2D"))
+    rows = rows.unionAll(spark.range(300_000, 300_400).selectExpr("id", "false", "true", "3D"))
+    got = {r["doc_id"] for r in pii.learned_spans(_proposals_of(rows)).select("doc_id").collect()}
+    assert got == set(range(300_000, 300_400))
+
+
+def test_split_points_come_from_all_rows(spark):
+    """Each value of a small feature, however rare; parts of equal heft of a large one."""
+    rows = spark.range(100_000).selectExpr("array(double(id), IF(id = 77777, 1D, 0D), 5D) AS x", "1L AS heft")
+    points = pii.split_points(rows)
+    assert points == [(0, float(-(-k * 100_000 // pii.BINS))) for k in range(1, pii.BINS)] + [(1, 1.0)]
