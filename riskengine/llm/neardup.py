@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ from riskengine.llm.hyperminhash import (
     parity_words,
     sketch,
 )
-from riskengine.llm.shingles import batch_shingles
+from riskengine.llm.shingles import batch_shingles, runs
 from riskengine.session import materialize
 
 SHINGLE_WORDS = 5
@@ -53,36 +54,45 @@ MARGIN = 5.5
 _SKETCHED = "doc_id long, n_shingles long, set_key binary, bands array<long>, bits array<long>, parity array<long>, sketch binary"
 
 
+def _sketch_rows(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
+    names = ["doc_id", "n_shingles", "set_key", "bands", "bits", "parity", "sketch"]
+    sizes, keys, bands, bits, parities, sketches = [], [], [], [], [], []
+    for found in batch_shingles(batch.column("text"), words):
+        sizes.append(len(found))
+        if len(found):
+            registers = sketch(found)
+            keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+            bands.append(band_keys(registers))
+            bits.append(low_bits(registers))
+            parities.append(parity_words(found))
+            sketches.append(registers.tobytes())
+        else:
+            for column in (keys, bands, bits, parities, sketches):
+                column.append(None)
+    longs = pa.list_(pa.int64())
+    columns = [
+        batch.column("doc_id"),
+        pa.array(sizes, pa.int64()),
+        pa.array(keys, pa.binary()),
+        pa.array(bands, longs),
+        pa.array(bits, longs),
+        pa.array(parities, longs),
+        pa.array(sketches, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _set_rows(batch: pa.RecordBatch, words: int) -> pa.RecordBatch:
+    found = [s.view(np.int64) for s in batch_shingles(batch.column("text"), words)]
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
+
+
 def sketched(docs: DataFrame, words: int) -> DataFrame:
     """Size, digest and sketch of the shingle set of each text (doc_id, text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "set_key", "bands", "bits", "parity", "sketch"]
         for batch in batches:
-            sizes, keys, bands, bits, parities, sketches = [], [], [], [], [], []
-            for found in batch_shingles(batch.column("text"), words):
-                sizes.append(len(found))
-                if len(found):
-                    registers = sketch(found)
-                    keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(registers))
-                    bits.append(low_bits(registers))
-                    parities.append(parity_words(found))
-                    sketches.append(registers.tobytes())
-                else:
-                    for column in (keys, bands, bits, parities, sketches):
-                        column.append(None)
-            longs = pa.list_(pa.int64())
-            columns = [
-                batch.column("doc_id"),
-                pa.array(sizes, pa.int64()),
-                pa.array(keys, pa.binary()),
-                pa.array(bands, longs),
-                pa.array(bits, longs),
-                pa.array(parities, longs),
-                pa.array(sketches, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield from map(partial(_sketch_rows, words=words), runs(batch))
 
     return docs.mapInArrow(work, _SKETCHED)
 
@@ -92,10 +102,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s.view(np.int64) for s in batch_shingles(batch.column("text"), words)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"]
-            )
+            yield from map(partial(_set_rows, words=words), runs(batch))
 
     return docs.mapInArrow(work, "id long, shingles array<long>")
 

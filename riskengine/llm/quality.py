@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskengine.llm.common import carrying, kept_as
+from riskengine.llm.shingles import runs
 
 GRAM_BYTES = 4
 BYTE_COLUMNS = 1 << 16
@@ -48,7 +49,7 @@ def grams(text: bytes) -> np.ndarray:
     """
     data = np.frombuffer(text, dtype=np.uint8).astype(np.uint32)
     if len(data) < GRAM_BYTES:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int32)
     joined = data[:-3] | data[1:-2] << np.uint32(8) | data[2:-1] << np.uint32(16) | data[3:] << np.uint32(24)
     hashed = ((joined * np.uint32(2654435761)) >> np.uint32(16)).astype(np.uint16)
     hashed.sort(kind="stable")
@@ -56,7 +57,7 @@ def grams(text: bytes) -> np.ndarray:
     words = text.split()
     same = bytes([a == b for a, b in zip(words, words[1:])])
     runs = [BYTE_COLUMNS + i for i, n in enumerate(WORD_RUNS) if b"\x01" * (n - 1) in same]
-    return np.concatenate((distinct, np.array(runs, dtype=np.uint32))).astype(np.int64)
+    return np.concatenate((distinct, np.array(runs, dtype=np.uint32))).astype(np.int32)
 
 
 def log_count_ratio(rows: list[np.ndarray], good: np.ndarray) -> np.ndarray:
@@ -73,17 +74,19 @@ def dual_coordinate_descent(
 ) -> tuple[np.ndarray, float]:
     """Weights over scaled columns and a bias that minimise the hinge loss.
 
-    A row's entries are values[row] / |values[row]|, plus one constant entry for the bias. Rows are
-    visited in an order fixed by the epoch.
+    A row's entries are values[row] / |values[row]|, plus one constant entry for the bias. They are
+    worked out again at each visit, because all at once take twice the room of the columns. Rows
+    are visited in an order fixed by the epoch.
     """
     sign = np.where(good, 1.0, -1.0)
-    scaled = [values[row] / max(np.linalg.norm(values[row]), 1e-12) for row in rows]
-    square = np.array([x @ x + 1.0 for x in scaled])
+    norm = np.array([max(np.linalg.norm(values[row]), 1e-12) for row in rows])
+    square = np.array([(x := values[row] / n) @ x + 1.0 for row, n in zip(rows, norm)])
     alpha, weights, bias = np.zeros(len(rows)), np.zeros(len(values)), 0.0
     for epoch in range(epochs):
         moved = 0.0
         for i in np.random.default_rng(epoch).permutation(len(rows)):
-            row, x = rows[i], scaled[i]
+            row = rows[i]
+            x = values[row] / norm[i]
             gradient = sign[i] * (weights[row] @ x + bias) - 1.0
             new = min(max(alpha[i] - gradient / square[i], 0.0), cost)
             step = (new - alpha[i]) * sign[i]
@@ -132,9 +135,8 @@ class QualityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit_rows(texts: list[bytes], good: np.ndarray) -> QualityModel | None:
-    """The model of labelled texts, or None without both classes in fit and calibration rows."""
-    rows = [grams(t) for t in texts]
+def fit_rows(rows: list[np.ndarray], good: np.ndarray) -> QualityModel | None:
+    """The model of labelled texts' columns, or None without both classes in fit and calibration rows."""
     held = np.arange(len(rows)) % CALIBRATE_EVERY == 0
     if any(len(set(good[part])) < 2 for part in (held, ~held)):
         return None
@@ -175,11 +177,11 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, good = [], []
+        rows, good = [], []
         for batch in batches:
-            texts += [(t or "").encode() for t in batch.column("text").to_pylist()]
+            rows += [grams((t.as_py() or "").encode()) for t in batch.column("text")]
             good += batch.column("quality").to_pylist()
-        model = fit_rows(texts, np.array(good, dtype=np.int64) == 1)
+        model = fit_rows(rows, np.array(good, dtype=np.int64) == 1)
         if model:
             columns = [[model.ratio.tobytes()], [model.weights.tobytes()], [model.bias], [model.slope], [model.shift]]
             yield pa.RecordBatch.from_arrays(
@@ -200,7 +202,7 @@ def score_documents(docs: DataFrame, model: QualityModel | None, name: str = "sc
     schema = docs.drop(name).schema.add(name, "double")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole)):
             texts = batch.column("text").to_pylist()
             scores = [model.score((t or "").encode()) if model else 0.5 for t in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], schema.names)

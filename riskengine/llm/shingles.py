@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Texts are hashed in runs of about this many bytes, which bounds the arrays at work.
 RUN_BYTES = 1 << 20
@@ -90,6 +91,17 @@ def _shingles(words: np.ndarray, before: np.ndarray, size: int) -> Iterator[np.n
             yield np.zeros(0, dtype=np.uint64)
 
 
+def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch (column text) in runs of about RUN_BYTES of text, one row at least."""
+    size = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0), dtype=np.int64)
+    ends = np.concatenate(([0], np.cumsum(size)))
+    at = 0
+    while at < batch.num_rows:
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + RUN_BYTES, side="right")) - 1)
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def batch_shingles(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     """For each text (null: empty) the sorted distinct hashes of its `size`-word shingles.
 

@@ -1,7 +1,10 @@
 """Cases in which corpus operators once gave other results than their contracts."""
 
 import hashlib
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from riskengine.llm import chat, decontaminate, licenses, mixing, neardup, pii, quality, urls, warc
@@ -93,3 +96,34 @@ def test_positional_filter_leaves_a_block_to_its_first_common_word(spark):
     df = spark.createDataFrame([(n.split(), list("abcde"), p, w) for n, p, w in cases], "near array<string>, template array<string>, place int, want boolean")
     held = licenses._enough_follow(F.col("near"), F.col("template"), F.col("place"), F.lit(4))
     assert df.where(held != F.col("want")).count() == 0
+
+
+def test_the_fit_holds_columns_alone():
+    rng = np.random.default_rng(3)
+    rows = [np.sort(rng.choice(quality.COLUMNS, 1_000, replace=False)).astype(np.int32) for _ in range(2_000)]
+    good = rng.random(len(rows)) < 0.5
+    ratio = quality.log_count_ratio(rows, good)
+    tracemalloc.start()
+    weights, _ = quality.dual_coordinate_descent(rows, ratio, good, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4_000_000  # entries of all rows at once are 16 MB
+    assert weights.any() and quality.grams(b"some words of a text").dtype.itemsize == 4
+
+
+def test_sketches_and_sets_leave_a_batch_in_parts():
+    class Docs:
+        def mapInArrow(self, work, schema):
+            return work
+
+    texts = [f"text {i} " + " ".join(f"w{i * 7 + k}" for k in range(300)) for i in range(3_000)]
+    texts[5], texts[6], texts[7] = None, "", "long " * 600_000
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    found = [s.view(np.int64) for s in neardup.batch_shingles(batch.column("text"), 5)]
+    sets = list(neardup.shingle_sets(Docs(), 5)(iter([batch])))
+    sketches = list(neardup.sketched(Docs(), 5)(iter([batch])))
+    assert max(b.nbytes for b in sets) < 4_000_000 and max(b.nbytes for b in sketches) < 2_000_000
+    rows = [r for b in sets for r in zip(b.column("id").to_pylist(), b.column("shingles").to_pylist())]
+    assert rows == [(i, s.tolist()) for i, s in enumerate(found)]
+    sizes = [r for b in sketches for r in zip(b.column("doc_id").to_pylist(), b.column("n_shingles").to_pylist())]
+    assert sizes == [(i, len(s)) for i, s in enumerate(found)]
