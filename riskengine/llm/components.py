@@ -34,23 +34,21 @@ def _small_star(links: DataFrame) -> DataFrame:
     )
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether links (u > v) are stars already: each u has one link and is nobody's v."""
+    ends = links.select(F.col("u").alias("x"), F.lit(1).alias("up")).union(links.select("v", F.lit(0)))
+    per_vertex = ends.groupBy("x").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+    return per_vertex.where("ups > 1 or ups = 1 and n > 1").isEmpty()
+
+
 def components(links: DataFrame, tag: str = "components") -> DataFrame:
     """`id`, `component` (smallest id reachable) of every vertex of `links` (u, v) but the smallest.
 
     Each round moves all links at once and keeps no more than there are; the number of rounds grows
     with the logarithm of the longest path. Vertices without links are not returned.
     """
-    now = materialize(
-        links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), tag
-    )
-
-    def shape(df: DataFrame) -> tuple:
-        return tuple(
-            df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(38,0)"))).first()
-        )
-
-    before, after = None, shape(now)
-    while before != after:
-        now = materialize(_small_star(_large_star(now)), tag)
-        before, after = after, shape(now)
+    now = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    now = materialize(now, tag, narrow=True)
+    while not _settled(now):
+        now = materialize(_small_star(_large_star(now)), tag, narrow=True)
     return now.select(F.col("u").alias("id"), F.col("v").alias("component"))

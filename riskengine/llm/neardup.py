@@ -163,6 +163,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     members = materialize(
         usable.select("doc_id", "n_shingles", "set_key").join(classes, "set_key").select("doc_id", "n_shingles", "rep"),
         "dedup-classes",
+        narrow=True,
     )
     of_rep = (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep"))
     reps = (
@@ -184,8 +185,8 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     )
 
     def links_of(pairs: DataFrame, tag: str) -> DataFrame:
-        close = materialize(_estimated(pairs, near_reps, percent), f"{tag}-pairs")
-        return materialize(_verified(close, sets, percent), f"{tag}-links")
+        close = materialize(_estimated(pairs, near_reps, percent), f"{tag}-pairs", narrow=True)
+        return materialize(_verified(close, sets, percent), f"{tag}-links", narrow=True)
 
     star = shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     # Different texts under one doc_id belong together.
@@ -222,7 +223,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         .join(star, ["a", "b"], "left_anti")
     )
     second = links_of(pairs, "dedup-rest")
-    links = materialize(first.unionByName(second).distinct(), "dedup-all-links")
+    links = materialize(first.unionByName(second).distinct(), "dedup-all-links", narrow=True)
     labels = components(links, "dedup-components")
 
     ends = links.select(F.col("u").alias("e")).union(links.select(F.col("v").alias("e"))).groupBy("e").agg(F.count("*").alias("n_links"))
@@ -244,11 +245,11 @@ def keep_one_of_each(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
 
 
 def _one_of_each(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    found = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"), "dedup-kept")
+    found = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"), "dedup-kept", narrow=True)
     # Written first: where few documents go, these are known to be small and texts are not shuffled.
-    gone = materialize(found.where("not kept").select("doc_id").distinct(), "dedup-gone")
+    gone = materialize(found.where("not kept").select("doc_id").distinct(), "dedup-gone", narrow=True)
     counts = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"))
-    repeated = materialize(counts.where("_n > 1").select("doc_id"), "dedup-repeated")
+    repeated = materialize(counts.where("_n > 1").select("doc_id"), "dedup-repeated", narrow=True)
     single = docs.join(gone, "doc_id", "left_anti").join(repeated, "doc_id", "left_anti").select(docs.columns)
     copies = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))))
     numbered = docs.join(repeated, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(copies))

@@ -7,7 +7,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from riskengine.llm import chat, decontaminate, licenses, mixing, neardup, pii, quality, urls, warc
+from riskengine.llm import chat, components, decontaminate, licenses, mixing, neardup, pii, quality, urls, warc
+from riskengine.session import materialize
 
 
 def test_revisits_are_resolved_by_id_and_digest(spark):
@@ -127,3 +128,58 @@ def test_sketches_and_sets_leave_a_batch_in_parts():
     assert rows == [(i, s.tolist()) for i, s in enumerate(found)]
     sizes = [r for b in sketches for r in zip(b.column("doc_id").to_pylist(), b.column("n_shingles").to_pylist())]
     assert sizes == [(i, len(s)) for i, s in enumerate(found)]
+
+
+def test_narrow_tables_are_few_files(spark):
+    made = spark.range(5_000).repartition(64, "id").selectExpr("id", "id % 7 as v")
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        links = neardup._verified(
+            made.select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")),
+            spark.range(5_001).select("id", F.array(F.lit(1)).alias("shingles")),
+            80,
+        )
+        narrow = materialize(links, "test-narrow", narrow=True)
+        assert len(materialize(links, "test-wide").inputFiles()) == 64
+        assert len(narrow.inputFiles()) <= spark.sparkContext.defaultParallelism
+        assert sorted(narrow.collect()) == [(i, i + 1) for i in range(5_000)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    written = []
+
+    def counted(df, tag, **more):
+        written.append(tag)
+        return materialize(df, tag, **more)
+
+    monkeypatch.setattr(components, "materialize", counted)
+
+    def found(links):
+        written.clear()
+        return sorted(tuple(r) for r in components.components(spark.createDataFrame(links, "u long, v long")).collect())
+
+    assert found([(2, 1), (1, 3), (5, 4), (5, 4), (6, 6)]) == [(2, 1), (3, 1), (5, 4)]
+    assert len(written) == 1  # stars need no round
+    assert found([]) == [] and len(written) == 1
+    assert found([(1, 2), (2, 3)]) == [(2, 1), (3, 1)] and len(written) == 2  # no round to see that nothing moves
+    assert found([(3, 1), (3, 2)]) == [(2, 1), (3, 1)]
+    rng = np.random.default_rng(11)
+    for n in (40, 90):
+        links = [tuple(int(x) for x in pair) for pair in rng.integers(0, n, (n * 2 // 3, 2))] + [(k, k + 1) for k in range(200, 200 + n)]
+        parent = {}
+
+        def root(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for u, v in links:
+            a, b = sorted((root(u), root(v)))
+            parent[b] = a
+        assert found(links) == sorted((x, root(x)) for x in parent if root(x) != x)
