@@ -11,8 +11,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskengine.operators.boosting import fit_trees
 from riskengine.schema import FEATURES, LABEL
-from riskengine.session import shared_root
 
 # Learner settings.
 N_TREES = 200
@@ -32,10 +32,6 @@ def train_gbt(
     seed: int = SEED,
 ) -> PipelineModel:
     """Boosted trees on logistic loss, with positives weighted by `pos_weight`."""
-    shared_root(train.sparkSession)  # residuals are checkpointed there every 10 trees
-    rows = train.select(
-        *features, LABEL, F.when(F.col(LABEL) == 1, F.lit(float(pos_weight))).otherwise(1.0).alias("w")
-    )
     trees = GBTClassifier(
         featuresCol="inputs",
         labelCol=LABEL,
@@ -47,7 +43,7 @@ def train_gbt(
         checkpointInterval=10,
     )
     assemble = VectorAssembler(inputCols=features, outputCol="inputs", handleInvalid="error")
-    return Pipeline(stages=[assemble, trees]).fit(rows)
+    return PipelineModel([assemble, fit_trees(train, features, LABEL, pos_weight, trees)])
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "p") -> DataFrame:

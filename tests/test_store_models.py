@@ -1,15 +1,20 @@
 """Files, the feature store, learners and the end-to-end plans."""
 
+import glob
 import json
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskengine.operators import learners as ln
 from riskengine.operators import quality
+from riskengine.operators.boosting import fit_trees
 from riskengine.plans.eda import run_eda
 from riskengine.plans.training import load_serving_model, save_result, train_and_evaluate
 from riskengine.schema import FEATURES, KEYED_SCHEMA
@@ -154,6 +159,89 @@ def test_weight_of_positives_raises_their_scores(spark, learnable):
     assert mean[20.0] > 1.1 * mean[1.0]
 
 
+def booster(**settings):
+    return GBTClassifier(featuresCol="inputs", labelCol="Class", weightCol="w", stepSize=0.1, seed=42, checkpointInterval=2, **settings)
+
+
+def nodes_of(model):
+    """Every tree as {node number: (feature and threshold or None, value, weight, rows, impurity, gain)}."""
+    def walk(node, k, out):
+        inner = node.subtreeDepth() > 0
+        split = (node.split().featureIndex(), node.split().threshold()) if inner else None
+        stats = node.impurityStats()
+        out[k] = (split, [node.prediction(), stats.count(), stats.rawCount(), node.impurity(), node.gain() if inner else 0.0])
+        if inner:
+            walk(node.leftChild(), 2 * k + 1, out)
+            walk(node.rightChild(), 2 * k + 2, out)
+        return out
+
+    return [walk(tree.rootNode(), 0, {}) for tree in model._java_obj.trees()]
+
+
+def test_trees_are_those_of_spark_ml(spark):
+    """Large nodes of mixed labels, where no two splits gain the same."""
+    frame = make_frame(4000, seed=3, frauds=1200)
+    frame.loc[frame["Class"] == 1, ["V14", "V17"]] -= 0.7
+    feats = quality.compute_features(spark.createDataFrame(frame, KEYED_SCHEMA), keep=("Class",))
+    trees = booster(maxIter=12, maxDepth=3)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="inputs").transform(feats)
+    want = trees.fit(rows.withColumn("w", F.when(F.col("Class") == 1, 8.0).otherwise(1.0)))
+    got = fit_trees(feats, FEATURES, "Class", 8.0, trees)
+    assert got.treeWeights == want.treeWeights and got.numFeatures == want.numFeatures == 30
+    for a, b in zip(nodes_of(got), nodes_of(want), strict=True):
+        assert {k: split for k, (split, _) in a.items()} == {k: split for k, (split, _) in b.items()}
+        assert all(np.allclose(a[k][1], b[k][1], rtol=1e-9, atol=1e-12) for k in a)
+    p, q = (m.transform(rows).select(vector_to_array("probability")[1]).toPandas().to_numpy() for m in (got, want))
+    assert np.allclose(p, q, rtol=1e-9)
+    assert got.extractParamMap().keys() >= {got.maxIter} and got.getMaxIter() == 12 and got.uid == trees.uid
+
+
+def test_trees_do_not_depend_on_where_rows_lie(spark, learnable):
+    """One task or many, in whatever order: rows alike in all features but two make many splits that tie."""
+    alike = quality.compute_features(learnable, keep=("txn_id", "Class")).where("txn_id % 8 = 0").crossJoin(spark.range(6))
+    feats = alike.withColumn("hour_of_day", F.col("id") * 2.0).withColumn("log_amount", F.col("id") * -1.0)
+    trees, folder = booster(maxIter=5, maxDepth=6), spark.sparkContext.getCheckpointDir()
+    before = set(glob.glob(f"{folder.removeprefix('file:')}/rdd-*")) if folder else set()
+    fits = [
+        fit_trees(feats, FEATURES, "Class", 8.0, trees),
+        fit_trees(feats.repartition(3), FEATURES, "Class", 8.0, trees),
+        fit_trees(feats.repartition(5, "V1"), FEATURES, "Class", 8.0, trees, most_rows=100),
+    ]
+    first, *others = [nodes_of(m) for m in fits]
+    for other in others:
+        for a, b in zip(first, other, strict=True):
+            assert {k: split for k, (split, _) in a.items()} == {k: split for k, (split, _) in b.items()}
+            assert all(np.allclose(a[k][1], b[k][1], rtol=1e-9, atol=1e-12) for k in a)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    assert set(glob.glob(f"{folder}/rdd-*")) <= before
+
+
+def test_a_table_of_one_task_is_fitted_in_few_jobs(spark, learnable):
+    feats = quality.compute_features(learnable, keep=("Class",))
+    spark.sparkContext.setJobGroup("fit", "trees")
+    ln.train_gbt(feats, 8.0, n_trees=10)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("fit")) < 30
+
+
+@pytest.mark.parametrize("column, value", [("V3", float("nan")), ("V3", float("inf")), ("V3", None), ("Class", 2), ("Class", None)])
+def test_rows_that_trees_can_not_use_are_an_error(spark, learnable, column, value):
+    feats = quality.compute_features(learnable, keep=("txn_id", "Class"))
+    spoilt = feats.withColumn(column, F.when(F.col("txn_id") == 7, F.lit(value)).otherwise(F.col(column)))
+    with pytest.raises(Exception, match="a feature is missing, NaN or infinite|labels are 0 or 1"):
+        ln.train_gbt(spoilt, 8.0, n_trees=2)
+
+
+def test_trees_of_degenerate_tables(spark):
+    same = spark.createDataFrame([(1.0, 0.0, k % 2) for k in range(4)], "a double, b double, Class int")
+    model = fit_trees(same, ["a", "b"], "Class", 2.0, booster(maxIter=3, maxDepth=2))
+    assert [len(t) for t in nodes_of(model)] == [1, 1, 1]
+    flat = fit_trees(same.withColumn("a", F.rand(1)), ["a", "b"], "Class", 2.0, booster(maxIter=2, maxDepth=0))
+    assert [len(t) for t in nodes_of(flat)] == [1, 1] and nodes_of(flat)[0][0][1][0] == pytest.approx(1 / 3)
+    with pytest.raises(ValueError, match="no rows"):
+        fit_trees(same.where("a > 1"), ["a", "b"], "Class", 2.0, booster(maxIter=2))
+
+
 def test_training_run(spark, learnable, tmp_path):
     result = train_and_evaluate(learnable, n_bootstraps=10, n_trees=4, max_depth=3)
     assert result.auc_pr > 0.5
